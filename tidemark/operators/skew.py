@@ -1,0 +1,47 @@
+"""Lookup joins that stay even when one key holds most rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+MAX_HOT_KEYS = 1000
+MIN_HOT_ROWS = 1 << 20
+
+
+def hot_keys(counts: DataFrame, keys: Sequence[str], copies: str, total_rows: int) -> DataFrame:
+    """Keys too big for one task with the number of salts to spread them over.
+
+    A key is hot above ``total_rows / MAX_HOT_KEYS`` rows (and above ``MIN_HOT_ROWS``), so there are at
+    most ``MAX_HOT_KEYS`` of them.
+    """
+    limit = max(MIN_HOT_ROWS, -(-total_rows // MAX_HOT_KEYS))
+    return counts.filter(F.col(copies) > limit).select(
+        *keys, F.ceil(F.col(copies) / F.lit(limit)).cast("int").alias("_salts")
+    )
+
+
+def salted_lookup(
+    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], hot: DataFrame, spread: Column
+) -> DataFrame:
+    """Inner join of ``rows`` with the one lookup row of their key.
+
+    The keys of ``hot`` (from ``hot_keys``, whose size is bounded, hence the broadcast) are spread by the
+    hash of ``spread`` over their salts, and their lookup row is repeated once per salt.
+    """
+    keys = list(keys)
+    hot = F.broadcast(hot)
+    salts = F.coalesce(F.col("_salts"), F.lit(1))
+    salted_rows = (
+        rows.join(hot, keys, "left")
+        .withColumn("_salt", F.pmod(F.xxhash64(spread), salts).cast("int"))
+        .drop("_salts")
+    )
+    repeated = (
+        lookup.join(hot, keys, "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+        .drop("_salts")
+    )
+    return salted_rows.join(repeated, [*keys, "_salt"]).drop("_salt")
