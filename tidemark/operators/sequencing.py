@@ -53,15 +53,19 @@ def first_arrivals(messages: DataFrame) -> DataFrame:
     )
 
 
+def _distinct_by_block(messages: DataFrame, bits: int) -> DataFrame:
+    block = value_block("sequence", bits).alias("block")
+    return first_arrivals(messages).select("channel", block, "sequence", "arrival").repartition("channel", "block")
+
+
 def _with_base(messages: DataFrame, bits: int) -> DataFrame:
-    """Distinct messages with ``next`` (the following present sequence), ``base`` and ``base_arrival``."""
-    distinct = (
-        first_arrivals(messages)
-        .select("channel", value_block("sequence", bits).alias("block"), "sequence", "arrival")
-        .repartition("channel", "block")
-    )
+    """Distinct messages with ``next`` (the following present sequence), ``base`` and ``base_arrival``.
+
+    The block summary comes straight from the messages: its rows are combined before its own small
+    shuffle, and it does not wait for the de-duplication.
+    """
     summary = (
-        distinct.groupBy("channel", "block")
+        messages.groupBy("channel", value_block("sequence", bits).alias("block"))
         .agg(F.min("sequence").alias("low"), F.min(F.struct("arrival", "sequence")).alias("first"))
         .select(
             "channel",
@@ -71,7 +75,8 @@ def _with_base(messages: DataFrame, bits: int) -> DataFrame:
         )
     )
     return (
-        distinct.withColumn("next", F.lead("sequence").over(_in_block()))
+        _distinct_by_block(messages, bits)
+        .withColumn("next", F.lead("sequence").over(_in_block()))
         .join(summary, ["channel", "block"])
         .select(
             "channel",
@@ -92,24 +97,31 @@ def _run_stop() -> Column:
 
 
 def ordered_messages(messages: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
-    """Distinct messages with ``base``, ``run_end`` and ``release``.
+    """Distinct messages with ``base``, ``base_arrival``, ``run_end`` and ``release``.
 
     ``run_end`` is the last sequence of the contiguous run after the base. ``release`` is, for rows of
     that run, the arrival that completes the run up to the row, i.e. the latest arrival among the
     run's rows so far; NULL for all other rows.
+
+    Both uses of the distinct messages read the same shuffle.
     """
-    based = _with_base(messages, bits)
+    earlier = _channel().orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     summary = (
-        based.groupBy("channel", "block")
+        _with_base(messages, bits)
+        .groupBy("channel", "block")
         .agg(
+            F.min("base").alias("base"),
+            F.min("base_arrival").alias("base_arrival"),
             F.min(_run_stop()).alias("stop"),
             F.max(F.when(F.col("sequence") > F.col("base"), F.col("arrival"))).alias("latest"),
         )
         .select(
             "channel",
             "block",
+            "base",
+            "base_arrival",
             F.min("stop").over(_channel()).alias("run_end"),
-            F.max("latest").over(_channel().orderBy("block").rowsBetween(Window.unboundedPreceding, -1)).alias("earlier_latest"),
+            F.max("latest").over(earlier).alias("earlier_latest"),
         )
     )
     in_run = (F.col("sequence") > F.col("base")) & (F.col("sequence") <= F.col("run_end"))
@@ -117,13 +129,13 @@ def ordered_messages(messages: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
         _in_block().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        based.join(summary, ["channel", "block"])
+        _distinct_by_block(messages, bits)
+        .join(summary, ["channel", "block"])
         .withColumn("latest", latest)
         .select(
             "channel",
             "sequence",
             "arrival",
-            "next",
             "base",
             "base_arrival",
             "run_end",

@@ -256,3 +256,69 @@ SELECT event_id, 'test-table-' || CAST(event_id AS VARCHAR) AS table_name,
        CAST(event_id AS VARCHAR) AS json_id, props AS decoded, md5(CAST(event_id AS VARCHAR)) AS row_id
 FROM events""",
 }
+
+
+def _overflow(jump_to_pending: bool) -> str:
+    """The overflow rule one arrival at a time: step n handles the n-th arrival of every channel."""
+    if jump_to_pending:
+        target = "list_min(waiting)"
+        reached = "coalesce(list_min(list_filter(range(list_min(waiting) + 1, list_max(waiting) + 2), lambda x: NOT list_contains(waiting, x))), 0) - 1"
+        left = "list_filter(waiting, lambda x: x > reached)"
+    else:
+        target = "sequence"
+        reached = "sequence"
+        left = "list_filter(waiting, lambda x: false)"
+    return f"""
+WITH RECURSIVE {_TRADES},
+s AS (
+  SELECT channel, 1 AS arr, sequence AS book, CAST([] AS BIGINT[]) AS pending, CAST(0 AS BIGINT) AS trades,
+         '' AS kind, CAST(0 AS BIGINT) AS released, came_at, CAST(NULL AS BIGINT) AS skipped_from, CAST(NULL AS BIGINT) AS skipped_to
+  FROM m WHERE arr = 1
+  UNION ALL
+  SELECT channel, arr, CASE kind WHEN 'book' THEN run_end WHEN 'overflow' THEN reached ELSE book END,
+         CASE kind WHEN 'book' THEN list_filter(waiting, lambda x: x > run_end) WHEN 'overflow' THEN left_over ELSE waiting END,
+         trades + released, kind, released, came_at,
+         CASE WHEN kind = 'overflow' THEN book + 1 END, CASE WHEN kind = 'overflow' THEN target - 1 END
+  FROM (
+    SELECT *, CASE kind WHEN 'book' THEN run_end - book WHEN 'overflow' THEN reached - target + 1 ELSE 0 END AS released,
+           {left} AS left_over
+    FROM (
+      SELECT *, {target} AS target, {reached} AS reached,
+             CASE WHEN NOT fresh THEN '' WHEN sequence = book + 1 THEN 'book' WHEN len(pending) > 2 THEN 'overflow' ELSE '' END AS kind,
+             list_min(list_filter(range(book + 1, list_max(list_append(waiting, book)) + 2), lambda x: NOT list_contains(waiting, x))) - 1 AS run_end
+      FROM (
+        SELECT s.channel, m.arr, s.book, s.pending, s.trades, m.sequence, m.came_at,
+               m.sequence > s.book AND NOT list_contains(s.pending, m.sequence) AS fresh,
+               CASE WHEN m.sequence > s.book AND NOT list_contains(s.pending, m.sequence)
+                    THEN list_append(s.pending, m.sequence) ELSE s.pending END AS waiting
+        FROM s JOIN m ON m.channel = s.channel AND m.arr = s.arr + 1
+      )
+    )
+  )
+)
+SELECT channel, kind, book AS sequence, CAST(0.01 * trades AS DECIMAL(38,2)) AS price, released,
+       strftime(came_at, '%Y-%m-%d') AS at, skipped_from, skipped_to, CAST(len(pending) AS BIGINT) AS remaining
+FROM s WHERE kind <> ''
+"""
+
+
+STREAM: dict[str, str] = {
+    "stream_seq_book": SEQ_EMISSIONS,
+    "seq_overflow": _overflow(jump_to_pending=False),
+    "seq_overflow_pending": _overflow(jump_to_pending=True),
+    "stream_window_summary": WINDOW_SUMMARY,
+    "stream_group_into_batches": f"""
+WITH n AS (
+  SELECT event_id, event_type, date_trunc('day', ts) AS day,
+         (row_number() OVER (PARTITION BY event_type, date_trunc('day', ts) ORDER BY event_id) - 1) // 25 AS batch_no
+  FROM events
+)
+SELECT event_type AS group_key, strftime(CAST(day AS TIMESTAMP), {_MILLIS}) AS window_start, batch_no, count(*) AS size,
+       string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS items
+FROM n GROUP BY event_type, day, batch_no""",
+    "stream_load_append": f"""
+SELECT id, name, {_STAMP} AS df_ts, true AS created FROM (
+  SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name FROM customer
+  UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name FROM supplier
+)""",
+}

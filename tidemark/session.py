@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 
@@ -42,3 +44,8 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def ship_by_value(module: str) -> None:
+    """Send the module's classes to the Python workers with the query, so they need no installation there."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
