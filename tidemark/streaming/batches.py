@@ -28,10 +28,11 @@ class BatchCollector(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         group, start = key
-        items = [item[0] for item in self.waiting.get()] if self.waiting.exists() else []
-        number = self.count.get()[0] if self.count.exists() else 0
-        if not self.count.exists():
+        counted = self.count.get()
+        if counted is None:
             self.handle.registerTimer(int(start.timestamp() * 1000) + self.window_millis)
+        number = counted[0] if counted else 0
+        items = [item[0] for item in self.waiting.get()] if counted else []
         for item in sorted(row["item"] for row in rows):
             items.append(item)
             if len(items) == self.size:
@@ -45,7 +46,7 @@ class BatchCollector(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         group, start = key
-        items = [item[0] for item in self.waiting.get()] if self.waiting.exists() else []
+        items = [item[0] for item in self.waiting.get()]
         if items:
             yield _batch(group, start, self.count.get()[0], items)
         self.waiting.clear()

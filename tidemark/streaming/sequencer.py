@@ -35,18 +35,24 @@ _BOOK = (
 
 
 class WaitingSequences:
-    """A channel's waiting sequences: bitmaps in map state, those in use kept here until ``flush``."""
+    """A channel's waiting sequences: bitmaps in map state, those in use kept here until ``flush``.
 
-    def __init__(self, state):
+    Every state call is a round trip out of the Python worker, so ``empty`` saves all look-ups of a channel
+    known to have nothing waiting.
+    """
+
+    def __init__(self, state, empty: bool):
         self._state = state
+        self._empty = empty
         self._loaded: dict[int, int] = {}
+        self._stored: set[int] = set()
 
     def _chunk(self, number: int) -> int:
         if number not in self._loaded:
-            key = (number,)
-            self._loaded[number] = (
-                int.from_bytes(self._state.getValue(key)[0], "little") if self._state.containsKey(key) else 0
-            )
+            value = None if self._empty else self._state.getValue((number,))
+            self._loaded[number] = int.from_bytes(value[0], "little") if value else 0
+            if value:
+                self._stored.add(number)
         return self._loaded[number]
 
     def add(self, sequence: int) -> bool:
@@ -73,26 +79,26 @@ class WaitingSequences:
 
     def first(self) -> int | None:
         """The smallest waiting sequence."""
-        numbers = {key[0] for key in self._state.keys()} | set(self._loaded)
-        for number in sorted(numbers):
+        for number in sorted(self._numbers()):
             bits = self._chunk(number)
             if bits:
                 return number * CHUNK + (bits & -bits).bit_length() - 1
         return None
 
+    def _numbers(self) -> set[int]:
+        if not self._empty:
+            self._stored.update(key[0] for key in self._state.keys())
+        return self._stored | set(self._loaded)
+
     def clear(self) -> None:
-        for key in list(self._state.keys()):
-            self._loaded[key[0]] = 0
-        for number in self._loaded:
-            self._loaded[number] = 0
+        self._loaded = dict.fromkeys(self._numbers(), 0)
 
     def flush(self) -> None:
         for number, bits in self._loaded.items():
             if bits:
                 self._state.updateValue((number,), (bits.to_bytes(CHUNK // 8, "little"),))
-            elif self._state.containsKey((number,)):
+            elif number in self._stored:
                 self._state.removeKey((number,))
-        self._loaded = {}
 
 
 class ChannelSequencer(StatefulProcessor):
@@ -121,8 +127,9 @@ class ChannelSequencer(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         channel = key[0]
-        waiting = WaitingSequences(self.waiting_state)
-        book = dict(zip(_BOOK_NAMES, self.book_state.get(), strict=True)) if self.book_state.exists() else None
+        stored = self.book_state.get()
+        book = dict(zip(_BOOK_NAMES, stored, strict=True)) if stored else None
+        waiting = WaitingSequences(self.waiting_state, empty=book is None or not book["pending"])
         if self.emit == ON_TICK and (book is None or not book["pending"]):
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.tick_millis)
         for row in sorted(rows, key=lambda row: tuple(row["arrival"].values())):
@@ -150,7 +157,7 @@ class ChannelSequencer(StatefulProcessor):
         self.book_state.update(tuple(book[name] for name in _BOOK_NAMES))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        waiting = WaitingSequences(self.waiting_state)
+        waiting = WaitingSequences(self.waiting_state, empty=False)
         book = dict(zip(_BOOK_NAMES, self.book_state.get(), strict=True))
         if book["pending"]:
             now = datetime.datetime.fromtimestamp(expiredTimerInfo.getExpiryTimeInMs() / 1000)
