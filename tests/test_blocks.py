@@ -2,8 +2,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import skew
-from tidemark.operators.blocks import even_slice_seconds, number_rows, running_sum, time_slice, value_block
+from tidemark.operators.blocks import even_slice_seconds, number_rows, running, time_slice, value_block
 from tidemark.operators.skew import hot_keys, salted_lookup
 
 
@@ -17,10 +16,11 @@ def test_number_rows_over_many_blocks(spark):
 
 def test_running_sum_with_weights(spark):
     rows = spark.createDataFrame([("a", v, v % 4) for v in range(-20, 40)], "k string, v bigint, w bigint")
-    total = 0
-    for row in sorted(running_sum(rows, ["k"], value_block("v", 2), ["v"], F.col("w")).collect(), key=lambda r: r["v"]):
+    total, top = 0, -99
+    for row in sorted(running(rows, ["k"], value_block("v", 2), ["v"], {"sum": F.col("w")}, {"top": -F.col("v") % 7}).collect(), key=lambda r: r["v"]):
         total += row["w"]
-        assert row["running"] == total
+        top = max(top, -(row["v"] % 7) if row["v"] >= 0 else -row["v"] % 7)
+        assert (row["sum"], row["top"]) == (total, top)
 
 
 def test_value_block_keeps_order_below_zero(spark):
@@ -37,12 +37,11 @@ def test_time_slices(spark):
     assert even_slice_seconds(rows.filter("id < 0"), "ts") == 1
 
 
-def test_salted_lookup_keeps_every_row(spark, monkeypatch):
-    monkeypatch.setattr(skew, "MIN_HOT_ROWS", 10)
+def test_salted_lookup_keeps_every_row(spark):
     rows = spark.range(500).select(F.when(F.col("id") < 400, 0).otherwise(F.col("id")).alias("k"), "id")
-    lookup = rows.groupBy("k").agg(F.max("id").alias("top"), F.count("*").alias("n"))
-    hot = hot_keys(lookup, ["k"], "n", 500)
+    lookup = rows.groupBy("k").agg(F.max("id").alias("top"))
+    hot = hot_keys(rows, ["k"], fraction=1.0, min_rows=10)
     assert [tuple(r) for r in hot.collect()] == [(0, 40)]
-    joined = salted_lookup(rows, lookup.select("k", "top"), ["k"], hot, F.col("id")).collect()
+    joined = salted_lookup(rows, lookup, ["k"], hot, F.col("id")).collect()
     assert Counter(r["k"] for r in joined) == Counter(0 if n < 400 else n for n in range(500))
     assert all(r["top"] == (399 if r["k"] == 0 else r["id"]) for r in joined)

@@ -41,14 +41,28 @@ FULL = {
 }
 
 
-def test_quoted(spark, files):
-    rows = csv_files.read_csv(spark, str(files / "edge.csv"), COLUMNS)
+@pytest.fixture(params=[csv_files.WHOLE_FILES, csv_files.SPLIT_FILES, "tiny splits"])
+def newlines(request, spark):
+    """The ways to read embedded newlines, the last with splits of a few bytes."""
+    if request.param != "tiny splits":
+        yield request.param
+        return
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")
+    for name, value in zip(names, ("9", "1", "1")):
+        spark.conf.set(name, value)
+    yield csv_files.SPLIT_FILES
+    for name in names:
+        spark.conf.unset(name)
+
+
+def test_quoted(spark, files, newlines):
+    rows = csv_files.read_csv(spark, str(files / "edge.csv"), COLUMNS, newlines=newlines)
     assert rows_of(rows) == FULL | {("5", "short", None)}
     assert {row["tag"] for row in rows.collect()} == {"main"}
 
 
-def test_strict(spark, files):
-    rows = csv_files.read_csv(spark, str(files / "edge.csv"), COLUMNS, csv_files.STRICT)
+def test_strict(spark, files, newlines):
+    rows = csv_files.read_csv(spark, str(files / "edge.csv"), COLUMNS, csv_files.STRICT, newlines)
     assert rows_of(routing.output(rows, routing.MAIN)) == FULL
     error = routing.output(rows, routing.ERROR).collect()
     assert [(r["record"], r["reason"]) for r in error] == [("5,short", "short row: 2 of 3 fields")]
@@ -71,9 +85,15 @@ def test_repeated_path_is_read_twice(spark, files):
     assert csv_files.read_csv(spark, [path, path], COLUMNS).count() == 18
 
 
-def test_wrong_header_fails(spark, files):
+def test_wrong_header_fails(spark, files, newlines):
     with pytest.raises(Exception, match="(?i)header"):
-        csv_files.read_csv(spark, str(files / "other.csv"), COLUMNS).collect()
+        csv_files.read_csv(spark, str(files / "other.csv"), COLUMNS, newlines=newlines).collect()
+
+
+def test_split_records_keep_line_ends(spark, tmp_path):
+    (tmp_path / "crlf.csv").write_bytes(b'a,b\r\n1,"x\r\ny"\r\n2,z\r\n')
+    rows = csv_files.split_records(spark, str(tmp_path / "crlf.csv")).orderBy("record_no").collect()
+    assert [(r["record_no"], r["record"]) for r in rows] == [(1, "a,b"), (2, '1,"x\r\ny"'), (3, "2,z")]
 
 
 def test_files_with_different_headers(spark, files):

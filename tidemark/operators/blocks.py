@@ -8,7 +8,7 @@ a summary with one row per block is accumulated over the key, and the two meet i
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,37 +39,43 @@ def time_slice(ts: str, seconds: int) -> Column:
     return F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / F.lit(seconds)).cast("bigint")
 
 
-def running_sum(
+def running(
     df: DataFrame,
     keys: Sequence[str],
     block: Column,
     order: Sequence[str],
-    weight: Column | None = None,
-    name: str = "running",
+    sums: Mapping[str, Column] | None = None,
+    maxima: Mapping[str, Column] | None = None,
     summary: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``name``: the sum of ``weight`` (default 1) up to and including the row, per key in order.
+    """Add running sums and maxima up to and including the row, per key in order.
 
-    Keys must not be NULL. ``summary`` may bring ready ``(keys, _block, _total)`` rows, with further
-    columns that are then joined on as well; by default it is counted from ``df``.
+    Keys must not be NULL. ``summary`` may bring ready rows of ``keys``, ``_block`` and the measures, with
+    further columns that are then joined on as well; by default it is taken from ``df``.
     """
-    weight = F.lit(1).cast("bigint") if weight is None else weight
+    sums, maxima = dict(sums or {}), dict(maxima or {})
     blocked = df.withColumn("_block", block)
     if summary is None:
-        summary = blocked.groupBy(*keys, "_block").agg(F.sum(weight).alias("_total"))
+        totals = [F.sum(column).alias(name) for name, column in sums.items()]
+        peaks = [F.max(column).alias(name) for name, column in maxima.items()]
+        summary = blocked.groupBy(*keys, "_block").agg(*totals, *peaks)
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = summary.withColumn("_carry", F.coalesce(F.sum("_total").over(before), F.lit(0))).drop("_total")
+    carried = summary.select(
+        "*",
+        *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(f"_before_{name}") for name in sums],
+        *[F.max(name).over(before).alias(f"_before_{name}") for name in maxima],
+    ).drop(*sums, *maxima)
     inside = (
         Window.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return (
-        blocked.withColumn(name, F.sum(weight).over(inside))
-        .join(carried, [*keys, "_block"])
-        .withColumn(name, (F.col(name) + F.col("_carry")).cast("bigint"))
-        .drop("_block", "_carry")
-    )
+    local = {name: F.sum(column).over(inside) for name, column in sums.items()}
+    local |= {name: F.max(column).over(inside) for name, column in maxima.items()}
+    joined = blocked.withColumns(local).join(carried, [*keys, "_block"])
+    complete = {name: (F.col(name) + F.col(f"_before_{name}")).cast("bigint") for name in sums}
+    complete |= {name: F.greatest(name, f"_before_{name}") for name in maxima}
+    return joined.withColumns(complete).drop("_block", *[f"_before_{name}" for name in [*sums, *maxima]])
 
 
 def number_rows(df: DataFrame, keys: Sequence[str], block: Column, order: Sequence[str], name: str) -> DataFrame:
     """Number the rows of every key 0, 1, 2, … in ``order``."""
-    return running_sum(df, keys, block, order, name=name).withColumn(name, F.col(name) - 1)
+    return running(df, keys, block, order, {name: F.lit(1).cast("bigint")}).withColumn(name, F.col(name) - 1)

@@ -20,7 +20,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.operators.blocks import BLOCK_BITS, value_block
+from tidemark.operators.blocks import BLOCK_BITS, running, value_block
 from tidemark.operators.skew import hot_keys, salted_lookup
 
 PRICE_TYPE = "decimal(38,2)"
@@ -202,8 +202,7 @@ def classify(messages: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
         "channel", "sequence", F.col("arrival").alias("first_arrival"), "base", "base_arrival", "release"
     )
     key = ["channel", "sequence"]
-    hot = hot_keys(first_arrivals(messages), key, "copies", messages.count())
-    joined = salted_lookup(messages, lookup, key, hot, F.col("arrival"))
+    joined = salted_lookup(messages, lookup, key, hot_keys(messages, key), F.col("arrival"))
     arrived_late = (F.col("sequence") <= F.col("base")) | (F.col("release") < F.col("arrival"))
     return joined.select(
         "channel",
@@ -281,17 +280,24 @@ def ticks(messages: DataFrame, seconds: int, bits: int = BLOCK_BITS) -> DataFram
             F.max("event.done").alias("calc_to"),
         )
     )
-    so_far = _channel().orderBy("tick").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    waiting = F.sum("arrived").over(so_far) - F.sum("calculated").over(so_far)
-    return per_tick.select(
+    reports = running(
+        per_tick,
+        ["channel"],
+        value_block("tick", bits),
+        ["tick"],
+        {"came": F.col("arrived"), "left": F.col("calculated")},
+        {"reached": F.col("calc_to"), "pending_last": F.col("seen")},
+    )
+    waiting = F.col("came") - F.col("left")
+    return reports.select(
         "channel",
         "tick",
-        F.coalesce(F.max("calc_to").over(so_far), F.col("base")).alias("book_sequence"),
+        F.coalesce("reached", "base").alias("book_sequence"),
         "arrived",
         "calculated",
         "calc_from",
         "calc_to",
-        F.max("seen").over(so_far).alias("pending_last"),
+        "pending_last",
         (waiting + F.col("calculated")).alias("pending_size"),
         waiting.alias("remaining"),
     )

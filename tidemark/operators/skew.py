@@ -11,16 +11,25 @@ MAX_HOT_KEYS = 1000
 MIN_HOT_ROWS = 1 << 20
 
 
-def hot_keys(counts: DataFrame, keys: Sequence[str], copies: str, total_rows: int) -> DataFrame:
-    """Keys too big for one task with the number of salts to spread them over.
+def hot_keys(rows: DataFrame, keys: Sequence[str], fraction: float = 0.01, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
+    """The keys with most rows, at most ``MAX_HOT_KEYS``, and the number of salts for each.
 
-    A key is hot above ``total_rows / MAX_HOT_KEYS`` rows (and above ``MIN_HOT_ROWS``), so there are at
-    most ``MAX_HOT_KEYS`` of them.
+    Counted on a sample, as salting only balances work and changes no result. A key is listed from about
+    ``min_rows`` rows on, with one salt per ``min_rows``; one beyond the list has less than a thousandth of
+    the rows. The list is fixed here, so that every use of it sees the same salts.
     """
-    limit = max(MIN_HOT_ROWS, -(-total_rows // MAX_HOT_KEYS))
-    return counts.filter(F.col(copies) > limit).select(
-        *keys, F.ceil(F.col(copies) / F.lit(limit)).cast("int").alias("_salts")
+    enough = min_rows * fraction
+    found = (
+        rows.select(*keys)
+        .sample(fraction, seed=1)
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_sampled"))
+        .filter(F.col("_sampled") > enough)
+        .orderBy(F.desc("_sampled"), *keys)
+        .limit(MAX_HOT_KEYS)
+        .select(*keys, F.ceil(F.col("_sampled") / F.lit(enough)).cast("int").alias("_salts"))
     )
+    return rows.sparkSession.createDataFrame(found.collect(), found.schema)
 
 
 def salted_lookup(
@@ -28,8 +37,8 @@ def salted_lookup(
 ) -> DataFrame:
     """Inner join of ``rows`` with the one lookup row of their key.
 
-    The keys of ``hot`` (from ``hot_keys``, whose size is bounded, hence the broadcast) are spread by the
-    hash of ``spread`` over their salts, and their lookup row is repeated once per salt.
+    The keys of ``hot`` (from ``hot_keys``, at most ``MAX_HOT_KEYS`` rows, hence the broadcast) are spread by
+    the hash of ``spread`` over their salts, and their lookup row is repeated once per salt.
     """
     keys = list(keys)
     hot = F.broadcast(hot)

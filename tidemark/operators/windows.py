@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.blocks import BLOCK_BITS, running_sum, value_block
+from tidemark.operators.blocks import BLOCK_BITS, running, value_block
 
 LIST_SIZE = 10_000
 CLOCK_FORMAT = "HH:mm:ss.SSS"
@@ -38,10 +38,10 @@ def value_lists(
     """Sorted, comma-joined values of every group, in lists of at most ``list_size`` elements.
 
     ``counts`` has one row per (keys, value) with its number of copies ``n``; ``summary`` one row per
-    (keys, _block) with ``_total``, and the ``carried`` group columns, which are passed on.
+    (keys, _block) with their number ``_stop``, and the ``carried`` group columns, which are passed on.
     """
-    placed = running_sum(
-        counts, keys, value_block(value, bits), [value], F.col("n"), name="_stop", summary=summary
+    placed = running(
+        counts, keys, value_block(value, bits), [value], {"_stop": F.col("n")}, summary=summary
     ).withColumn("_start", F.col("_stop") - F.col("n"))
     size = F.lit(list_size)
     first = F.floor(F.col("_start") / size)
@@ -65,7 +65,7 @@ def group_by_window(
     keys = ["window_start", "window_end", key]
     rows = assign_windows(df, ts, width).select(*keys, element)
     counts = rows.groupBy(*keys, element).agg(F.count(F.lit(1)).alias("n"))
-    summary = rows.groupBy(*keys, value_block(element, bits).alias("_block")).agg(F.count(F.lit(1)).alias("_total"))
+    summary = rows.groupBy(*keys, value_block(element, bits).alias("_block")).agg(F.count(F.lit(1)).alias("_stop"))
     return value_lists(counts, keys, element, summary, list_size=list_size, bits=bits)
 
 
@@ -95,16 +95,16 @@ def sequence_counts(messages: DataFrame, width: str) -> DataFrame:
 
 
 def _block_summary(rows: DataFrame, rows_in: Column, first: str, last: str, bits: int) -> DataFrame:
-    """Per block: ``_total``, and the totals of the whole group on each of its blocks."""
+    """Per block: ``_stop`` (its rows), and the totals of the whole group on each of its blocks."""
     group = Window.partitionBy(*_GROUP)
     return (
         rows.groupBy(*_GROUP, value_block("sequence", bits).alias("_block"))
-        .agg(F.sum(rows_in).alias("_total"), F.min(first).alias("_first"), F.max(last).alias("_last"))
+        .agg(F.sum(rows_in).alias("_stop"), F.min(first).alias("_first"), F.max(last).alias("_last"))
         .select(
             *_GROUP,
             "_block",
-            "_total",
-            F.sum("_total").over(group).alias("items"),
+            "_stop",
+            F.sum("_stop").over(group).alias("items"),
             F.min("_first").over(group).alias("first_ts"),
             F.max("_last").over(group).alias("last_ts"),
         )

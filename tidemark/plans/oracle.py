@@ -97,6 +97,8 @@ SELECT id, name, {_STAMP} AS df_ts, true AS created FROM (
 )
 """
 
+CSV_QUOTED = "SELECT doc_id, text, lang, source, n_chars, 'main' AS tag FROM documents"
+
 BATCH: dict[str, str] = {
     "scan_project": "SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders",
     "literal_rows": """
@@ -118,7 +120,8 @@ FROM documents""",
     "text_lines_keyed": f"""
 WITH {_ORDER_TEXT}
 SELECT true AS keyed, o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM o""",
-    "csv_quoted": "SELECT doc_id, text, lang, source, n_chars, 'main' AS tag FROM documents",
+    "csv_quoted": CSV_QUOTED,
+    "csv_quoted_split": CSV_QUOTED,
     "csv_strict": f"""
 WITH {_ORDER_TEXT}
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM o WHERE number % 10 <> 0""",

@@ -107,11 +107,11 @@ def text_lines_keyed(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def csv_quoted(spark: SparkSession, folder: str) -> DataFrame:
+def _documents_as_csv(spark: SparkSession, folder: str, newlines: str) -> DataFrame:
     path = scratch_path(spark, "documents-csv")
     documents = table(spark, folder, "documents")
     csv_files.write_quoted(documents, path, rows_per_file=100_000)
-    rows = csv_files.read_csv(spark, path, documents.columns, csv_files.QUOTED)
+    rows = csv_files.read_csv(spark, path, documents.columns, csv_files.QUOTED, newlines)
     return rows.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         "text",
@@ -122,12 +122,20 @@ def csv_quoted(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def csv_quoted(spark: SparkSession, folder: str) -> DataFrame:
+    return _documents_as_csv(spark, folder, csv_files.WHOLE_FILES)
+
+
+def csv_quoted_split(spark: SparkSession, folder: str) -> DataFrame:
+    return _documents_as_csv(spark, folder, csv_files.SPLIT_FILES)
+
+
 def _damaged_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Damaged order files, one folder per order status, read in strict mode."""
     path = scratch_path(spark, "orders-damaged")
     fields = order_fields(table(spark, folder, "orders"))
     csv_files.write_lines(fields, damaged_line(), ",".join(ORDER_COLUMNS), path, partition_by=["o_orderstatus"])
-    return csv_files.read_csv(spark, f"{path}/*/*.csv", ORDER_COLUMNS, csv_files.STRICT, multi_line=False)
+    return csv_files.read_csv(spark, f"{path}/*/*.csv", ORDER_COLUMNS, csv_files.STRICT, csv_files.NO_NEWLINES)
 
 
 def csv_strict(spark: SparkSession, folder: str) -> DataFrame:
@@ -448,6 +456,7 @@ BATCH: dict[str, Query] = {
     "text_lines": text_lines,
     "text_lines_keyed": text_lines_keyed,
     "csv_quoted": csv_quoted,
+    "csv_quoted_split": csv_quoted_split,
     "csv_strict": csv_strict,
     "csv_naive": csv_naive,
     "csv_json": csv_json,

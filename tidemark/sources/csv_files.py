@@ -8,8 +8,12 @@ Three reading modes, all on Spark's own readers:
 * ``naive``   every line is cut at each comma, no quoting; a line that is short after its trailing empty
   fields are dropped, blank lines included, goes to the error output or fails the query.
 
-``multi_line=False`` lets Spark split the files and should be used whenever no value holds a newline; with
-embedded newlines one file is one task, so such files should be written in parts.
+The quoting modes take one of three ways with newlines inside values:
+
+* ``NO_NEWLINES``  there are none; Spark splits the files, so this is the way to choose where possible;
+* ``WHOLE_FILES``  one file is one task, right for any number of files of moderate size;
+* ``SPLIT_FILES``  for files too big for one task: they are read in splits and the records put together by
+  running quote counts, at the price of three shuffles.
 """
 
 from __future__ import annotations
@@ -21,9 +25,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import row_json
+from tidemark.operators.blocks import running
 from tidemark.operators.routing import ERROR, MAIN, flatten, route
 
 QUOTED, STRICT, NAIVE = "quoted", "strict", "naive"
+NO_NEWLINES, WHOLE_FILES, SPLIT_FILES = "no newlines", "whole files", "split files"
 _RECORD = "_record"
 _OUTPUT = ("file_path", "tag", "reason", "record")
 
@@ -75,7 +81,20 @@ def _width(record: Column) -> Column:
     return F.size(F.split(unquoted, ","))
 
 
-def _read_quoted(spark: SparkSession, paths, columns: Sequence[str], multi_line: bool) -> tuple[DataFrame, Column]:
+def _present(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Empty fields as "", fields the row does not have as NULL; ``_fields`` is the row's width."""
+    return rows.select(
+        "file_path",
+        "record",
+        "_fields",
+        *[
+            F.when(F.col("_fields") > position, F.coalesce(F.col(name), F.lit(""))).alias(name)
+            for position, name in enumerate(columns)
+        ],
+    )
+
+
+def _read_quoted(spark: SparkSession, paths, columns: Sequence[str], multi_line: bool) -> DataFrame:
     schema = T.StructType([T.StructField(name, T.StringType()) for name in [*columns, _RECORD]])
     rows = (
         spark.read.schema(schema)
@@ -91,32 +110,71 @@ def _read_quoted(spark: SparkSession, paths, columns: Sequence[str], multi_line:
     # Spark refuses a scan of the raw record alone, so its expression names a data column as well.
     record = F.when(F.col(_RECORD).isNotNull(), F.coalesce(F.col(_RECORD), F.col(columns[0])))
     width = F.when(F.col("record").isNull(), F.lit(len(columns))).otherwise(_width(F.col("record")))
-    filled = rows.withColumn("record", record).withColumn("_fields", width).select(
-        "file_path",
-        "record",
-        "_fields",
-        *[
-            F.when(F.col("_fields") > position, F.coalesce(F.col(name), F.lit(""))).alias(name)
-            for position, name in enumerate(columns)
-        ],
+    return _present(rows.withColumn("record", record).withColumn("_fields", width), columns)
+
+
+def split_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Records of quoted files as file_path, record_no (from 1), record, read in splits of any file size.
+
+    A line begins a record if the quotes of the file before it are even in number. Both the quotes and
+    the record numbers are running sums over the file in blocks of one split, so a file is never read
+    whole by one task; only the lines of one record meet in a row.
+    """
+    lines = (
+        spark.read.option("lineSep", "\n")
+        .text(paths if isinstance(paths, str) else list(paths))
+        .select(
+            F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_block_start").alias("split"),
+            F.monotonically_increasing_id().alias("line"),
+            "value",
+        )
+    )
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    order = (["file_path"], F.col("split"), ["line"])
+    counted = running(lines.withColumn("_quotes", quotes), *order, {"_seen": F.col("_quotes")})
+    begins = ((F.col("_seen") - F.col("_quotes")) % 2 == 0).cast("bigint")
+    numbered = running(counted.withColumn("_begins", begins), *order, {"record_no": F.col("_begins")})
+    parts = F.sort_array(F.collect_list(F.struct("split", "line", "value")))
+    joined = numbered.groupBy("file_path", "record_no").agg(parts.alias("parts"))
+    text = F.regexp_replace(F.array_join("parts.value", "\n"), "\r$", "")
+    return joined.select("file_path", "record_no", text.alias("record"))
+
+
+def _read_split(spark: SparkSession, paths, columns: Sequence[str]) -> DataFrame:
+    schema = ", ".join(f"`{name}` string" for name in columns)
+    records = split_records(spark, paths)
+    header = F.from_csv("record", schema, {"escape": '"'})
+    same = F.coalesce(header == F.struct(*[F.lit(name).alias(name) for name in columns]), F.lit(False))
+    wrong = F.raise_error(F.concat(F.lit("header of "), "file_path", F.lit(" differs"))).cast("boolean")
+    keep = F.when(F.col("record_no") == 1, F.when(same, F.lit(False)).otherwise(wrong)).otherwise(F.trim("record") != "")
+    rows = records.filter(keep)
+    width = F.least(_width(F.col("record")), F.lit(len(columns) + 1))
+    parsed = rows.withColumn("_fields", width).withColumn("_row", header)
+    return _present(
+        parsed.select(
+            "file_path",
+            F.when(F.col("_fields") != len(columns), F.col("record")).alias("record"),
+            "_fields",
+            "_row.*",
+        ),
+        columns,
     )
-    return filled, F.col("_fields")
 
 
-def _read_naive(spark: SparkSession, paths, columns: Sequence[str]) -> tuple[DataFrame, Column]:
+def _read_naive(spark: SparkSession, paths, columns: Sequence[str]) -> DataFrame:
     header = ",".join(columns)
     lines = read_lines(spark, paths).filter(F.col("value") != header).withColumnRenamed("value", "record")
     kept = F.regexp_replace("record", ",+$", "")
     parts = lines.withColumn("_parts", F.split(kept, ",")).withColumn(
         "_fields", F.when((kept == "") & (F.col("record") != ""), F.lit(0)).otherwise(F.size("_parts"))
     )
-    named = parts.select(
+    return parts.select(
         "file_path",
         "record",
         "_fields",
         *[F.get(F.col("_parts"), position).alias(name) for position, name in enumerate(columns)],
     )
-    return named, F.col("_fields")
 
 
 def read_csv(
@@ -124,24 +182,27 @@ def read_csv(
     paths: str | Sequence[str],
     columns: Sequence[str],
     mode: str = QUOTED,
-    multi_line: bool = True,
+    newlines: str = WHOLE_FILES,
     fail_fast: bool = False,
 ) -> DataFrame:
     """Rows of files with the given header: file_path, tag, reason, record and the string columns.
 
     ``record`` is the raw text of rows whose width is not the header's (of every row in naive mode).
-    A path listed twice is read twice. A file with another header fails the query in the quoting modes;
-    use ``read_csv_json`` for files with differing headers.
+    A path listed twice is read twice (not with ``SPLIT_FILES``). A file with another header fails the query
+    in the quoting modes; use ``read_csv_json`` for files with differing headers.
     """
     if mode == NAIVE:
-        rows, width = _read_naive(spark, paths, columns)
-    elif mode in (QUOTED, STRICT):
-        rows, width = _read_quoted(spark, paths, columns, multi_line)
-    else:
+        rows = _read_naive(spark, paths, columns)
+    elif mode not in (QUOTED, STRICT):
         raise ValueError(f"unknown mode {mode}")
+    elif newlines == SPLIT_FILES:
+        rows = _read_split(spark, paths, columns)
+    else:
+        rows = _read_quoted(spark, paths, columns, newlines == WHOLE_FILES)
     if mode == QUOTED:
         problem = F.lit(None).cast("string")
     else:
+        width = F.col("_fields")
         short = F.concat(F.lit("short row: "), width.cast("string"), F.lit(f" of {len(columns)} fields"))
         problem = F.when(width < len(columns), F.raise_error(short) if fail_fast else short)
     return route(rows, problem).select(*_OUTPUT, *columns)
@@ -154,7 +215,7 @@ def to_json_rows(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def read_csv_json(
-    spark: SparkSession, paths: Sequence[str], mode: str = QUOTED, multi_line: bool = True
+    spark: SparkSession, paths: Sequence[str], mode: str = QUOTED, newlines: str = WHOLE_FILES
 ) -> DataFrame:
     """Files with any headers, as JSON rows: file_path, tag, reason, record, row.
 
@@ -171,7 +232,7 @@ def read_csv_json(
     for header, files in sorted(by_header.items()):
         columns = [name.strip('"') for name in header.split(",")]
         wanted = [path for path in files for _ in range(named[_plain(path)])]
-        frames.append(to_json_rows(read_csv(spark, wanted, columns, mode, multi_line), columns))
+        frames.append(to_json_rows(read_csv(spark, wanted, columns, mode, newlines), columns))
     return flatten(*frames)
 
 
