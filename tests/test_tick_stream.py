@@ -37,3 +37,27 @@ def test_ticks_drain_to_the_final_book(spark):
     first = {r["channel"]: r for r in sorted(reports, key=lambda r: r["at"], reverse=True)}
     gap_left = cases.index(ORDERS["gap left"])
     assert [first[gap_left][name] for name in ("pending_first", "pending_last", "pending_size", "calc_from", "calc_to")] == [1, 7, 4, 1, 1]
+
+
+def test_tick_overflow_skips_the_gap(spark):
+    rows = as_messages(spark, [[0, 2, 3, 5]])
+    landing = scratch_path(spark, "tick-overflow")
+    rows.write.parquet(landing)
+    session = stream_session(spark, 1)
+    stream = session.readStream.schema(rows.schema).parquet(landing)
+    ticks = sequence_channels(stream, emit="tick", tick_seconds=1, max_pending=1)
+    query = (
+        ticks.writeStream.format("memory").queryName("jumps").trigger(processingTime="300 milliseconds").start()
+    )
+    try:
+        for _ in range(60):
+            time.sleep(1)
+            reports = sorted(session.table("jumps").collect(), key=lambda r: r["at"])
+            if len(reports) >= 2:
+                break
+    finally:
+        query.stop()
+    first, second = reports[:2]
+    assert (first["kind"], first["sequence"], first["skipped_from"], first["skipped_to"]) == ("overflow", 3, 1, 1)
+    assert (first["pending_first"], first["pending_last"], first["pending_size"], first["remaining"]) == (2, 5, 3, 1)
+    assert (second["kind"], second["sequence"], second["released"], second["remaining"]) == ("tick", 3, 0, 1)

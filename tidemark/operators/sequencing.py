@@ -54,12 +54,18 @@ def first_arrivals(messages: DataFrame) -> DataFrame:
 
 
 def _distinct_by_block(messages: DataFrame, bits: int) -> DataFrame:
+    """First arrivals, placed by (channel, block).
+
+    Messages without channel or sequence are none; saying so here, and not leaving it to the joins that
+    follow, keeps the plans of all uses equal, so that they share the shuffle.
+    """
     block = value_block("sequence", bits).alias("block")
-    return first_arrivals(messages).select("channel", block, "sequence", "arrival").repartition("channel", "block")
+    distinct = first_arrivals(messages).select("channel", block, "sequence", "arrival")
+    return distinct.dropna(subset=["channel", "block", "sequence"]).repartition("channel", "block")
 
 
-def _with_base(messages: DataFrame, bits: int) -> DataFrame:
-    """Distinct messages with ``next`` (the following present sequence), ``base`` and ``base_arrival``.
+def _with_base(messages: DataFrame, distinct: DataFrame, bits: int) -> DataFrame:
+    """The distinct messages with ``next`` (the following present sequence), ``base`` and ``base_arrival``.
 
     The block summary comes straight from the messages: its rows are combined before its own small
     shuffle, and it does not wait for the de-duplication.
@@ -75,8 +81,7 @@ def _with_base(messages: DataFrame, bits: int) -> DataFrame:
         )
     )
     return (
-        _distinct_by_block(messages, bits)
-        .withColumn("next", F.lead("sequence").over(_in_block()))
+        distinct.withColumn("next", F.lead("sequence").over(_in_block()))
         .join(summary, ["channel", "block"])
         .select(
             "channel",
@@ -103,11 +108,12 @@ def ordered_messages(messages: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
     that run, the arrival that completes the run up to the row, i.e. the latest arrival among the
     run's rows so far; NULL for all other rows.
 
-    Both uses of the distinct messages read the same shuffle.
+    Both uses of the distinct messages are the same frame and so read the same shuffle.
     """
+    distinct = _distinct_by_block(messages, bits)
     earlier = _channel().orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     summary = (
-        _with_base(messages, bits)
+        _with_base(messages, distinct, bits)
         .groupBy("channel", "block")
         .agg(
             F.min("base").alias("base"),
@@ -129,8 +135,7 @@ def ordered_messages(messages: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
         _in_block().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        _distinct_by_block(messages, bits)
-        .join(summary, ["channel", "block"])
+        distinct.join(summary, ["channel", "block"])
         .withColumn("latest", latest)
         .select(
             "channel",
@@ -151,7 +156,7 @@ def in_order(messages: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
 
 def _run_ends(messages: DataFrame, bits: int) -> DataFrame:
     """Per channel: base, base_arrival, run_end, last (highest present sequence)."""
-    return _with_base(messages, bits).groupBy("channel").agg(
+    return _with_base(messages, _distinct_by_block(messages, bits), bits).groupBy("channel").agg(
         F.min("base").alias("base"),
         F.min("base_arrival").alias("base_arrival"),
         F.min(_run_stop()).alias("run_end"),
@@ -220,7 +225,7 @@ def classify(messages: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
 def gaps(messages: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
     """Missing ranges after the base, below the highest present sequence."""
     return (
-        _with_base(messages, bits)
+        _with_base(messages, _distinct_by_block(messages, bits), bits)
         .filter((F.col("sequence") >= F.col("base")) & (F.col("next") > F.col("sequence") + 1))
         .select(
             "channel",
@@ -272,12 +277,10 @@ def ticks(messages: DataFrame, seconds: int, bits: int = BLOCK_BITS) -> DataFram
         rows.select("channel", "base", F.explode(events).alias("event"))
         .groupBy("channel", F.col("event.tick").alias("tick"))
         .agg(
-            F.min("base").alias("base"),
             F.sum("event.arrived").alias("arrived"),
             F.sum("event.calculated").alias("calculated"),
             F.max("event.seen").alias("seen"),
-            F.min("event.done").alias("calc_from"),
-            F.max("event.done").alias("calc_to"),
+            F.max(F.coalesce("event.done", "base")).alias("book"),
         )
     )
     reports = running(
@@ -286,17 +289,18 @@ def ticks(messages: DataFrame, seconds: int, bits: int = BLOCK_BITS) -> DataFram
         value_block("tick", bits),
         ["tick"],
         {"came": F.col("arrived"), "left": F.col("calculated")},
-        {"reached": F.col("calc_to"), "pending_last": F.col("seen")},
+        {"book_sequence": F.col("book"), "pending_last": F.col("seen")},
     )
     waiting = F.col("came") - F.col("left")
+    released = F.col("calculated") > 0
     return reports.select(
         "channel",
         "tick",
-        F.coalesce("reached", "base").alias("book_sequence"),
+        "book_sequence",
         "arrived",
         "calculated",
-        "calc_from",
-        "calc_to",
+        F.when(released, F.col("book") - F.col("calculated") + 1).alias("calc_from"),
+        F.when(released, F.col("book")).alias("calc_to"),
         "pending_last",
         (waiting + F.col("calculated")).alias("pending_size"),
         waiting.alias("remaining"),

@@ -77,7 +77,7 @@ def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 def _width(record: Column) -> Column:
     """Number of fields of a raw record: commas outside quotes plus one."""
-    unquoted = F.regexp_replace(record, '"(?:[^"]|"")*"', "")
+    unquoted = F.regexp_replace(record, '"[^"]*"', "")
     return F.size(F.split(unquoted, ","))
 
 
@@ -165,7 +165,7 @@ def _read_split(spark: SparkSession, paths, columns: Sequence[str]) -> DataFrame
 def _read_naive(spark: SparkSession, paths, columns: Sequence[str]) -> DataFrame:
     header = ",".join(columns)
     lines = read_lines(spark, paths).filter(F.col("value") != header).withColumnRenamed("value", "record")
-    kept = F.regexp_replace("record", ",+$", "")
+    kept = F.rtrim("record", F.lit(","))
     parts = lines.withColumn("_parts", F.split(kept, ",")).withColumn(
         "_fields", F.when((kept == "") & (F.col("record") != ""), F.lit(0)).otherwise(F.size("_parts"))
     )

@@ -6,24 +6,24 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.operators.batching import BATCH_SIZE
 from tidemark.session import ship_by_value
 
-OUTPUT = "group_key string, window_start timestamp, batch_no bigint, size bigint, items array<bigint>"
-
 
 class BatchCollector(StatefulProcessor):
     """Emits a batch as soon as it is full and the rest when the watermark passes the window's end."""
 
-    def __init__(self, size: int, window_millis: int):
+    def __init__(self, size: int, window_millis: int, item_type: T.DataType):
         self.size = size
         self.window_millis = window_millis
+        self.item_type = item_type
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "item bigint")
+        self.waiting = handle.getListState("waiting", T.StructType([T.StructField("item", self.item_type)]))
         self.count = handle.getValueState("batches", "count bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
@@ -65,8 +65,18 @@ def collect_batches(
 ) -> DataFrame:
     """Batches of ``item`` per key and tumbling window of a watermarked stream; append mode."""
     window = F.window(F.col(ts), f"{window_seconds} seconds")
+    output = T.StructType(
+        [
+            T.StructField("group_key", rows.schema[key].dataType),
+            T.StructField("window_start", T.TimestampType()),
+            T.StructField("batch_no", T.LongType()),
+            T.StructField("size", T.LongType()),
+            T.StructField("items", T.ArrayType(rows.schema[item].dataType)),
+        ]
+    )
+    collector = BatchCollector(size, window_seconds * 1000, rows.schema[item].dataType)
     return (
         rows.select(F.col(key).alias("group_key"), window["start"].alias("window_start"), F.col(item).alias("item"), ts)
         .groupBy("group_key", "window_start")
-        .transformWithState(BatchCollector(size, window_seconds * 1000), OUTPUT, "Append", "EventTime")
+        .transformWithState(collector, output, "Append", "EventTime")
     )

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.operators.sequencing import PRICE_STEP
@@ -23,14 +24,14 @@ CHUNK = 8192
 ON_ARRIVAL, ON_TICK = "arrival", "tick"
 JUMP_TO_ARRIVAL, JUMP_TO_PENDING = "arrival", "min_pending"
 
-OUTPUT = (
-    "channel bigint, kind string, sequence bigint, trade_date bigint, price decimal(38,2), released bigint,"
+_REPORT = (
+    "kind string, sequence bigint, trade_date bigint, price decimal(38,2), released bigint,"
     " at timestamp, calc_from bigint, calc_to bigint, skipped_from bigint, skipped_to bigint,"
     " pending_first bigint, pending_last bigint, pending_size bigint, remaining bigint"
 )
 _BOOK = (
     "sequence bigint, trade_date bigint, price decimal(38,2), pending bigint, pending_last bigint,"
-    " advanced_at timestamp"
+    " advanced_at timestamp, ticking boolean"
 )
 
 
@@ -102,7 +103,12 @@ class WaitingSequences:
 
 
 class ChannelSequencer(StatefulProcessor):
-    """Books per arrival that releases trades, or one report per tick, with optional overflow jumps."""
+    """Books per arrival that releases trades, or one report per tick, with optional overflow jumps.
+
+    Overflow: nothing could be released and more than ``max_pending`` sequences waited, or the last advance
+    is more than ``max_age_seconds`` ago. The book then jumps to the arrival and forgets what waited, or
+    jumps to the smallest waiting sequence (always so on ticks, which have no arrival).
+    """
 
     def __init__(
         self,
@@ -117,7 +123,7 @@ class ChannelSequencer(StatefulProcessor):
         self.tick_millis = tick_seconds * 1000
         self.max_pending = max_pending
         self.max_age = None if max_age_seconds is None else datetime.timedelta(seconds=max_age_seconds)
-        self.on_overflow = on_overflow
+        self.on_overflow = JUMP_TO_PENDING if emit == ON_TICK else on_overflow
         self.step = step
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -130,8 +136,6 @@ class ChannelSequencer(StatefulProcessor):
         stored = self.book_state.get()
         book = dict(zip(_BOOK_NAMES, stored, strict=True)) if stored else None
         waiting = WaitingSequences(self.waiting_state, empty=book is None or not book["pending"])
-        if self.emit == ON_TICK and (book is None or not book["pending"]):
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.tick_millis)
         for row in sorted(rows, key=lambda row: tuple(row["arrival"].values())):
             sequence, at = row["sequence"], row["arrival"]["at"]
             if book is None:
@@ -142,6 +146,7 @@ class ChannelSequencer(StatefulProcessor):
                     "pending": 0,
                     "pending_last": None,
                     "advanced_at": at,
+                    "ticking": False,
                 }
             elif sequence > book["sequence"] and waiting.add(sequence):
                 before = book["pending"]
@@ -153,24 +158,27 @@ class ChannelSequencer(StatefulProcessor):
                     yield self._advance(channel, book, waiting, at)
                 elif self._overflows(book, before, at):
                     yield self._jump(channel, book, waiting, sequence, at)
-        waiting.flush()
-        self.book_state.update(tuple(book[name] for name in _BOOK_NAMES))
+        self._save(book, waiting, timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         waiting = WaitingSequences(self.waiting_state, empty=False)
         book = dict(zip(_BOOK_NAMES, self.book_state.get(), strict=True))
-        if book["pending"]:
-            now = datetime.datetime.fromtimestamp(expiredTimerInfo.getExpiryTimeInMs() / 1000)
-            size, first, last = book["pending"], waiting.first(), book["pending_last"]
-            report = self._advance(key[0], book, waiting, now, "tick").asDict()
-            if not report["released"] and self._overflows(book, size - 1, now):
-                report = self._jump(key[0], book, waiting, last, now).asDict()
-            report.update(pending_first=first, pending_last=last, pending_size=size)
-            waiting.flush()
-            self.book_state.update(tuple(book[name] for name in _BOOK_NAMES))
-            if book["pending"]:
-                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.tick_millis)
-            yield Row(**report)
+        book["ticking"] = False
+        now = datetime.datetime.fromtimestamp(expiredTimerInfo.getExpiryTimeInMs() / 1000)
+        size, first, last = book["pending"], waiting.first(), book["pending_last"]
+        report = self._advance(key[0], book, waiting, now, "tick")
+        if not report["released"] and self._overflows(book, size, now):
+            report = self._jump(key[0], book, waiting, last, now)
+        self._save(book, waiting, timerValues)
+        yield Row(**{**report.asDict(), "pending_first": first, "pending_last": last, "pending_size": size})
+
+    def _save(self, book: dict, waiting: WaitingSequences, timerValues) -> None:
+        """Keep the state, and one tick ahead for as long as something waits."""
+        if self.emit == ON_TICK and book["pending"] and not book["ticking"]:
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.tick_millis)
+            book["ticking"] = True
+        waiting.flush()
+        self.book_state.update(tuple(book[name] for name in _BOOK_NAMES))
 
     def _overflows(self, book: dict, before: int, at: datetime.datetime) -> bool:
         return (self.max_pending is not None and before > self.max_pending) or (
@@ -223,7 +231,7 @@ class ChannelSequencer(StatefulProcessor):
         )
 
 
-_BOOK_NAMES = ["sequence", "trade_date", "price", "pending", "pending_last", "advanced_at"]
+_BOOK_NAMES = ["sequence", "trade_date", "price", "pending", "pending_last", "advanced_at", "ticking"]
 
 
 ship_by_value(__name__)
@@ -232,6 +240,7 @@ ship_by_value(__name__)
 def sequence_channels(messages: DataFrame, **options) -> DataFrame:
     """Run ``ChannelSequencer`` over streaming messages (channel, sequence, arrival); append mode."""
     processor = ChannelSequencer(**options)
+    output = T.StructType([messages.schema["channel"], *T.StructType.fromDDL(_REPORT).fields])
     return messages.groupBy("channel").transformWithState(
-        processor, OUTPUT, "Append", "ProcessingTime" if processor.emit == ON_TICK else "None"
+        processor, output, "Append", "ProcessingTime" if processor.emit == ON_TICK else "None"
     )
