@@ -40,8 +40,15 @@ def test_time_slices(spark):
 def test_salted_lookup_keeps_every_row(spark):
     rows = spark.range(500).select(F.when(F.col("id") < 400, 0).otherwise(F.col("id")).alias("k"), "id")
     lookup = rows.groupBy("k").agg(F.max("id").alias("top"))
-    hot = hot_keys(rows, ["k"], fraction=1.0, min_rows=10)
+    hot = hot_keys(rows, ["k"], min_rows=10, fraction=1.0)
     assert [tuple(r) for r in hot.collect()] == [(0, 40)]
     joined = salted_lookup(rows, lookup, ["k"], hot, F.col("id")).collect()
     assert Counter(r["k"] for r in joined) == Counter(0 if n < 400 else n for n in range(500))
     assert all(r["top"] == (399 if r["k"] == 0 else r["id"]) for r in joined)
+
+
+def test_lookup_without_hot_keys(spark):
+    rows = spark.range(50).select((F.col("id") % 5).alias("k"), "id")
+    assert hot_keys(rows, ["k"]) is None
+    lookup = rows.groupBy("k").agg(F.max("id").alias("top"))
+    assert salted_lookup(rows, lookup, ["k"], None, F.col("id")).count() == 50

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.model import ORDERS, replay
 from tidemark.operators import sequencing
+from tidemark.operators.skew import hot_keys
 from tidemark.sources.messages import sequenced
 from tidemark.streaming.replay import run_to_table
 from tidemark.streaming.sequencer import sequence_channels
@@ -29,6 +30,18 @@ def messages(spark):
     return as_messages(spark, CASES).cache()
 
 
+@pytest.fixture
+def crowded(monkeypatch):
+    """Count everything and call every key with more than one row hot."""
+    exact = lambda rows, keys, *_: hot_keys(rows, keys, 1, 1.0)
+    monkeypatch.setattr(sequencing, "hot_keys", exact)
+
+
+def test_crowded_blocks_and_hot_copies(crowded, messages):
+    test_classes(messages, 20)
+    test_books_and_emissions(messages, 2)
+
+
 # 20 bits keep a channel in one block; 1 and 2 bits cut it into many.
 @pytest.mark.parametrize("bits", [20, 2, 1])
 def test_classes(messages, bits):

@@ -9,6 +9,7 @@ a summary with one row per block is accumulated over the key, and the two meet i
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,6 +40,11 @@ def time_slice(ts: str, seconds: int) -> Column:
     return F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / F.lit(seconds)).cast("bigint")
 
 
+def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows that have all keys."""
+    return df.filter(reduce(Column.__and__, [F.col(key).isNotNull() for key in keys]))
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -50,11 +56,12 @@ def running(
 ) -> DataFrame:
     """Add running sums and maxima up to and including the row, per key in order.
 
-    Keys must not be NULL. ``summary`` may bring ready rows of ``keys``, ``_block`` and the measures, with
+    Rows with a NULL key or block have no place and are left out. ``summary`` may bring ready rows of ``keys``, ``_block`` and the measures, with
     further columns that are then joined on as well; by default it is taken from ``df``.
     """
     sums, maxima = dict(sums or {}), dict(maxima or {})
-    blocked = df.withColumn("_block", block)
+    # Stated for both uses, or the join would state it for one and they could not share a shuffle.
+    blocked = with_keys(df.withColumn("_block", block), [*keys, "_block"])
     if summary is None:
         totals = [F.sum(column).alias(name) for name, column in sums.items()]
         peaks = [F.max(column).alias(name) for name, column in maxima.items()]

@@ -9,8 +9,8 @@ not above the book at its arrival is late and dropped. Others wait until every s
 book and them has arrived; the book then advances through the contiguous run, one price step each.
 
 A channel may hold any share of the table, so nothing is windowed over a whole channel: rows are
-de-duplicated by (channel, sequence), windowed by (channel, block of 2**20 sequences), and only
-one-row-per-block summaries are accumulated over the channel.
+placed, de-duplicated and windowed by (channel, block of 2**20 sequences), and only one-row-per-block
+summaries are accumulated over the channel.
 """
 
 from __future__ import annotations
@@ -20,11 +20,12 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.operators.blocks import BLOCK_BITS, running, value_block
+from tidemark.operators.blocks import BLOCK_BITS, running, value_block, with_keys
 from tidemark.operators.skew import hot_keys, salted_lookup
 
 PRICE_TYPE = "decimal(38,2)"
 PRICE_STEP = Decimal("0.01")
+CROWDED_BLOCK = 4 << BLOCK_BITS
 
 
 def _channel() -> WindowSpec:
@@ -54,14 +55,27 @@ def first_arrivals(messages: DataFrame) -> DataFrame:
 
 
 def _distinct_by_block(messages: DataFrame, bits: int) -> DataFrame:
-    """First arrivals, placed by (channel, block).
+    """First arrivals, placed by (channel, block) with one shuffle.
+
+    A block holds at most ``2**bits`` sequences but any number of copies. Blocks crowded with copies are
+    reduced before the shuffle; combining all other rows there would cost a sort and save little.
 
     Messages without channel or sequence are none; saying so here, and not leaving it to the joins that
     follow, keeps the plans of all uses equal, so that they share the shuffle.
     """
-    block = value_block("sequence", bits).alias("block")
-    distinct = first_arrivals(messages).select("channel", block, "sequence", "arrival")
-    return distinct.dropna(subset=["channel", "block", "sequence"]).repartition("channel", "block")
+    key = ["channel", "block"]
+    placed = messages.withColumn("block", value_block("sequence", bits))
+    rows = with_keys(placed, [*key, "sequence"])
+    crowded = hot_keys(placed, key, CROWDED_BLOCK)
+    if crowded is not None:
+        marked = rows.join(F.broadcast(crowded), key, "left")
+        copies = marked.filter(F.col("_salts").isNotNull())
+        rows = marked.filter(F.col("_salts").isNull()).select(rows.columns).unionByName(_first(copies))
+    return _first(rows.repartition(*key))
+
+
+def _first(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("channel", "block", "sequence").agg(F.min("arrival").alias("arrival"))
 
 
 def _with_base(messages: DataFrame, distinct: DataFrame, bits: int) -> DataFrame:

@@ -11,13 +11,20 @@ MAX_HOT_KEYS = 1000
 MIN_HOT_ROWS = 1 << 20
 
 
-def hot_keys(rows: DataFrame, keys: Sequence[str], fraction: float = 0.01, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """The keys with most rows, at most ``MAX_HOT_KEYS``, and the number of salts for each.
+SAMPLE = 0.01
 
-    Counted on a sample, as salting only balances work and changes no result. A key is listed from about
+
+def hot_keys(
+    rows: DataFrame, keys: Sequence[str], min_rows: int = MIN_HOT_ROWS, fraction: float = SAMPLE
+) -> DataFrame | None:
+    """The keys with most rows, at most ``MAX_HOT_KEYS``, and the number of salts for each; None if there are none.
+
+    Counted on a sample, as the list only balances work and changes no result. A key is listed from about
     ``min_rows`` rows on, with one salt per ``min_rows``; one beyond the list has less than a thousandth of
     the rows. The list is fixed here, so that every use of it sees the same salts.
     """
+    if rows.count() <= min_rows:
+        return None
     enough = min_rows * fraction
     found = (
         rows.select(*keys)
@@ -29,11 +36,12 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], fraction: float = 0.01, min_r
         .limit(MAX_HOT_KEYS)
         .select(*keys, F.ceil(F.col("_sampled") / F.lit(enough)).cast("int").alias("_salts"))
     )
-    return rows.sparkSession.createDataFrame(found.collect(), found.schema)
+    listed = found.collect()
+    return rows.sparkSession.createDataFrame(listed, found.schema) if listed else None
 
 
 def salted_lookup(
-    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], hot: DataFrame, spread: Column
+    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], hot: DataFrame | None, spread: Column
 ) -> DataFrame:
     """Inner join of ``rows`` with the one lookup row of their key.
 
@@ -41,6 +49,8 @@ def salted_lookup(
     the hash of ``spread`` over their salts, and their lookup row is repeated once per salt.
     """
     keys = list(keys)
+    if hot is None:
+        return rows.join(lookup, keys)
     hot = F.broadcast(hot)
     salts = F.coalesce(F.col("_salts"), F.lit(1))
     salted_rows = (
