@@ -11,17 +11,16 @@ from tidemark.plans.inputs import numbered_events, table, trades
 from tidemark.plans.queries import Query, loaded_output, new_default_table, stamped, summary_output
 from tidemark.streaming.batches import collect_batches
 from tidemark.streaming.loads import append_loads
-from tidemark.streaming.replay import run_slices, run_to_table, time_slices
+from tidemark.streaming.replay import run_slices, run_to_table, slice_count, time_slices
 from tidemark.streaming.sequencer import JUMP_TO_ARRIVAL, JUMP_TO_PENDING, sequence_channels
 
-SLICES = 3
 DAY_SECONDS = 86_400
 MAX_PENDING = 2
 
 
 def _ordered_trades(spark: SparkSession, folder: str) -> list[DataFrame]:
     rows = trades(spark, folder)
-    slices = time_slices(rows.withColumn("at", F.col("arrival.at")), "at", SLICES)
+    slices = time_slices(rows.withColumn("at", F.col("arrival.at")), "at", slice_count(rows, "channel"))
     return [part.drop("at") for part in slices]
 
 
@@ -38,7 +37,7 @@ def _closing_row(rows: DataFrame, **values) -> DataFrame:
 
 def _event_slices(spark: SparkSession, folder: str) -> list[DataFrame]:
     rows = numbered_events(spark, folder).select("event_id", "ts", "group_key", "sequence")
-    return [*time_slices(rows, "ts", SLICES), _closing_row(rows, event_id=-1, group_key="end", sequence=0)]
+    return [*time_slices(rows, "ts", slice_count(rows, "group_key")), _closing_row(rows, event_id=-1, group_key="end", sequence=0)]
 
 
 def stream_seq_book(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark.session import scratch_path
 
+ROWS_PER_SLICE = 100_000_000
+KEY_ROWS_PER_SLICE = 1_000_000
+MAX_FILTERED_SLICES = 8
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -22,13 +26,29 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     return session
 
 
+def slice_count(df: DataFrame, key: str, at_least: int = 3) -> int:
+    """Slices needed to keep one micro-batch, and one key's rows in it, within what tasks can take.
+
+    A keyed stateful operator handles the rows of one key in one task, so a key with a large share of the
+    table asks for more slices.
+    """
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    rows, largest = per_key.agg(F.sum("rows"), F.max("rows")).first()
+    return max(at_least, -(-(rows or 0) // ROWS_PER_SLICE), -(-(largest or 0) // KEY_ROWS_PER_SLICE))
+
+
 def time_slices(df: DataFrame, ts: str, count: int) -> list[DataFrame]:
-    """The rows cut into ``count`` slices of equal length in time, in order."""
+    """The rows cut into ``count`` slices of equal length in time, in order.
+
+    A few slices are filters on the rows; for many, the rows are first written once, partitioned by slice.
+    """
     seconds = F.unix_seconds(F.col(ts))
     low, high = df.agg(F.min(seconds), F.max(seconds)).first()
     if low is None:
         return [df]
     width = max(1, -(-(high - low + 1) // count))
+    if count > MAX_FILTERED_SLICES:
+        return _written_slices(df, ts, F.floor((seconds - F.lit(low)) / F.lit(width)).cast("int"), count)
     edges = [low + width * number for number in range(1, count)]
     slices = []
     for start, end in zip([None, *edges], [*edges, None], strict=True):
@@ -41,6 +61,19 @@ def time_slices(df: DataFrame, ts: str, count: int) -> list[DataFrame]:
     return slices
 
 
+def _written_slices(df: DataFrame, ts: str, number: Column, count: int) -> list[DataFrame]:
+    path = scratch_path(df.sparkSession, "slices")
+    (
+        df.withColumn("_slice", number)
+        .repartitionByRange("_slice", ts)
+        .write.partitionBy("_slice")
+        .parquet(path)
+    )
+    schema = T.StructType([*df.schema.fields, T.StructField("_slice", T.IntegerType())])
+    written = df.sparkSession.read.schema(schema).parquet(path)
+    return [written.filter(F.col("_slice") == position).drop("_slice") for position in range(count)]
+
+
 def run_slices(
     spark: SparkSession, slices: list[DataFrame], write: Callable[[DataFrame], DataStreamWriter], name: str
 ) -> None:
