@@ -2,7 +2,8 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from tidemark.operators.blocks import even_slice_seconds, number_rows, running, time_slice, value_block
+from tidemark.operators import blocks
+from tidemark.operators.blocks import even_slice_seconds, event_block, number_rows, running, time_slice, value_block
 from tidemark.operators.skew import hot_keys, salted_lookup
 
 
@@ -52,3 +53,16 @@ def test_lookup_without_hot_keys(spark):
     assert hot_keys(rows, ["k"]) is None
     lookup = rows.groupBy("k").agg(F.max("id").alias("top"))
     assert salted_lookup(rows, lookup, ["k"], None, F.col("id")).count() == 50
+
+
+def test_crowded_instants_are_split(spark, monkeypatch):
+    """Two thirds of the rows share two instants, in the middle of a slice and at its end."""
+    monkeypatch.setattr(blocks, "hot_keys", lambda df, keys, rows: hot_keys(df, keys, rows, 1.0))
+    monkeypatch.setattr(blocks, "value_block", lambda value, bits=3: value_block(value, 3))
+    seconds = F.when(F.col("id") % 3 == 0, F.col("id") % 40).otherwise(F.when(F.col("id") % 3 == 1, 13).otherwise(19))
+    rows = spark.range(600).select(F.timestamp_seconds(seconds).alias("ts"), "id", F.lit("a").alias("k"))
+    block = event_block(rows, "ts", "id", 10, crowded_rows=50)
+    numbered = number_rows(rows, ["k"], block, ["ts", "id"], "n").orderBy("ts", "id").collect()
+    assert [row["n"] for row in numbered] == list(range(600))
+    parts = rows.groupBy(block.alias("block")).count().agg(F.max("count"), F.count("*")).first()
+    assert parts[0] <= 200 // 2 and parts[1] > 50

@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.skew import hot_keys
+
 BLOCK_BITS = 20
 
 
@@ -40,6 +42,23 @@ def time_slice(ts: str, seconds: int) -> Column:
     return F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / F.lit(seconds)).cast("bigint")
 
 
+def event_block(df: DataFrame, ts: str, tie: str, seconds: int, crowded_rows: int = 1 << BLOCK_BITS) -> Column:
+    """Block that keeps the order (``ts``, ``tie``) and stays small even where many rows share one instant.
+
+    A block is a time slice; an instant with more than ``crowded_rows`` rows is cut out of its slice and
+    split further by the integer ``tie``. Such instants are listed by ``skew.hot_keys``, so there are few.
+    """
+    whole = time_slice(ts, seconds)
+    crowded = hot_keys(df, [ts], crowded_rows)
+    if crowded is None:
+        return whole
+    instants = F.array(*[F.lit(row[ts]) for row in crowded.collect()])
+    is_crowded = F.array_contains(instants, F.col(ts))
+    place = 2 * F.size(F.filter(instants, lambda instant: instant < F.col(ts))) + is_crowded.cast("int")
+    part = F.when(is_crowded, value_block(tie)).otherwise(F.lit(0))
+    return F.struct(whole.alias("slice"), place.alias("place"), part.alias("part"))
+
+
 def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows that have all keys."""
     return df.filter(reduce(Column.__and__, [F.col(key).isNotNull() for key in keys]))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import file_path, to_long
-from tidemark.operators.blocks import even_slice_seconds, number_rows, time_slice
+from tidemark.operators.blocks import even_slice_seconds, event_block, number_rows
 from tidemark.operators.routing import route
 
 
@@ -58,13 +58,13 @@ def sequenced(
 
 
 def assign_sequence(df: DataFrame, group: str, ts: str, tie: str, slice_seconds: int | None = None) -> DataFrame:
-    """Add ``sequence``: 0, 1, 2, … per group in send order.
+    """Add ``sequence``: 0, 1, 2, … per group in send order (``ts``, then the integer ``tie``).
 
     The group is cut into time slices, so that a group with most rows is numbered by many tasks; the
     default width spreads the table evenly.
     """
     seconds = slice_seconds or even_slice_seconds(df, ts)
-    return number_rows(df, [group], time_slice(ts, seconds), [ts, tie], "sequence")
+    return number_rows(df, [group], event_block(df, ts, tie, seconds), [ts, tie], "sequence")
 
 
 def sequence_rows(
