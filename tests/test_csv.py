@@ -80,9 +80,9 @@ def test_naive(spark, files):
         csv_files.read_csv(spark, str(files / "edge.csv"), COLUMNS, csv_files.NAIVE, fail_fast=True).collect()
 
 
-def test_repeated_path_is_read_twice(spark, files):
+def test_repeated_path_is_read_twice(spark, files, newlines):
     path = str(files / "edge.csv")
-    assert csv_files.read_csv(spark, [path, path], COLUMNS).count() == 18
+    assert csv_files.read_csv(spark, [path, path], COLUMNS, newlines=newlines).count() == 18
 
 
 def test_wrong_header_fails(spark, files, newlines):

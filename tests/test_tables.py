@@ -13,6 +13,7 @@ from tidemark.sinks.copy import copy_tables
 from tidemark.sinks.database import append_to_database, target_table
 from tidemark.sinks.loads import load_table
 from tidemark.sources.tables import columns_of, split_table_name
+from tidemark.streaming.loads import start_loads
 
 
 def test_unlisted_table_is_an_error():
@@ -87,3 +88,21 @@ def test_tap_counts_and_passes_on(spark):
 def test_shared_folder_is_the_session_setting(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_periodic_loads(spark):
+    landing, name = scratch_path(spark, "periodic"), new_default_table(spark)
+    write = lambda n: spark.range(n, n + 2).select(F.col("id").cast("string")).write.mode("append").parquet(landing)
+    write(0)
+    query = start_loads(spark.readStream.schema("id string").parquet(landing), name, scratch_path(spark, "p"), "1 second")
+    try:
+        query.processAllAvailable()
+        write(2)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    rows = spark.table(name).collect()
+    assert sorted(row["id"] for row in rows) == ["0", "1", "2", "3"]
+    assert all(row["date_created"] is not None and row["name"] is None for row in rows)
+    with pytest.raises(ValueError, match="does not exist"):
+        start_loads(spark.readStream.schema("id string").parquet(landing), "no_such_table", scratch_path(spark, "p"))

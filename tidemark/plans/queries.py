@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
@@ -43,7 +43,7 @@ COPY_COLUMNS = {
 }
 
 
-def _day(column: str) -> F.Column:
+def _day(column: str) -> Column:
     return F.date_format(column, "yyyy-MM-dd").alias(column.split(".")[0] if "." in column else column)
 
 
@@ -183,7 +183,7 @@ def route_tags(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _status(column: str) -> F.Column:
+def _status(column: str) -> Column:
     return F.regexp_extract(column, "o_orderstatus=([A-Z])", 1)
 
 

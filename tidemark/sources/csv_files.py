@@ -18,6 +18,7 @@ The quoting modes take one of three ways with newlines inside values:
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -142,6 +143,10 @@ def split_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 
 def _read_split(spark: SparkSession, paths, columns: Sequence[str]) -> DataFrame:
+    if not isinstance(paths, str) and len(set(paths)) < len(paths):
+        times = Counter(paths)
+        rounds = [[path for path in times if times[path] > number] for number in range(max(times.values()))]
+        return flatten(*[_read_split(spark, part, columns) for part in rounds])
     schema = ", ".join(f"`{name}` string" for name in columns)
     records = split_records(spark, paths)
     header = F.from_csv("record", schema, {"escape": '"'})
@@ -188,7 +193,7 @@ def read_csv(
     """Rows of files with the given header: file_path, tag, reason, record and the string columns.
 
     ``record`` is the raw text of rows whose width is not the header's (of every row in naive mode).
-    A path listed twice is read twice (not with ``SPLIT_FILES``). A file with another header fails the query
+    A path listed twice is read twice. A file with another header fails the query
     in the quoting modes; use ``read_csv_json`` for files with differing headers.
     """
     if mode == NAIVE:
@@ -221,8 +226,6 @@ def read_csv_json(
 
     The headers are read first (one row per file); files with the same header then share one scan.
     """
-    from collections import Counter, defaultdict
-
     times = Counter(paths)
     by_header: dict[str, list[str]] = defaultdict(list)
     for row in file_headers(spark, sorted(times)).toLocalIterator():

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.sinks.loads import APPEND, load_table, require_table
 
@@ -11,9 +11,14 @@ LOAD_INTERVAL = "1 minute"
 
 
 def append_loads(stream: DataFrame, table: str) -> DataStreamWriter:
-    """Append every micro-batch to ``table``; the caller sets the trigger (``LOAD_INTERVAL``) and starts it.
+    """Append every micro-batch to ``table``; the caller sets trigger and checkpoint.
 
     Loads carry no de-duplication ids: a micro-batch repeated after a failure is loaded again.
     """
     require_table(stream.sparkSession, table)
     return stream.writeStream.foreachBatch(lambda rows, batch: load_table(rows, table, APPEND))
+
+
+def start_loads(stream: DataFrame, table: str, checkpoint: str, interval: str = LOAD_INTERVAL) -> StreamingQuery:
+    """Load what has arrived once per interval until the query is stopped."""
+    return append_loads(stream, table).option("checkpointLocation", checkpoint).trigger(processingTime=interval).start()
