@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact, mixing
+from tidemark.llm import exact, mixing, simhash, toxicity
 from tidemark.llm.tables import table
 
 
@@ -19,13 +19,37 @@ def op1_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.dedup(table(spark, folder, "documents"))
 
 
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    """Trained on the labelled documents that are not held out."""
+    known = labels.select("doc_id", "toxic").filter(~toxicity.held_out(F.col("doc_id")))
+    return toxicity.train(docs.select("doc_id", "text", "lang").join(known, "doc_id"))
+
+
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity_model(docs, table(spark, folder, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        "threshold",
+    )
+
+
 QUERIES = {
     "op1_source_mix": op1_source_mix,
+    "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op7_exact_dedup": op7_exact_dedup,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE = {
