@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact, mixing, simhash, toxicity
+from tidemark.llm import exact, mixing, packing, simhash, toxicity
 from tidemark.llm.tables import table
 
 
@@ -23,6 +24,10 @@ def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.dedup(table(spark, folder, "documents"))
 
@@ -48,6 +53,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_source_mix": op1_source_mix,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op7_exact_dedup": op7_exact_dedup,
     "op10_toxicity": op10_toxicity,
 }
