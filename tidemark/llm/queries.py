@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact, mixing, packing, simhash, toxicity
+from tidemark.llm import exact, mixing, order_minhash, packing, simhash, toxicity
 from tidemark.llm.tables import table
 
 
@@ -32,6 +32,10 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.dedup(table(spark, folder, "documents"))
 
 
+def op9_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return order_minhash.compare_with_next(table(spark, folder, "documents"))
+
+
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
     """Trained on the labelled documents that are not held out."""
     known = labels.select("doc_id", "toxic").filter(~toxicity.held_out(F.col("doc_id")))
@@ -55,6 +59,7 @@ QUERIES = {
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_order_minhash": op9_order_minhash,
     "op10_toxicity": op10_toxicity,
 }
 
