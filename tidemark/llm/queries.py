@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact, mixing, order_minhash, packing, simhash, toxicity
+from tidemark.llm import exact, mixing, order_minhash, packing, simhash, toxicity, warc
 from tidemark.llm.tables import table
 
 
@@ -24,6 +24,15 @@ def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op5_warc_histories(spark: SparkSession, folder: str) -> DataFrame:
+    """``pages`` has no capture times; its rows are taken as captured one second apart in order of id."""
+    pages = table(spark, folder, "pages")
+    captured_at = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("page_id"))
+    return warc.histories(pages, captured_at).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -57,6 +66,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_source_mix": op1_source_mix,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_warc_histories": op5_warc_histories,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_order_minhash": op9_order_minhash,
@@ -94,6 +104,17 @@ ORACLE = {
         SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
                CAST((floor(rate) + CASE WHEN coin < rate - floor(rate) THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
         FROM rated""",
+    "op5_warc_histories": """
+        WITH bodies AS (
+            SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
+        firsts AS (SELECT *, min(page_id) OVER (PARTITION BY body) AS first FROM bodies)
+        SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes,
+               array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + (
+                   (CAST('0x' || substr(hex, CAST(1 + 5 * (i // 4) AS INT), 5) AS BIGINT)
+                       >> CAST(15 - 5 * (i % 4) AS INT)) & 31) AS INT), 1) FOR i IN range(32)], '') AS payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM firsts""",
     "op7_exact_dedup": """
         WITH folded AS (
             SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
