@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact, mixing, order_minhash, packing, simhash, toxicity, warc
+from tidemark.llm import exact, mixing, order_minhash, packing, sharding, simhash, toxicity, warc
 from tidemark.llm.tables import table
 
 
@@ -41,6 +41,19 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.dedup(table(spark, folder, "documents"))
 
 
+def op8_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Law ``bytes``: near equal bytes in eight shards, by size, characters and language."""
+    docs = table(spark, folder, "documents")
+    dimensions = {
+        "bytes": F.octet_length("text"),
+        "n_chars": F.col("n_chars"),
+        "lang": sharding.text_place(F.col("lang")),
+    }
+    return sharding.kd_shards(docs, dimensions, shards=8).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op9_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return order_minhash.compare_with_next(table(spark, folder, "documents"))
 
@@ -69,6 +82,7 @@ QUERIES = {
     "op5_warc_histories": op5_warc_histories,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_kd_shards": op8_kd_shards,
     "op9_order_minhash": op9_order_minhash,
     "op10_toxicity": op10_toxicity,
 }
