@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact, mixing, order_minhash, packing, sharding, simhash, toxicity, warc
+from tidemark.llm import exact, mixing, order_minhash, packing, repeats, sharding, simhash, toxicity, warc
 from tidemark.llm.tables import table
 
 
@@ -20,6 +20,10 @@ def op1_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.dedup(table(spark, folder, "documents"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
@@ -78,6 +82,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_source_mix": op1_source_mix,
+    "op3_repeated_passages": op3_repeated_passages,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_warc_histories": op5_warc_histories,
     "op6_best_fit_packing": op6_best_fit_packing,
