@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
+from pathlib import Path
+
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact, mixing, order_minhash, packing, repeats, sharding, simhash, toxicity, warc
-from tidemark.llm.tables import table
+from tidemark.llm import exact, mixing, order_minhash, packing, repeats, secrets, sharding, simhash, toxicity, warc
+from tidemark.llm.tables import table, written
 
 
 def op1_source_mix(spark: SparkSession, folder: str) -> DataFrame:
@@ -20,6 +23,27 @@ def op1_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def findings_label() -> Column:
+    """Labels for candidates, as the tables have none: the reviewer's rule that a value is a secret if it has the format of a cloud access key or is
+    assigned to a name for credentials; all other candidates are false positives."""
+    is_key = F.col("value").rlike("^AKIA[A-Z0-9]{16}$")
+    is_assigned = F.col("before").rlike(r"(?i)(password|passwd|secret|token|api[_-]?key)\s*[=:]\s*[\"']?$")
+    return (is_key | is_assigned).cast("int")
+
+
+def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """All candidates with their scores; labels are learnt only from documents that are not held out."""
+    docs = table(spark, folder, "documents")
+    vocabulary = json.loads(Path(public_tokenizers.path("word_bpe_49k.json")).read_text())["model"]["vocab"]
+    dictionary = [word.removesuffix("</w>") for word in vocabulary if word.endswith("</w>") and word[:-4].isalpha()]
+    found = written(secrets.candidates(docs, dictionary), "candidates")
+    held_out = F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False))
+    forest = secrets.train(found.filter(~held_out), findings_label())
+    return secrets.score(found, forest).select(
+        "doc_id", "start", "length", "value_sha256", "score", (F.col("score") >= 0.5).alias("is_secret"), held_out.alias("held_out")
+    )
+
+
 def op3_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.dedup(table(spark, folder, "documents"))
 
@@ -82,6 +106,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_source_mix": op1_source_mix,
+    "op2_secret_scan": op2_secret_scan,
     "op3_repeated_passages": op3_repeated_passages,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_warc_histories": op5_warc_histories,
