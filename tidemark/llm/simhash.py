@@ -34,10 +34,11 @@ from tidemark.llm.components import components, local_roots
 from tidemark.llm.tables import written
 
 SAMPLE = 20_000
-SHARD_ROWS = 4096
+SHARD_ROWS = 16_384
 MAX_SHARDS = 4096
 MAX_LEVELS = 48
 CANDIDATES = 12
+WORK_POWER = 1.5
 LEAF_ROWS = 512
 
 
@@ -95,16 +96,22 @@ def distances(one: np.uint64, many: np.ndarray) -> np.ndarray:
 
 
 def best_cut(members: np.ndarray, radius: int) -> tuple[np.uint64, int, int] | None:
-    """Vantage point and largest near distance that leave the smallest larger side, and its size; None if nothing shrinks it."""
+    """Vantage point, largest near distance and the larger side's size; None if no cut shrinks the members.
+
+    A cut is as good as the work it leaves, which grows with a side's size to a power above one; where
+    distances leave a gap, few fingerprints go to both sides.
+    """
     best = None
     for point in members[np.linspace(0, len(members) - 1, CANDIDATES).astype(int)]:
         sizes = np.cumsum(np.bincount(distances(point, members), minlength=65))
         strip = np.concatenate([np.zeros(radius, int), sizes[:-radius]]) if radius else sizes
-        larger = np.maximum(sizes, len(members) - strip)
-        at = int(np.argmin(larger))
-        if best is None or larger[at] < best[2]:
-            best = point, at, int(larger[at])
-    return best if best and best[2] < 0.95 * len(members) else None
+        far = len(members) - strip
+        larger = np.maximum(sizes, far)
+        work = np.where(larger < 0.95 * len(members), sizes**WORK_POWER + far**WORK_POWER, np.inf)
+        at = int(np.argmin(work))
+        if work[at] < np.inf and (best is None or work[at] < best[3]):
+            best = point, at, int(larger[at]), work[at]
+    return best[:3] if best else None
 
 
 def vantage_points(sample: np.ndarray, share: float, radius: int) -> list[tuple[np.uint64, int]]:
