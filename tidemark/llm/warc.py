@@ -107,8 +107,9 @@ class Inflated:
     def _more(self) -> bool:
         if self.at >= len(self.content):
             return False
-        piece = self.inflater.decompress(self.content[self.at : self.at + CHUNK])
-        self.at += CHUNK
+        given = self.content[self.at : self.at + CHUNK]
+        piece = self.inflater.decompress(given)
+        self.at += len(given)
         if self.inflater.eof and self.inflater.unused_data:
             self.at -= len(self.inflater.unused_data)
             self.inflater = zlib.decompressobj(31)
