@@ -89,7 +89,7 @@ def op9_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
     """Trained on the labelled documents that are not held out."""
     known = labels.select("doc_id", "toxic").filter(~toxicity.held_out(F.col("doc_id")))
-    return toxicity.train(docs.select("doc_id", "text", "lang").join(known, "doc_id"))
+    return toxicity.train(docs, known)
 
 
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
