@@ -64,21 +64,20 @@ def dedup(docs: DataFrame, ident: str = "doc_id", text: str = "text", salts: int
 
 
 def survivors(docs: DataFrame, ident: str = "doc_id", text: str = "text", salts: int = SALTS) -> DataFrame:
-    """The documents that stay, with all their columns."""
+    """The documents that stay, with all their columns.
+
+    One key of digests and id serves the join and the choice among repeated rows, so the texts move once.
+    """
     norm = normalised(docs[text])
+
+    def key(sha256: Column, check: Column, id_: Column) -> Column:
+        return F.concat_ws(":", sha256, check.cast("string"), F.coalesce(id_.cast("string"), F.lit("null")))
+
     rows = docs.select(
         F.struct(*[docs[f"`{name}`"] for name in docs.columns]).alias("doc"),
-        docs[ident].alias("_id"),
-        F.sha2(norm, 256).alias("_sha256"),
-        F.xxhash64(norm).alias("_check"),
-    )
-    best = winners(docs, ident, text, salts).select("text_sha256", F.col("check").alias("_best_check"), "keep_id")
-    joined = rows.join(
-        best,
-        (F.col("_sha256") == F.col("text_sha256"))
-        & (F.col("_check") == F.col("_best_check"))
-        & F.col("_id").eqNullSafe(F.col("keep_id")),
-        "left_semi",
+        key(F.sha2(norm, 256), F.xxhash64(norm), docs[ident]).alias("key"),
     )
-    copy = F.row_number().over(Window.partitionBy("_sha256", "_check", "_id").orderBy("_check"))
-    return joined.withColumn("_copy", copy).filter("_copy = 1").select("doc.*")
+    best = winners(docs, ident, text, salts)
+    best = best.select(key(F.col("text_sha256"), F.col("check"), F.col("keep_id")).alias("key"))
+    copy = F.row_number().over(Window.partitionBy("key").orderBy(F.lit(0)))
+    return rows.join(best, "key", "left_semi").withColumn("copy", copy).filter("copy = 1").select("doc.*")
