@@ -8,6 +8,7 @@ merge model; all others go through the library's whole chain.
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -16,8 +17,8 @@ from tidemark.llm import spans
 
 ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")  # fixed value of the vocabulary, for printable ASCII
 PLAIN = re.compile(r"[!-~]+")
-CACHE_WORDS = 1_000_000
-CACHE_PARTS = 500_000
+CACHE_WORDS = 400_000
+CACHE_PARTS = 300_000
 
 
 class WordEncoder:
@@ -26,7 +27,7 @@ class WordEncoder:
     def __init__(self, vocabulary: str, end_id: int):
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.end_id = end_id
-        self.parts: dict[str, list[int]] = {}
+        self.parts: dict[str, bytes] = {}
         self._clear()
 
     def _clear(self) -> None:
@@ -35,28 +36,31 @@ class WordEncoder:
         self.ids = np.zeros(1 << 18, np.uint32)
         self.ids[0], self.lengths[0], self.used, self.words = self.end_id, 1, 1, 1
 
-    def _part(self, part: str) -> list[int]:
+    def _part(self, part: str) -> bytes:
         found = self.parts.get(part)
         if found is None:
             if len(self.parts) >= CACHE_PARTS:
                 self.parts.clear()
-            found = self.parts[part] = [token.id for token in self.tokenizer.model.tokenize(part)]
+            ids = array("I", [token.id for token in self.tokenizer.model.tokenize(part)])
+            found = self.parts[part] = ids.tobytes()
         return found
 
-    def _encode(self, words: list[str]) -> list[list[int]]:
-        result: list[list[int]] = [[]] * len(words)
+    def _encode(self, words: list[str]) -> list[bytes]:
+        """The ids of every word as 32-bit numbers."""
+        result = [b""] * len(words)
         others = []
+        part = self._part
         for i, word in enumerate(words):
             if PLAIN.fullmatch(word) and "<|" not in word:
-                result[i] = [id_ for part in ASCII_PARTS.findall(word.lower()) for id_ in self._part(part)]
+                result[i] = b"".join([part(one) for one in ASCII_PARTS.findall(word.lower())])
             else:
                 others.append(i)
         for i, encoding in zip(others, self.tokenizer.encode_batch_fast([words[i] for i in others], add_special_tokens=False), strict=True):
-            result[i] = encoding.ids
+            result[i] = array("I", encoding.ids).tobytes()
         return result
 
-    def _add(self, keys: list[int], found: list[list[int]]) -> None:
-        lengths = np.array([len(ids) for ids in found], np.int64)
+    def _add(self, keys: list[int], found: list[bytes]) -> None:
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
         while self.words + len(found) > len(self.starts):
             self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
         while self.used + lengths.sum() > len(self.ids):
@@ -64,7 +68,7 @@ class WordEncoder:
         ends = self.used + np.cumsum(lengths)
         self.starts[self.words : self.words + len(found)] = ends - lengths
         self.lengths[self.words : self.words + len(found)] = lengths
-        self.ids[self.used : ends[-1]] = np.fromiter((id_ for ids in found for id_ in ids), np.uint32, lengths.sum())
+        self.ids[self.used : ends[-1]] = np.frombuffer(b"".join(found), np.uint32)
         self.places.update(zip(keys, range(self.words, self.words + len(found)), strict=True))
         self.used, self.words = int(ends[-1]), self.words + len(found)
 
