@@ -1,27 +1,10 @@
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import blocks
-from tidemark.operators.blocks import even_slice_seconds, event_block, number_rows, running, time_slice, value_block
-from tidemark.operators.skew import hot_keys, salted_lookup
-
-
-def test_number_rows_over_many_blocks(spark):
-    rows = spark.createDataFrame([("hot" if n % 3 else f"k{n % 2}", n * 7 % 501 - 100) for n in range(501)], "k string, v bigint")
-    numbered = number_rows(rows, ["k"], value_block("v", 4), ["v"], "n").collect()
-    for key in {row["k"] for row in numbered}:
-        mine = sorted((row["v"], row["n"]) for row in numbered if row["k"] == key)
-        assert [n for _, n in mine] == list(range(len(mine)))
-
-
-def test_running_sum_with_weights(spark):
-    rows = spark.createDataFrame([("a", v, v % 4) for v in range(-20, 40)], "k string, v bigint, w bigint")
-    total, top = 0, -99
-    for row in sorted(running(rows, ["k"], value_block("v", 2), ["v"], {"sum": F.col("w")}, {"top": -F.col("v") % 7}).collect(), key=lambda r: r["v"]):
-        total += row["w"]
-        top = max(top, -(row["v"] % 7) if row["v"] >= 0 else -row["v"] % 7)
-        assert (row["sum"], row["top"]) == (total, top)
+from tidemark.operators import ranges
+from tidemark.operators.blocks import value_block
 
 
 def test_value_block_keeps_order_below_zero(spark):
@@ -29,40 +12,40 @@ def test_value_block_keeps_order_below_zero(spark):
     assert blocks == sorted(blocks) and blocks[0] == -3
 
 
-def test_time_slices(spark):
-    rows = spark.range(100).select(F.timestamp_seconds("id").alias("ts"), "id", F.lit("a").alias("k"))
-    width = even_slice_seconds(rows, "ts", rows_per_slice=10)
-    assert width == 10
-    numbered = number_rows(rows, ["k"], time_slice("ts", width), ["ts", "id"], "n")
-    assert numbered.filter("n <> id").count() == 0
-    assert even_slice_seconds(rows.filter("id < 0"), "ts") == 1
+def test_number_rows_with_null_and_hot_keys(spark):
+    key = F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 2 > 0, F.concat(F.lit("k"), F.col("id") % 5))
+    rows = spark.range(501).select(key.alias("k"), (F.col("id") * 7 % 501 - 100).alias("v"), "id")
+    numbered = ranges.number_rows(rows, ["k"], ["v"], "n").collect()
+    assert len(numbered) == 501
+    for key in {row["k"] for row in numbered}:
+        mine = sorted((row["v"], row["n"]) for row in numbered if row["k"] == key)
+        assert [n for _, n in mine] == list(range(len(mine)))
 
 
-def test_salted_lookup_keeps_every_row(spark):
-    rows = spark.range(500).select(F.when(F.col("id") < 400, 0).otherwise(F.col("id")).alias("k"), "id")
-    lookup = rows.groupBy("k").agg(F.max("id").alias("top"))
-    hot = hot_keys(rows, ["k"], min_rows=10, fraction=1.0)
-    assert [tuple(r) for r in hot.collect()] == [(0, 40)]
-    joined = salted_lookup(rows, lookup, ["k"], hot, F.col("id")).collect()
-    assert Counter(r["k"] for r in joined) == Counter(0 if n < 400 else n for n in range(500))
-    assert all(r["top"] == (399 if r["k"] == 0 else r["id"]) for r in joined)
+def test_running_sums_and_maxima(spark):
+    rows = spark.createDataFrame([("a", v, v % 4, v % 7 or None) for v in range(-20, 40)], "k string, v bigint, w bigint, x bigint")
+    total, top = 0, None
+    found = ranges.running(rows, ["k"], ["v"], {"sum": F.col("w")}, {"top": F.col("x")}).collect()
+    for row in sorted(found, key=lambda r: r["v"]):
+        total += row["w"]
+        top = max(x for x in (top, row["x"]) if x is not None) if row["x"] is not None or top is not None else None
+        assert (row["sum"], row["top"]) == (total, top)
 
 
-def test_lookup_without_hot_keys(spark):
-    rows = spark.range(50).select((F.col("id") % 5).alias("k"), "id")
-    assert hot_keys(rows, ["k"]) is None
-    lookup = rows.groupBy("k").agg(F.max("id").alias("top"))
-    assert salted_lookup(rows, lookup, ["k"], None, F.col("id")).count() == 50
+def test_empty_table(spark):
+    assert ranges.number_rows(spark.range(0), [], ["id"], "n").collect() == []
 
 
-def test_crowded_instants_are_split(spark, monkeypatch):
-    """Two thirds of the rows share two instants, in the middle of a slice and at its end."""
-    monkeypatch.setattr(blocks, "hot_keys", lambda df, keys, rows: hot_keys(df, keys, rows, 1.0))
-    monkeypatch.setattr(blocks, "value_block", lambda value, bits=3: value_block(value, 3))
-    seconds = F.when(F.col("id") % 3 == 0, F.col("id") % 40).otherwise(F.when(F.col("id") % 3 == 1, 13).otherwise(19))
-    rows = spark.range(600).select(F.timestamp_seconds(seconds).alias("ts"), "id", F.lit("a").alias("k"))
-    block = event_block(rows, "ts", "id", 10, crowded_rows=50)
-    numbered = number_rows(rows, ["k"], block, ["ts", "id"], "n").orderBy("ts", "id").collect()
-    assert [row["n"] for row in numbered] == list(range(600))
-    parts = rows.groupBy(block.alias("block")).count().agg(F.max("count"), F.count("*")).first()
-    assert parts[0] <= 200 // 2 and parts[1] > 50
+@pytest.mark.parametrize("rows", [10, 20_000])
+def test_one_plan_for_every_size_and_even_ranges_of_bursts(spark, rows):
+    """Nine tenths of the rows have one key and one instant."""
+    burst = F.col("id") % 10 > 0
+    table = spark.range(rows).select(F.when(burst, "hot").otherwise("k").alias("k"), F.when(burst, 5).otherwise(F.col("id")).alias("ts"), "id")
+    dealt = ranges.dealt(table, ["k"], ["ts", "id"])
+    sizes = Counter(r[0] for r in dealt.select(ranges.RANGE).collect())
+    assert max(sizes.values()) <= max(10, 2 * rows / len(sizes))
+    numbered = ranges.number_rows(table, ["k"], ["ts", "id"], "n")
+    assert "BroadcastHashJoin" in numbered._jdf.queryExecution().executedPlan().toString()
+    for key, count in (("hot", rows - rows // 10), ("k", rows // 10)):
+        own = sorted((r["ts"], r["id"], r["n"]) for r in numbered.filter(F.col("k") == key).collect())
+        assert [n for *_, n in own] == list(range(count))

@@ -117,10 +117,35 @@ def test_notifications(spark):
     ]
 
 
-def test_trace_counts(spark, files):
-    traced = csv_files.file_trace(csv_files.read_csv(spark, str(files / "edge.csv"), COLUMNS, csv_files.STRICT)).first()
-    assert (traced["rows"], traced["errors"]) == (8, 1)
-    assert traced["message"].startswith("file parse completed | rows=8 | file=")
+def test_traces_of_files_with_and_without_rows(spark, files):
+    rows = csv_files.read_csv(spark, str(files / "edge.csv"), COLUMNS, csv_files.STRICT)
+    seen = spark.createDataFrame([(f"file:///{files}/edge.csv",), (f"file:{files}/empty.csv",)], "path string")
+    traced = {(r["file_path"].rsplit("/", 1)[-1], r["step"]): (r["rows"], r["errors"], r["message"]) for r in csv_files.file_trace(rows, seen).collect()}
+    assert traced == {
+        ("edge.csv", "start"): (0, 0, "opened"), ("edge.csv", "end"): (8, 1, "read 8 rows with 1 errors"),
+        ("empty.csv", "start"): (0, 0, "opened"), ("empty.csv", "end"): (0, 0, "read 0 rows with 0 errors"),
+    }
+
+
+STRAY = 'id,name,v\n1,a"b,2\n3,c,4\n5,"d ""e"",\n\n,f",6\n7,g"",8\n"9",h\n10,,"x\n11,i,12\n'
+
+
+def test_stray_and_open_quotes_lose_no_row(spark, tmp_path, newlines):
+    if newlines == csv_files.WHOLE_FILES:
+        pytest.skip("for well formed files")
+    (tmp_path / "stray.csv").write_text(STRAY)
+    rows = csv_files.read_csv(spark, str(tmp_path / "stray.csv"), COLUMNS, csv_files.STRICT, newlines).collect()
+    main = {tuple(r[n] for n in COLUMNS) for r in rows if r["tag"] == "main"}
+    assert main == {("1", 'a"b', "2"), ("3", "c", "4"), ("5", 'd "e",\n\n,f', "6"), ("7", 'g""', "8")}
+    errors = {(r["record"], r["reason"]) for r in rows if r["tag"] == "error"}
+    assert errors == {('"9",h', "short row: 2 of 3 fields"), ('10,,"x\n11,i,12', "unterminated quote")}
+
+
+def test_header_names_and_no_files(spark, tmp_path):
+    assert csv_files.header_names('"id","na,me",v') == ["id", "na,me", "v"]
+    (tmp_path / "empty.csv").write_text("")
+    rows = csv_files.read_csv_json(spark, [str(tmp_path / "empty.csv")])
+    assert rows.collect() == [] and rows.columns == ["file_path", "tag", "reason", "record", "row"]
 
 
 def test_keyed_lines(spark, files):

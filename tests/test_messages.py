@@ -29,8 +29,9 @@ def test_broker_records(spark):
 
 
 def test_sequence_rows(spark):
-    rows = messages.sequence_rows(spark, 5, 7, 3, 10).collect()
+    rows = messages.sequence_rows(spark.range(7).select((F.col("id") * -1).alias("key")), ["key"], 5, 3, 10).orderBy("n").collect()
     assert [r["n"] for r in rows] == list(range(5, 12))
+    assert [r["key"] for r in rows] == list(range(-6, 1))
     assert [int(r["ts"].timestamp()) for r in rows] == [0, 0, 0, 10, 10, 10, 20]
 
 
@@ -48,7 +49,8 @@ def test_sequence_stream(spark, tmp_path):
     assert rows == [(1, 0), (2, 0), (3, 0), (4, 10), (5, 10), (6, 10)]
 
 
-def test_assign_sequence_with_narrow_slices(spark):
-    rows = spark.range(60).select((F.col("id") % 2).alias("g"), F.timestamp_seconds(F.col("id") / 2).alias("ts"), "id")
-    numbered = messages.assign_sequence(rows, "g", "ts", "id", slice_seconds=4)
-    assert numbered.filter("sequence <> id div 2").count() == 0 and numbered.count() == 60
+def test_assign_sequence_keeps_rows_without_group_or_time(spark):
+    group = F.when(F.col("id") % 3 > 0, F.col("id") % 3)
+    rows = spark.range(60).select(group.alias("g"), F.when(F.col("id") > 2, F.timestamp_seconds(F.col("id") / 2)).alias("ts"), "id")
+    numbered = messages.assign_sequence(rows, "g", "ts", "id")
+    assert numbered.filter("sequence <> id div 3").count() == 0 and numbered.count() == 60

@@ -4,9 +4,11 @@ import pytest
 
 import __spark_entry__ as registry
 from tests.compare import difference, duck
+from tidemark.plans import oracle, queries, streams
 
 FOLDER = "/root/testdata/sf0.001"
-NAMES = list(registry.queries())
+QUERIES = {**queries.BATCH, **streams.STREAM}
+SQL = {**oracle.BATCH, **oracle.STREAM}
 
 
 @pytest.fixture(scope="module")
@@ -15,13 +17,15 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(registry.oracle_sql()) == set(NAMES)
+    assert SQL.keys() == QUERIES.keys()
+    assert QUERIES.items() <= registry.queries().items()
+    assert SQL.items() <= registry.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, connection, name):
-    frame = registry.queries()[name](spark, FOLDER)
-    assert difference(frame, connection, registry.oracle_sql()[name]) is None
+    frame = QUERIES[name](spark, FOLDER)
+    assert difference(frame, connection, SQL[name]) is None
 
 
 def test_entry(spark):

@@ -12,6 +12,15 @@ def test_slices_keep_all_rows_in_order(spark):
         assert [value for part in found for value in part] == list(range(500))
 
 
+def test_slices_of_a_burst_have_equal_numbers_of_rows(spark):
+    """Nine tenths of the rows come within one of a thousand minutes."""
+    micros = F.when(F.col("id") % 10 > 0, F.col("id") * 600).otherwise(F.col("id") * 6_000_000)
+    rows = spark.range(10_000).select("id", F.timestamp_micros(micros).alias("ts"))
+    sizes = [part.count() for part in replay.time_slices(rows, "ts", 6)]
+    assert sum(sizes) == 10_000 and max(sizes) <= 2 * 10_000 / 6
+    assert [part.count() for part in replay.time_slices(rows.filter("id < 0"), "ts", 4)] == [0]
+
+
 def test_hot_keys_ask_for_more_slices(spark, monkeypatch):
     rows = spark.range(100).select(F.when(F.col("id") < 90, 0).otherwise(F.col("id")).alias("k"))
     assert replay.slice_count(rows, "k") == 3

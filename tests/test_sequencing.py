@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from tests.model import ORDERS, replay
 from tidemark.operators import sequencing
-from tidemark.operators.skew import hot_keys
 from tidemark.sources.messages import sequenced
 from tidemark.streaming.replay import run_to_table
 from tidemark.streaming.sequencer import sequence_channels
@@ -30,16 +29,23 @@ def messages(spark):
     return as_messages(spark, CASES).cache()
 
 
-@pytest.fixture
-def crowded(monkeypatch):
-    """Count everything and call every key with more than one row hot."""
-    exact = lambda rows, keys, *_: hot_keys(rows, keys, 1, 1.0)
-    monkeypatch.setattr(sequencing, "hot_keys", exact)
+def test_rows_that_are_no_messages_are_rejected_everywhere(spark):
+    rows = [("a", 1, 0), (None, 1, 1), ("a", None, 2), ("a", 2, None), ("a", 2, 3), (None, None, None)]
+    frame = spark.createDataFrame(rows, "channel string, sequence bigint, position bigint")
+    made = sequenced(frame, F.col("channel"), F.col("sequence"), F.timestamp_seconds("position"), ["position"], F.col("position"))
+    assert sorted(r["reason"] for r in sequencing.rejected(made).collect()) == ["no arrival time", "no channel", "no channel", "no sequence"]
+    assert [r["channel"] for r in sequencing.base_books(made).collect()] == ["a"]
+    assert [(r["channel"], r["sequence"]) for r in sequencing.books(made).collect()] == [("a", 2)]
+    assert sorted(r["class"] for r in sequencing.classify(made).collect()) == ["base", "in_order"]
+    assert sequencing.first_arrivals(made).count() == 2
 
 
-def test_crowded_blocks_and_hot_copies(crowded, messages):
-    test_classes(messages, 20)
-    test_books_and_emissions(messages, 2)
+def test_equal_arrivals_have_one_base(spark):
+    frame = spark.createDataFrame([("a", 1, 0)] * 3 + [("a", 2, 1)] * 2, "channel string, sequence bigint, position bigint")
+    made = sequenced(frame, F.col("channel"), F.col("sequence"), F.timestamp_seconds("position"), ["position"], F.col("position"))
+    assert sorted(r["class"] for r in sequencing.classify(made).collect()) == ["base", "in_order", "late", "late", "late"] or sorted(
+        r["class"] for r in sequencing.classify(made).collect()
+    ) == ["base", "duplicate", "in_order", "late", "late"]
 
 
 # 20 bits keep a channel in one block; 1 and 2 bits cut it into many.
@@ -146,3 +152,16 @@ def test_stream(spark, messages, options):
         for at, kind, book, price, count, skipped in replay(order, **options)[1]:
             expected.append((channel, at, kind, book, price, count, *(skipped or (None, None))))
     assert sorted(found, key=str) == sorted(expected, key=str)
+
+
+def test_overflow_by_age_and_highest_waiting(spark):
+    """Nothing has advanced for more than ten seconds: the book jumps to the arrival, and nothing waits any more."""
+    rows = [("a", 0, 0), ("a", 2, 1), ("a", 9, 2), ("a", 5, 20), ("a", 7, 21), ("a", 6, 22)]
+    frame = spark.createDataFrame(rows, "channel string, sequence bigint, position bigint")
+    made = sequenced(frame, F.col("channel"), F.col("sequence"), F.timestamp_seconds("position"), ["position"], F.col("position"))
+    emitted = run_to_table(spark, [made], lambda stream: sequence_channels(stream, max_age_seconds=10), "age")
+    found = [
+        (r["kind"], r["sequence"], r["released"], r["skipped_from"], r["skipped_to"], r["pending_last"], r["remaining"])
+        for r in emitted.orderBy("at").collect()
+    ]
+    assert found == [("overflow", 5, 1, 1, 4, None, 0), ("book", 7, 2, None, None, None, 0)]

@@ -106,3 +106,14 @@ def test_periodic_loads(spark):
     assert all(row["date_created"] is not None and row["name"] is None for row in rows)
     with pytest.raises(ValueError, match="does not exist"):
         start_loads(spark.readStream.schema("id string").parquet(landing), "no_such_table", scratch_path(spark, "p"))
+
+
+def test_repeated_micro_batch_replaces_its_load(spark):
+    name = new_default_table(spark, batches=True)
+    first = spark.createDataFrame([("1", "a"), ("2", "b")], "id string, name string")
+    load_table(first, name, "truncate", {"batch": 0})
+    load_table(spark.createDataFrame([("3", "c")], "id string, name string"), name, "truncate", {"batch": 1})
+    load_table(first, name, "truncate", {"batch": 0})
+    rows = spark.table(name).collect()
+    assert sorted((r["id"], r["batch"]) for r in rows) == [("1", 0), ("2", 0), ("3", 1)]
+    assert all(r["date_created"] is not None for r in rows)

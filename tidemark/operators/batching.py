@@ -4,24 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.blocks import number_rows
+from tidemark.operators.ranges import number_rows
 
 BATCH_SIZE = 25
 
 
-def number_batches(
-    df: DataFrame, keys: Sequence[str], block: Column, order: Sequence[str], size: int = BATCH_SIZE
-) -> DataFrame:
-    """Add ``batch_no``: consecutive runs of ``size`` rows per key, in ``order``.
-
-    ``block`` must keep that order (see ``operators.blocks``); a key of any size is then numbered without
-    bringing it into one task.
-    """
+def number_batches(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int = BATCH_SIZE) -> DataFrame:
+    """Add ``batch_no``: consecutive runs of ``size`` rows per key, in ``order``; a key may be of any size."""
     return (
-        number_rows(df, keys, block, order, "_position")
+        number_rows(df, keys, order, "_position")
         .withColumn("batch_no", F.floor(F.col("_position") / F.lit(size)).cast("bigint"))
         .drop("_position")
     )
@@ -35,12 +29,12 @@ def collect_batches(numbered: DataFrame, keys: Sequence[str], order: str, elemen
     )
 
 
-def export_manifest(batches: DataFrame, keys: Sequence[str], parameters: Mapping[str, str]) -> DataFrame:
-    """One launch row per batch: a job name, the comma-joined tables and the fixed parameters."""
+def export_manifest(batches: DataFrame, keys: Sequence[str], parameters: Mapping[str, str], run: str) -> DataFrame:
+    """One launch row per batch: a job name that names the ``run``, the comma-joined tables and the fixed parameters."""
     settings = [part for name, value in parameters.items() for part in (F.lit(name), F.lit(value))]
     names = [F.col(key).cast("string") for key in keys]
     return batches.select(
-        F.concat_ws("-", F.lit("export"), *names, F.col("batch_no").cast("string")).alias("job_name"),
+        F.concat_ws("-", F.lit("export"), F.lit(run), *names, F.col("batch_no").cast("string")).alias("job_name"),
         F.concat_ws(",", "items").alias("tables"),
         (F.create_map(*settings) if settings else F.create_map()).alias("parameters"),
     )

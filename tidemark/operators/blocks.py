@@ -1,107 +1,14 @@
-"""Running aggregates over groups of any size.
-
-A plain window over a key sorts the whole key in one task. Here the key is cut into blocks that keep
-the order (all rows of block *b* come before those of block *b + 1*): the window runs inside a block,
-a summary with one row per block is accumulated over the key, and the two meet in a join on
-(key, block). No task handles more than one block of rows or one key's block summaries.
-"""
+"""Order-preserving blocks of integers, by which a key of any size is cut."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.operators.skew import hot_keys
-
 BLOCK_BITS = 20
 
 
 def value_block(value: Column | str, bits: int = BLOCK_BITS) -> Column:
-    """Order-preserving block of an integer column: at most ``2**bits`` distinct values each."""
+    """At most ``2**bits`` distinct values each; all values of a block are below those of the next."""
     column = F.col(value) if isinstance(value, str) else value
     return F.shiftright(column.cast("bigint"), bits)
-
-
-def even_slice_seconds(df: DataFrame, ts: str, rows_per_slice: int = 1 << BLOCK_BITS) -> int:
-    """Slice width in seconds that gives about ``rows_per_slice`` rows of the table to a slice."""
-    low, high, rows = df.agg(
-        F.min(F.unix_seconds(F.col(ts).cast("timestamp"))),
-        F.max(F.unix_seconds(F.col(ts).cast("timestamp"))),
-        F.count(F.lit(1)),
-    ).first()
-    if not rows or low is None:
-        return 1
-    return max(1, (high - low + 1) * rows_per_slice // rows)
-
-
-def time_slice(ts: str, seconds: int) -> Column:
-    """Order-preserving block of a timestamp column."""
-    return F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / F.lit(seconds)).cast("bigint")
-
-
-def event_block(df: DataFrame, ts: str, tie: str, seconds: int, crowded_rows: int = 1 << BLOCK_BITS) -> Column:
-    """Block that keeps the order (``ts``, ``tie``) and stays small even where many rows share one instant.
-
-    A block is a time slice; an instant with more than ``crowded_rows`` rows is cut out of its slice and
-    split further by the integer ``tie``. Such instants are listed by ``skew.hot_keys``, so there are few.
-    """
-    whole = time_slice(ts, seconds)
-    crowded = hot_keys(df, [ts], crowded_rows)
-    if crowded is None:
-        return whole
-    instants = F.array(*[F.lit(row[ts]) for row in crowded.collect()])
-    is_crowded = F.array_contains(instants, F.col(ts))
-    place = 2 * F.size(F.filter(instants, lambda instant: instant < F.col(ts))) + is_crowded.cast("int")
-    part = F.when(is_crowded, value_block(tie)).otherwise(F.lit(0))
-    return F.struct(whole.alias("slice"), place.alias("place"), part.alias("part"))
-
-
-def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows that have all keys."""
-    return df.filter(reduce(Column.__and__, [F.col(key).isNotNull() for key in keys]))
-
-
-def running(
-    df: DataFrame,
-    keys: Sequence[str],
-    block: Column,
-    order: Sequence[str],
-    sums: Mapping[str, Column] | None = None,
-    maxima: Mapping[str, Column] | None = None,
-    summary: DataFrame | None = None,
-) -> DataFrame:
-    """Add running sums and maxima up to and including the row, per key in order.
-
-    Rows with a NULL key or block have no place and are left out. ``summary`` may bring ready rows of ``keys``, ``_block`` and the measures, with
-    further columns that are then joined on as well; by default it is taken from ``df``.
-    """
-    sums, maxima = dict(sums or {}), dict(maxima or {})
-    # Stated for both uses, or the join would state it for one and they could not share a shuffle.
-    blocked = with_keys(df.withColumn("_block", block), [*keys, "_block"])
-    if summary is None:
-        totals = [F.sum(column).alias(name) for name, column in sums.items()]
-        peaks = [F.max(column).alias(name) for name, column in maxima.items()]
-        summary = blocked.groupBy(*keys, "_block").agg(*totals, *peaks)
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = summary.select(
-        "*",
-        *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(f"_before_{name}") for name in sums],
-        *[F.max(name).over(before).alias(f"_before_{name}") for name in maxima],
-    ).drop(*sums, *maxima)
-    inside = (
-        Window.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    local = {name: F.sum(column).over(inside) for name, column in sums.items()}
-    local |= {name: F.max(column).over(inside) for name, column in maxima.items()}
-    joined = blocked.withColumns(local).join(carried, [*keys, "_block"])
-    complete = {name: (F.col(name) + F.col(f"_before_{name}")).cast("bigint") for name in sums}
-    complete |= {name: F.greatest(name, f"_before_{name}") for name in maxima}
-    return joined.withColumns(complete).drop("_block", *[f"_before_{name}" for name in [*sums, *maxima]])
-
-
-def number_rows(df: DataFrame, keys: Sequence[str], block: Column, order: Sequence[str], name: str) -> DataFrame:
-    """Number the rows of every key 0, 1, 2, … in ``order``."""
-    return running(df, keys, block, order, {name: F.lit(1).cast("bigint")}).withColumn(name, F.col(name) - 1)

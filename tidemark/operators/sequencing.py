@@ -8,9 +8,13 @@ Rules. The first arrival of a channel sets the base book and is no trade. A mess
 not above the book at its arrival is late and dropped. Others wait until every sequence between the
 book and them has arrived; the book then advances through the contiguous run, one price step each.
 
-A channel may hold any share of the table, so nothing is windowed over a whole channel: rows are
-placed, de-duplicated and windowed by (channel, block of 2**20 sequences), and only one-row-per-block
-summaries are accumulated over the channel.
+Rows without channel, sequence or arrival time are no messages: every function leaves them out, and
+``rejected`` has them with the reason. Of rows equal in channel, sequence and arrival one is the first and
+the others are its copies.
+
+A channel may hold any share of the table, so nothing is windowed over a whole channel: copies are combined
+before the first shuffle, the distinct rows are placed and windowed by (channel, block of 2**20 sequences), and only
+one-row-per-block summaries are accumulated over the channel. There is one plan for tables of any size.
 """
 
 from __future__ import annotations
@@ -20,12 +24,12 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidemark.operators.blocks import BLOCK_BITS, running, value_block, with_keys
-from tidemark.operators.skew import hot_keys, salted_lookup
+from tidemark.operators import ranges
+from tidemark.operators.blocks import BLOCK_BITS, value_block
+from tidemark.operators.routing import ERROR
 
 PRICE_TYPE = "decimal(38,2)"
 PRICE_STEP = Decimal("0.01")
-CROWDED_BLOCK = 4 << BLOCK_BITS
 
 
 def _channel() -> WindowSpec:
@@ -36,9 +40,26 @@ def _in_block() -> WindowSpec:
     return Window.partitionBy("channel", "block").orderBy("sequence")
 
 
+def _problem() -> Column:
+    return (
+        F.when(F.col("channel").isNull(), "no channel")
+        .when(F.col("sequence").isNull(), "no sequence")
+        .when(F.col("arrival.at").isNull(), "no arrival time")
+    )
+
+
+def _known(messages: DataFrame) -> DataFrame:
+    return messages.filter(_problem().isNull())
+
+
+def rejected(messages: DataFrame) -> DataFrame:
+    """The rows that are no messages, as an error output."""
+    return messages.withColumn("reason", _problem()).filter("reason is not null").withColumn("tag", F.lit(ERROR))
+
+
 def base_books(messages: DataFrame) -> DataFrame:
     """First arrival per channel: channel, sequence, trade_date, price 0."""
-    first = messages.groupBy("channel").agg(F.min(F.struct("arrival", "sequence")).alias("first"))
+    first = _known(messages).groupBy("channel").agg(F.min(F.struct("arrival", "sequence")).alias("first"))
     return first.select(
         "channel",
         F.col("first.sequence").alias("sequence"),
@@ -49,43 +70,27 @@ def base_books(messages: DataFrame) -> DataFrame:
 
 def first_arrivals(messages: DataFrame) -> DataFrame:
     """One row per (channel, sequence): the first arrival, and how many copies came."""
-    return messages.groupBy("channel", "sequence").agg(
+    return _known(messages).groupBy("channel", "sequence").agg(
         F.min("arrival").alias("arrival"), F.count(F.lit(1)).alias("copies")
     )
 
 
 def _distinct_by_block(messages: DataFrame, bits: int) -> DataFrame:
-    """First arrivals, placed by (channel, block) with one shuffle.
+    """First arrivals, placed by (channel, block).
 
-    A block holds at most ``2**bits`` sequences but any number of copies. Blocks crowded with copies are
-    reduced before the shuffle; combining all other rows there would cost a sort and save little.
-
-    Messages without channel or sequence are none; saying so here, and not leaving it to the joins that
-    follow, keeps the plans of all uses equal, so that they share the shuffle.
+    Any number of copies is combined into one row before the shuffle by (channel, sequence); the shuffle by block then carries at
+    most ``2**bits`` rows of a channel to one task. That keys are not null is said here, and not left to the joins that follow, so that
+    the plans of all uses are equal and share that shuffle.
     """
-    key = ["channel", "block"]
-    placed = messages.withColumn("block", value_block("sequence", bits))
-    rows = with_keys(placed, [*key, "sequence"])
-    crowded = hot_keys(placed, key, CROWDED_BLOCK)
-    if crowded is not None:
-        marked = rows.join(F.broadcast(crowded), key, "left")
-        copies = marked.filter(F.col("_salts").isNotNull())
-        rows = marked.filter(F.col("_salts").isNull()).select(rows.columns).unionByName(_first(copies))
-    return _first(rows.repartition(*key))
-
-
-def _first(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("channel", "block", "sequence").agg(F.min("arrival").alias("arrival"))
+    distinct = _known(messages).groupBy("channel", "sequence").agg(F.min("arrival").alias("arrival"))
+    placed = distinct.withColumn("block", value_block("sequence", bits))
+    return placed.filter("channel is not null and block is not null").repartition("channel", "block")
 
 
-def _with_base(messages: DataFrame, distinct: DataFrame, bits: int) -> DataFrame:
-    """The distinct messages with ``next`` (the following present sequence), ``base`` and ``base_arrival``.
-
-    The block summary comes straight from the messages: its rows are combined before its own small
-    shuffle, and it does not wait for the de-duplication.
-    """
+def _with_base(distinct: DataFrame) -> DataFrame:
+    """The distinct messages with ``next`` (the following present sequence), ``base`` and ``base_arrival``."""
     summary = (
-        messages.groupBy("channel", value_block("sequence", bits).alias("block"))
+        distinct.groupBy("channel", "block")
         .agg(F.min("sequence").alias("low"), F.min(F.struct("arrival", "sequence")).alias("first"))
         .select(
             "channel",
@@ -127,7 +132,7 @@ def ordered_messages(messages: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
     distinct = _distinct_by_block(messages, bits)
     earlier = _channel().orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     summary = (
-        _with_base(messages, distinct, bits)
+        _with_base(distinct)
         .groupBy("channel", "block")
         .agg(
             F.min("base").alias("base"),
@@ -170,7 +175,7 @@ def in_order(messages: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
 
 def _run_ends(messages: DataFrame, bits: int) -> DataFrame:
     """Per channel: base, base_arrival, run_end, last (highest present sequence)."""
-    return _with_base(messages, _distinct_by_block(messages, bits), bits).groupBy("channel").agg(
+    return _with_base(_distinct_by_block(messages, bits)).groupBy("channel").agg(
         F.min("base").alias("base"),
         F.min("base_arrival").alias("base_arrival"),
         F.min(_run_stop()).alias("run_end"),
@@ -216,20 +221,26 @@ def emissions(messages: DataFrame, step: Decimal = PRICE_STEP, bits: int = BLOCK
 
 
 def classify(messages: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
-    """Every arrival with its class: base, in_order, pending, duplicate or late."""
+    """Every arrival with its class: base, in_order, pending, duplicate or late.
+
+    A (channel, sequence) with very many copies is one that the adaptive join may split.
+    """
     lookup = ordered_messages(messages, bits).select(
         "channel", "sequence", F.col("arrival").alias("first_arrival"), "base", "base_arrival", "release"
     )
     key = ["channel", "sequence"]
-    joined = salted_lookup(messages, lookup, key, hot_keys(messages, key), F.col("arrival"))
+    copy = F.row_number().over(Window.partitionBy(*key, "arrival").orderBy(F.lit(0)))
+    joined = _known(messages).withColumn("copy", copy).join(lookup, key)
+    is_first = (F.col("arrival") == F.col("first_arrival")) & (F.col("copy") == 1)
+    is_base = (F.col("arrival") == F.col("base_arrival")) & (F.col("sequence") == F.col("base"))
     arrived_late = (F.col("sequence") <= F.col("base")) | (F.col("release") < F.col("arrival"))
     return joined.select(
         "channel",
         "sequence",
         "arrival",
-        F.when(F.col("arrival") == F.col("base_arrival"), "base")
+        F.when(is_base & is_first, "base")
         .when(arrived_late, "late")
-        .when(F.col("arrival") > F.col("first_arrival"), "duplicate")
+        .when(~is_first, "duplicate")
         .when(F.col("release").isNotNull(), "in_order")
         .otherwise("pending")
         .alias("class"),
@@ -239,7 +250,7 @@ def classify(messages: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
 def gaps(messages: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
     """Missing ranges after the base, below the highest present sequence."""
     return (
-        _with_base(messages, _distinct_by_block(messages, bits), bits)
+        _with_base(_distinct_by_block(messages, bits))
         .filter((F.col("sequence") >= F.col("base")) & (F.col("next") > F.col("sequence") + 1))
         .select(
             "channel",
@@ -271,36 +282,26 @@ def ticks(messages: DataFrame, seconds: int, bits: int = BLOCK_BITS) -> DataFram
     before the tick drains, ``remaining`` after it.
     """
     rows = ordered_messages(messages, bits).filter(F.col("sequence") > F.col("base"))
-    nothing = F.lit(None).cast("bigint")
-    arrived = F.struct(
-        _tick("arrival.at", "base_arrival.at", seconds).alias("tick"),
-        F.lit(1).alias("arrived"),
-        F.lit(0).alias("calculated"),
-        F.col("sequence").alias("seen"),
-        nothing.alias("done"),
+    # Arrivals and releases are summed apart, so that no row is doubled; only ticks meet.
+    arrived = (
+        rows.groupBy("channel", _tick("arrival.at", "base_arrival.at", seconds).alias("tick"))
+        .agg(F.count(F.lit(1)).alias("arrived"), F.max("sequence").alias("seen"), F.min("base").alias("book"))
+        .withColumn("calculated", F.lit(0).cast("bigint"))
     )
-    released = F.struct(
-        _tick("release.at", "base_arrival.at", seconds).alias("tick"),
-        F.lit(0).alias("arrived"),
-        F.lit(1).alias("calculated"),
-        nothing.alias("seen"),
-        F.col("sequence").alias("done"),
+    released = (
+        rows.filter(F.col("release").isNotNull())
+        .groupBy("channel", _tick("release.at", "base_arrival.at", seconds).alias("tick"))
+        .agg(F.count(F.lit(1)).alias("calculated"), F.max("sequence").alias("book"))
+        .withColumns({"arrived": F.lit(0).cast("bigint"), "seen": F.lit(None).cast("bigint")})
     )
-    events = F.when(F.col("release").isNull(), F.array(arrived)).otherwise(F.array(arrived, released))
     per_tick = (
-        rows.select("channel", "base", F.explode(events).alias("event"))
-        .groupBy("channel", F.col("event.tick").alias("tick"))
-        .agg(
-            F.sum("event.arrived").alias("arrived"),
-            F.sum("event.calculated").alias("calculated"),
-            F.max("event.seen").alias("seen"),
-            F.max(F.coalesce("event.done", "base")).alias("book"),
-        )
+        arrived.unionByName(released)
+        .groupBy("channel", "tick")
+        .agg(*[F.sum(name).alias(name) for name in ("arrived", "calculated")], *[F.max(name).alias(name) for name in ("seen", "book")])
     )
-    reports = running(
+    reports = ranges.running(
         per_tick,
         ["channel"],
-        value_block("tick", bits),
         ["tick"],
         {"came": F.col("arrived"), "left": F.col("calculated")},
         {"book_sequence": F.col("book"), "pending_last": F.col("seen")},
@@ -338,5 +339,6 @@ __all__ = [
     "in_order",
     "ordered_messages",
     "pending",
+    "rejected",
     "ticks",
 ]

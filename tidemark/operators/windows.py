@@ -1,20 +1,21 @@
 """Tumbling windows, grouping by key and window, and the per-window summary.
 
 A window of a hot key can hold any share of the table, so its elements never form one array: they are
-pre-aggregated by value, placed by a running count over blocks of values, and written as lists of at
-most ``list_size`` elements (``list_no`` 0, 1, …). A group that fits has exactly one list.
+combined by value, placed by a running count over ranges of rows, and written as lists of at
+most ``list_size`` elements (``list_no`` 0, 1, …). What is said of the whole group stands on its list 0 alone, so that sums
+over the lists count every element once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.blocks import BLOCK_BITS, running, value_block
+from tidemark.operators import ranges
 
-LIST_SIZE = 10_000
+LIST_SIZE = 1000
 CLOCK_FORMAT = "HH:mm:ss.SSS"
 
 
@@ -26,23 +27,12 @@ def assign_windows(df: DataFrame, ts: str, width: str) -> DataFrame:
     ).drop("_window")
 
 
-def value_lists(
-    counts: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    summary: DataFrame,
-    carried: Sequence[str] = (),
-    list_size: int = LIST_SIZE,
-    bits: int = BLOCK_BITS,
-) -> DataFrame:
-    """Sorted, comma-joined values of every group, in lists of at most ``list_size`` elements.
+def value_lists(counts: DataFrame, keys: Sequence[str], value: str, list_size: int = LIST_SIZE) -> DataFrame:
+    """Sorted, comma-joined values of every group, in lists of at most ``list_size``, with their number ``items``.
 
-    ``counts`` has one row per (keys, value) with its number of copies ``n``; ``summary`` one row per
-    (keys, _block) with their number ``_stop``, and the ``carried`` group columns, which are passed on.
+    ``counts`` has one row per (keys, value) with its number of copies ``n``.
     """
-    placed = running(
-        counts, keys, value_block(value, bits), [value], {"_stop": F.col("n")}, summary=summary
-    ).withColumn("_start", F.col("_stop") - F.col("n"))
+    placed = ranges.running(counts, keys, [value], {"_stop": F.col("n")}).withColumn("_start", F.col("_stop") - F.col("n"))
     size = F.lit(list_size)
     first = F.floor(F.col("_start") / size)
     last = F.floor((F.col("_stop") - 1) / size)
@@ -52,21 +42,19 @@ def value_lists(
     )
     lists = pieces.groupBy(*keys, "list_no").agg(
         F.sort_array(F.collect_list(F.struct(F.col(value).alias("value"), F.col("_take").cast("int").alias("take")))).alias("runs"),
-        *[F.min(name).alias(name) for name in carried],
+        F.sum("_take").cast("bigint").alias("items"),
     )
     repeated = F.flatten(F.transform("runs", lambda run: F.array_repeat(run["value"].cast("string"), run["take"])))
     return lists.withColumn(value, F.concat_ws(",", repeated)).drop("runs")
 
 
 def group_by_window(
-    df: DataFrame, key: str, ts: str, width: str, element: str, list_size: int = LIST_SIZE, bits: int = BLOCK_BITS
+    df: DataFrame, key: str, ts: str, width: str, element: str, list_size: int = LIST_SIZE
 ) -> DataFrame:
-    """Elements (an integer id) of every (key, window), in id order."""
+    """Elements (an integer id) of every (key, window), in id order; rows without key are a group too."""
     keys = ["window_start", "window_end", key]
-    rows = assign_windows(df, ts, width).select(*keys, element)
-    counts = rows.groupBy(*keys, element).agg(F.count(F.lit(1)).alias("n"))
-    summary = rows.groupBy(*keys, value_block(element, bits).alias("_block")).agg(F.count(F.lit(1)).alias("_stop"))
-    return value_lists(counts, keys, element, summary, list_size=list_size, bits=bits)
+    counts = assign_windows(df, ts, width).groupBy(*keys, element).agg(F.count(F.lit(1)).alias("n"))
+    return value_lists(counts, keys, element, list_size)
 
 
 _GROUP = ["window_start", "window_end", "group_key"]
@@ -94,59 +82,38 @@ def sequence_counts(messages: DataFrame, width: str) -> DataFrame:
     )
 
 
-def _block_summary(rows: DataFrame, rows_in: Column, first: str, last: str, bits: int) -> DataFrame:
-    """Per block: ``_stop`` (its rows), and the totals of the whole group on each of its blocks."""
-    group = Window.partitionBy(*_GROUP)
-    return (
-        rows.groupBy(*_GROUP, value_block("sequence", bits).alias("_block"))
-        .agg(F.sum(rows_in).alias("_stop"), F.min(first).alias("_first"), F.max(last).alias("_last"))
-        .select(
-            *_GROUP,
-            "_block",
-            "_stop",
-            F.sum("_stop").over(group).alias("items"),
-            F.min("_first").over(group).alias("first_ts"),
-            F.max("_last").over(group).alias("last_ts"),
-        )
-    )
+def summarise_counts(counts: DataFrame, list_size: int = LIST_SIZE) -> DataFrame:
+    """Lists of sorted sequences of every (window, group_key), from rows of ``sequence_counts``.
 
-
-def _report(counts: DataFrame, summary: DataFrame, list_size: int, bits: int) -> DataFrame:
-    lists = value_lists(
-        counts.select(*_GROUP, "sequence", "n"),
-        _GROUP,
-        "sequence",
-        summary,
-        ["items", "first_ts", "last_ts"],
-        list_size,
-        bits,
+    List 0 also has the group's number of elements, data range and window range.
+    """
+    totals = counts.groupBy(*_GROUP).agg(
+        F.sum("n").alias("group_items"), F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts")
     )
+    totals = totals.select(*[F.col(name).alias(f"_t_{name}") for name in _GROUP], "group_items", "first_ts", "last_ts")
+    lists = value_lists(counts.select(*_GROUP, "sequence", "n"), _GROUP, "sequence", list_size)
+    first = (F.col("list_no") == 0) & ranges.same(_GROUP, "_t_")
     clock = lambda name: F.date_format(name, CLOCK_FORMAT)
-    return lists.select(
+    on_first = lambda column: F.when(F.col("list_no") == 0, column)
+    return lists.join(totals, first, "left").select(
         "group_key",
         "window_start",
         "window_end",
         "list_no",
         "items",
+        "group_items",
         clock("first_ts").alias("data_from"),
         clock("last_ts").alias("data_to"),
-        clock("window_start").alias("window_from"),
-        clock("window_end").alias("window_to"),
+        on_first(clock("window_start")).alias("window_from"),
+        on_first(clock("window_end")).alias("window_to"),
         F.col("sequence").alias("sequences"),
         F.lit("ON_TIME").alias("timing"),
     )
 
 
-def window_summary(messages: DataFrame, width: str, list_size: int = LIST_SIZE, bits: int = BLOCK_BITS) -> DataFrame:
-    """Count, data range, window range and sorted sequences of every (window, group_key)."""
-    rows = assign_windows(messages, "ts", width)
-    summary = _block_summary(rows, F.lit(1), "ts", "ts", bits)
-    return _report(sequence_counts(messages, width), summary, list_size, bits)
-
-
-def summarise_counts(counts: DataFrame, list_size: int = LIST_SIZE, bits: int = BLOCK_BITS) -> DataFrame:
-    """The same summary, from rows of ``sequence_counts``."""
-    return _report(counts, _block_summary(counts, F.col("n"), "first_ts", "last_ts", bits), list_size, bits)
+def window_summary(messages: DataFrame, width: str, list_size: int = LIST_SIZE) -> DataFrame:
+    """Lists and group totals of every (window, group_key)."""
+    return summarise_counts(sequence_counts(messages, width), list_size)
 
 
 def guard_single_key(df: DataFrame, group: Sequence[str], key: str) -> DataFrame:
@@ -155,4 +122,4 @@ def guard_single_key(df: DataFrame, group: Sequence[str], key: str) -> DataFrame
     checked = df.groupBy(*group).agg(
         F.count(F.lit(1)).alias("items"), F.coalesce(mixed, F.lit(False)).alias("_mixed")
     )
-    return checked.filter(F.assert_true(~F.col("_mixed"), F.lit("group keys are mixed together")).isNull()).drop("_mixed")
+    return checked.filter(F.assert_true(~F.col("_mixed"), F.lit("a group holds several keys")).isNull()).drop("_mixed")

@@ -37,15 +37,27 @@ def numbered_events(spark: SparkSession, folder: str) -> DataFrame:
     return assign_sequence(rows, "group_key", "ts", "event_id")
 
 
-def event_messages(spark: SparkSession, folder: str) -> DataFrame:
-    """Events as messages with payload and attributes."""
+def holed_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Events of which some have lost their type, numbered per type; those without are numbered together."""
+    rows = table(spark, folder, "events").select(
+        "event_id",
+        F.col("ts").cast("timestamp").alias("ts"),
+        "event_type",
+        F.when(F.col("event_id") % 37 > 0, F.col("event_type")).alias("group_key"),
+        "props",
+    )
+    return assign_sequence(rows, "group_key", "ts", "event_id")
+
+
+def event_messages(events: DataFrame) -> DataFrame:
+    """Numbered events as messages with payload and attributes; some have no time among them."""
     return with_attributes(
-        numbered_events(spark, folder),
+        events,
         F.col("props"),
-        publishTs=F.unix_millis("ts"),
+        publishTs=F.when(F.col("event_id") % 41 > 0, F.unix_millis("ts")),
         groupKey=F.col("group_key"),
         sequence=F.col("sequence"),
-    ).select("event_id", "ts", "payload", "attributes")
+    )
 
 
 def order_fields(orders: DataFrame) -> DataFrame:

@@ -43,6 +43,14 @@ ev AS (
   FROM events
 )
 """
+# Events of which some have lost their key; they are numbered together.
+_HOLED = """
+ev AS (
+  SELECT event_id, ts, CASE WHEN event_id % 37 > 0 THEN event_type END AS group_key,
+         row_number() OVER (PARTITION BY CASE WHEN event_id % 37 > 0 THEN event_type END ORDER BY ts, event_id) - 1 AS sequence
+  FROM events
+)
+"""
 _ORDER_TEXT = """
 o AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
@@ -65,22 +73,43 @@ _STAMP = "'2024-01-01 00:00:00.000'"
 
 def _window_group(width: str, seconds: int) -> str:
     return f"""
-  SELECT '{width}' AS width, strftime(make_timestamp(epoch_us(ts) // {seconds}000000 * {seconds}000000), {_MILLIS}) AS window_start,
-         event_type AS group_key, CAST(0 AS BIGINT) AS list_no,
+  SELECT '{width}' AS width, strftime(start, {_MILLIS}) AS window_start, group_key, list_no, count(*) AS items,
          string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS event_ids
-  FROM events GROUP BY 1, 2, 3"""
+  FROM (
+    SELECT *, (row_number() OVER (PARTITION BY start, group_key ORDER BY event_id) - 1) // 50 AS list_no
+    FROM (SELECT event_id, event_type AS group_key,
+                 make_timestamp(epoch_us(ts) // {seconds}000000 * {seconds}000000) AS start FROM events))
+  GROUP BY start, group_key, list_no"""
 
 
 WINDOW_SUMMARY = f"""
 WITH {_EVENTS},
-w AS (SELECT *, date_trunc('day', ts) AS window_start FROM ev)
-SELECT group_key, strftime(CAST(window_start AS TIMESTAMP), {_MILLIS}) AS window_start, CAST(0 AS BIGINT) AS list_no,
-       count(*) AS items, strftime(min(ts), {_CLOCK}) AS data_from, strftime(max(ts), {_CLOCK}) AS data_to,
-       '00:00:00.000' AS window_from, '00:00:00.000' AS window_to,
+w AS (SELECT *, date_trunc('day', ts) AS start FROM ev),
+l AS (
+  SELECT *, (row_number() OVER g - 1) // 50 AS list_no, count(*) OVER (PARTITION BY group_key, start) AS total,
+         min(ts) OVER (PARTITION BY group_key, start) AS low, max(ts) OVER (PARTITION BY group_key, start) AS high
+  FROM w WINDOW g AS (PARTITION BY group_key, start ORDER BY sequence)
+)
+SELECT group_key, strftime(CAST(start AS TIMESTAMP), {_MILLIS}) AS window_start, list_no, count(*) AS items,
+       CASE WHEN list_no = 0 THEN min(total) END AS group_items,
+       CASE WHEN list_no = 0 THEN strftime(min(low), {_CLOCK}) END AS data_from,
+       CASE WHEN list_no = 0 THEN strftime(max(high), {_CLOCK}) END AS data_to,
+       CASE WHEN list_no = 0 THEN '00:00:00.000' END AS window_from,
+       CASE WHEN list_no = 0 THEN '00:00:00.000' END AS window_to,
        string_agg(CAST(sequence AS VARCHAR), ',' ORDER BY sequence) AS sequences, 'ON_TIME' AS timing
-FROM w GROUP BY group_key, w.window_start
+FROM l GROUP BY group_key, start, list_no
 """
 
+EVENT_BATCHES = f"""
+WITH n AS (
+  SELECT event_id, event_type, date_trunc('day', ts) AS day,
+         (row_number() OVER (PARTITION BY event_type, date_trunc('day', ts) ORDER BY event_id) - 1) // 25 AS batch_no
+  FROM events
+)
+SELECT event_type AS group_key, strftime(CAST(day AS TIMESTAMP), {_MILLIS}) AS window_start, batch_no, count(*) AS size,
+       string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS items
+FROM n GROUP BY event_type, day, batch_no"""
+
 SEQ_EMISSIONS = f"""
 WITH {_RELEASES}
 SELECT channel, max(sequence) AS sequence, min(epoch_ms(base_at)) AS trade_date,
@@ -104,12 +133,12 @@ BATCH: dict[str, str] = {
     "literal_rows": """
 SELECT * FROM (VALUES ('John'), ('Andrew'), ('Steve'), ('John')) v(name) UNION ALL SELECT c_name FROM customer""",
     "sequence_source": f"""
-SELECT n, 'val = ' || CAST(n AS VARCHAR) AS name,
+SELECT o_orderkey, n, 'number ' || CAST(n AS VARCHAR) AS name,
        strftime(make_timestamp((n - 1) // 3 * 10000000), {_MILLIS}) AS ts
-FROM (SELECT row_number() OVER (ORDER BY o_orderkey) AS n FROM orders)""",
+FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS n FROM orders)""",
     "message_source": f"""
 WITH {_EVENTS}
-SELECT event_id, props AS payload, CAST(epoch_us(ts) // 1000 AS VARCHAR) AS publish_ts, group_key,
+SELECT event_id, props AS payload, CASE WHEN event_id % 41 > 0 THEN CAST(epoch_us(ts) // 1000 AS VARCHAR) END AS publish_ts, group_key,
        CAST(sequence AS VARCHAR) AS sequence FROM ev""",
     "notification_paths": """
 SELECT CASE WHEN n_chars >= 200 THEN 'gs://' || source || '/' || lang || '/part-' || CAST(n_chars % 100 AS VARCHAR) || '.csv' END AS path,
@@ -133,9 +162,39 @@ SELECT CASE WHEN o_orderstatus = 'P' THEN 'error' ELSE 'main' END AS tag,
        o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS o_orderpriority
 FROM o""",
     "csv_json": """
-SELECT 'main' AS tag, CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, NULL AS s_name, NULL AS s_suppkey FROM customer
-UNION ALL SELECT 'main', NULL, NULL, s_name, CAST(s_suppkey AS VARCHAR) FROM supplier""",
-    "row_to_json": "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders",
+SELECT 'main' AS tag, CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment,
+       CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS c_acctbal, NULL AS s_name, NULL AS s_suppkey, NULL AS s_nationkey,
+       NULL AS s_acctbal FROM customer
+UNION ALL
+SELECT 'main', NULL, NULL, NULL, NULL, NULL, s_name, CAST(s_suppkey AS VARCHAR), CAST(s_nationkey AS VARCHAR),
+       CAST(CAST(s_acctbal AS DECIMAL(18,2)) AS VARCHAR) FROM supplier""",
+    "csv_malformed": f"""
+WITH {_ORDER_TEXT}
+SELECT 'main' AS tag, NULL AS reason, NULL AS record, o_orderkey,
+       CASE WHEN number % 7 = 0 THEN '5"' || o_orderpriority
+            WHEN number % 11 = 0 THEN 'a "b",' || o_orderpriority ELSE o_orderpriority END AS o_orderpriority,
+       o_orderstatus
+FROM o
+UNION ALL
+SELECT 'main', NULL, NULL, o_orderkey, o_orderpriority || chr(10) || chr(10) || ',x', 'F' FROM o WHERE number % 1000 = 3
+UNION ALL
+SELECT 'error', 'unterminated quote', o_orderkey || ',"' || o_orderpriority || chr(10) || chr(10) || ',x', o_orderkey,
+       o_orderpriority || chr(10) || chr(10) || ',x', NULL
+FROM o WHERE number % 1000 = 1""",
+    "ingest_notifications": f"""
+WITH {_ORDER_TEXT}, t AS (
+  SELECT o_orderstatus AS status, CAST(o_totalprice AS DOUBLE) AS price,
+         CASE WHEN number % 10 = 0 THEN 'short row'
+              WHEN CAST(o_totalprice AS DOUBLE) >= 400000 THEN 'price out of range' ELSE '' END AS why
+  FROM o, range(2) r WHERE r.range = 0 OR o_orderstatus = 'O')
+SELECT CASE WHEN why = '' THEN 'main' ELSE 'error' END AS tag, status, why AS what, count(*) AS rows,
+       CASE WHEN why = '' THEN CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) END AS price
+FROM t GROUP BY status, why
+UNION ALL SELECT 'error', 'P', 'no such file', NULL, NULL WHERE EXISTS (SELECT 1 FROM o WHERE o_orderstatus = 'P')
+UNION ALL SELECT 'trace', status, 'start', 0, NULL FROM t GROUP BY status
+UNION ALL SELECT 'trace', status, 'end', count(*), NULL FROM t GROUP BY status
+UNION ALL SELECT 'trace', 'none', step, 0, NULL FROM (VALUES ('start'), ('end')) v(step)""",
+    "row_to_json": "SELECT * FROM orders",
     "route_tags": f"""
 WITH {_ORDER_TEXT}, t AS (
   SELECT CASE WHEN number % 10 = 0 THEN 'short row'
@@ -143,35 +202,39 @@ WITH {_ORDER_TEXT}, t AS (
 SELECT CASE WHEN why = '' THEN 'main' ELSE 'error' END AS tag, why, count(*) AS rows FROM t GROUP BY 1, 2""",
     "file_trace": f"""
 WITH {_ORDER_TEXT}
-SELECT o_orderstatus AS status, count(*) FILTER (WHERE number % 10 <> 0) AS rows,
+SELECT o_orderstatus AS status, 'end' AS step, count(*) FILTER (WHERE number % 10 <> 0) AS rows,
        count(*) FILTER (WHERE number % 10 = 0) AS errors
-FROM o GROUP BY o_orderstatus""",
+FROM o GROUP BY o_orderstatus
+UNION ALL SELECT DISTINCT o_orderstatus, 'start', 0, 0 FROM o
+UNION ALL SELECT * FROM (VALUES ('none', 'start', 0, 0), ('none', 'end', 0, 0)) v""",
     "union_all": f"""
 WITH {_ORDER_TEXT}
-SELECT 'trace' AS tag, o_orderstatus AS message FROM o WHERE number % 10 <> 0
+SELECT DISTINCT 'trace' AS tag, o_orderstatus || ' ' || step AS message FROM o, (VALUES ('start'), ('end')) v(step)
 UNION ALL
 SELECT 'error', concat_ws(',', o_orderkey, o_custkey, o_orderstatus, o_totalprice) FROM o WHERE number % 10 = 0""",
     "key_by_attribute": f"""
-WITH {_EVENTS}
-SELECT event_id, 'main' AS tag, group_key, sequence, epoch_us(ts) // 1000 AS publish_millis FROM ev""",
-    "key_guard": "SELECT event_type AS group_key, count(*) AS items FROM events GROUP BY event_type",
+WITH {_HOLED}
+SELECT event_id, CASE WHEN reason IS NULL THEN 'main' ELSE 'error' END AS tag, reason, group_key, sequence,
+       CASE WHEN event_id % 41 > 0 THEN epoch_us(ts) // 1000 END AS publish_millis
+FROM (SELECT *, CASE WHEN group_key IS NULL THEN 'no groupKey' WHEN event_id % 41 = 0 THEN 'publishTs is not a number' END AS reason
+      FROM ev)""",
+    "key_guard": f"""
+SELECT strftime(CAST(date_trunc('day', ts) AS TIMESTAMP), {_MILLIS}) AS window_start, event_type, count(*) AS items
+FROM events GROUP BY date_trunc('day', ts), event_type""",
     "table_name_parts": """
 SELECT 'testdata.' || lower(c_mktsegment) || '.' || replace(c_name, '#', '_') AS full_name, 'testdata' AS project,
        lower(c_mktsegment) AS dataset, replace(c_name, '#', '_') AS table_name
 FROM customer""",
     "window_group": _window_group("5 seconds", 5) + "\n  UNION ALL" + _window_group("1 day", 86400),
     "window_summary": WINDOW_SUMMARY,
-    "group_into_batches": f"""
-WITH {_CUSTOMER_BATCHES}
-SELECT c_mktsegment, batch_no, count(*) AS size, min(c_custkey) AS first_key, max(c_custkey) AS last_key
-FROM n GROUP BY c_mktsegment, batch_no""",
+    "group_into_batches": EVENT_BATCHES,
     "export_manifest": f"""
 WITH {_CUSTOMER_BATCHES}
-SELECT 'export-' || c_mktsegment || '-' || CAST(batch_no AS VARCHAR) AS job_name,
+SELECT 'export-run1-' || c_mktsegment || '-' || CAST(batch_no AS VARCHAR) AS job_name,
        string_agg(c_name, ',' ORDER BY c_custkey) AS tables, 'postgres' AS dest_database,
        'org.postgresql.Driver' AS driver
 FROM n GROUP BY c_mktsegment, batch_no""",
-    "assign_sequence": f"WITH {_EVENTS} SELECT event_id, group_key, sequence FROM ev",
+    "assign_sequence": f"WITH {_HOLED} SELECT event_id, group_key, sequence FROM ev",
     "seq_base": f"""
 WITH {_TRADES}
 SELECT channel, base AS sequence, epoch_ms(base_at) AS trade_date, CAST(0 AS DECIMAL(38,2)) AS price FROM b""",
@@ -239,8 +302,9 @@ SELECT channel, max(sequence) AS sequence, min(epoch_ms(base_at)) AS trade_date,
        CAST(0.01 * (max(sequence) - min(base)) AS DECIMAL(38,2)) AS price
 FROM i GROUP BY channel, release""",
     "bind_types": """
-SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_nationkey, c_acctbal FROM customer""",
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""",
     "copy_tables": """
+SELECT 'testdata.sf.orders' AS source, CAST(o_orderkey AS VARCHAR) AS key, o_orderpriority AS name FROM orders UNION ALL
 SELECT 'testdata.sf.nation' AS source, CAST(n_nationkey AS VARCHAR) AS key, n_name AS name FROM nation
 UNION ALL SELECT 'testdata.sf.region', CAST(r_regionkey AS VARCHAR), r_name FROM region
 UNION ALL SELECT 'testdata.sf.customer', CAST(c_custkey AS VARCHAR), c_name FROM customer
@@ -251,7 +315,7 @@ SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, {_STAMP} AS df_ts, true
     "default_columns": """
 SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, CAST(NULL AS VARCHAR) AS df_ts, true AS created FROM customer""",
     "scalar_functions": f"""
-SELECT event_id, 'test-table-' || CAST(event_id AS VARCHAR) AS table_name,
+SELECT event_id, 'events_' || CAST(event_id AS VARCHAR) AS table_name,
        event_type || ',' || CAST(user_id AS VARCHAR) AS joined, event_type AS first_part, event_type = 'click' AS is_click,
        CAST(regexp_replace(props, '[^0-9]', '', 'g') AS BIGINT) AS k, TRY_CAST(event_type AS BIGINT) AS not_a_number,
        epoch_us(ts) // 1000 AS millis, strftime(ts, {_MILLIS}) AS ts_text, strftime(ts, {_CLOCK}) AS clock,
@@ -300,7 +364,8 @@ s AS (
   )
 )
 SELECT channel, kind, book AS sequence, CAST(0.01 * trades AS DECIMAL(38,2)) AS price, released,
-       strftime(came_at, '%Y-%m-%d') AS at, skipped_from, skipped_to, CAST(len(pending) AS BIGINT) AS remaining
+       strftime(came_at, '%Y-%m-%d') AS at, skipped_from, skipped_to, list_max(pending) AS pending_last,
+       CAST(len(pending) AS BIGINT) AS remaining
 FROM s WHERE kind <> ''
 """
 
@@ -310,15 +375,7 @@ STREAM: dict[str, str] = {
     "seq_overflow": _overflow(jump_to_pending=False),
     "seq_overflow_pending": _overflow(jump_to_pending=True),
     "stream_window_summary": WINDOW_SUMMARY,
-    "stream_group_into_batches": f"""
-WITH n AS (
-  SELECT event_id, event_type, date_trunc('day', ts) AS day,
-         (row_number() OVER (PARTITION BY event_type, date_trunc('day', ts) ORDER BY event_id) - 1) // 25 AS batch_no
-  FROM events
-)
-SELECT event_type AS group_key, strftime(CAST(day AS TIMESTAMP), {_MILLIS}) AS window_start, batch_no, count(*) AS size,
-       string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS items
-FROM n GROUP BY event_type, day, batch_no""",
+    "stream_group_into_batches": EVENT_BATCHES,
     "stream_load_append": f"""
 SELECT id, name, {_STAMP} AS df_ts, true AS created FROM (
   SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name FROM customer

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text
 from tidemark.operators import batching, routing, sequencing, windows
-from tidemark.operators.blocks import value_block
 from tidemark.plans.inputs import (
     ORDER_COLUMNS,
     TICK_SECONDS,
     damaged_line,
     event_messages,
+    holed_events,
     numbered_events,
     order_fields,
     table,
@@ -61,12 +61,12 @@ def literal_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sequence_source(spark: SparkSession, folder: str) -> DataFrame:
-    rows = messages.sequence_rows(spark, 1, table(spark, folder, "orders").count(), 3, 10)
-    return rows.select("n", F.concat(F.lit("val = "), F.col("n").cast("string")).alias("name"), text.millis_text("ts").alias("ts"))
+    rows = messages.sequence_rows(table(spark, folder, "orders").select("o_orderkey"), ["o_orderkey"], 1, 3, 10)
+    return rows.select("o_orderkey", "n", F.concat(F.lit("number "), F.col("n").cast("string")).alias("name"), text.millis_text("ts").alias("ts"))
 
 
 def message_source(spark: SparkSession, folder: str) -> DataFrame:
-    return event_messages(spark, folder).select(
+    return event_messages(numbered_events(spark, folder)).select(
         "event_id",
         F.decode("payload", "UTF-8").alias("payload"),
         F.col("attributes")["publishTs"].alias("publish_ts"),
@@ -130,14 +130,24 @@ def csv_quoted_split(spark: SparkSession, folder: str) -> DataFrame:
     return _documents_as_csv(spark, folder, csv_files.SPLIT_FILES)
 
 
-def _damaged_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """Damaged order files, one folder per order status, read in strict mode."""
+def _write_damaged(spark: SparkSession, folder: str) -> str:
+    """Damaged order files, one folder per order status, and one file with a header alone; their folder."""
     path = scratch_path(spark, "orders-damaged")
     fields = order_fields(table(spark, folder, "orders"))
-    csv_files.write_lines(fields, damaged_line(), ",".join(ORDER_COLUMNS), path, partition_by=["o_orderstatus"])
+    header = ",".join(ORDER_COLUMNS)
+    csv_files.write_lines(fields, damaged_line(), header, path, partition_by=["o_orderstatus"])
+    csv_files.write_lines(fields.limit(0), damaged_line(), header, f"{path}/o_orderstatus=none")
+    return path
+
+
+def _read_damaged(spark: SparkSession, path: str) -> DataFrame:
     return csv_files.read_csv(spark, f"{path}/*/*.csv", ORDER_COLUMNS, csv_files.STRICT, csv_files.NO_NEWLINES)
 
 
+def _damaged_orders(spark: SparkSession, folder: str) -> DataFrame:
+    return _read_damaged(spark, _write_damaged(spark, folder))
+
+
 def csv_strict(spark: SparkSession, folder: str) -> DataFrame:
     return routing.output(_damaged_orders(spark, folder), routing.MAIN).select(*ORDER_COLUMNS)
 
@@ -152,23 +162,84 @@ def csv_naive(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("tag", "record", "o_orderkey", "o_orderpriority")
 
 
+# The columns of the two files that are written with different headers.
+TWO_HEADERS = {
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_acctbal"],
+    "supplier": ["s_name", "s_suppkey", "s_nationkey", "s_acctbal"],
+}
+
+
 def csv_json(spark: SparkSession, folder: str) -> DataFrame:
     """Two file families with different headers in one read, headers taken from the files."""
     path = scratch_path(spark, "two-headers")
-    csv_files.write_quoted(table(spark, folder, "customer").select("c_custkey", "c_name"), f"{path}/customer")
-    csv_files.write_quoted(table(spark, folder, "supplier").select("s_name", "s_suppkey"), f"{path}/supplier")
+    for name, columns in TWO_HEADERS.items():
+        csv_files.write_quoted(_as_text(table(spark, folder, name).select(*columns)), f"{path}/{name}")
     files = csv_files.match_files(spark, f"{path}/*/*.csv")
     paths, missing = csv_files.matched_paths(files.select("path"), files)
     rows = csv_files.read_csv_json(spark, paths)
-    named = F.from_json("row", "c_custkey string, c_name string, s_name string, s_suppkey string").alias("r")
+    names = [name for columns in TWO_HEADERS.values() for name in columns]
+    named = F.from_json("row", ", ".join(f"{name} string" for name in names)).alias("r")
     return rows.unionByName(missing, allowMissingColumns=True).select("tag", named).select("tag", "r.*")
 
 
+def _as_text(rows: DataFrame) -> DataFrame:
+    """All columns as text, amounts with two places."""
+    amounts = {name for name, kind in rows.dtypes if kind == "double"}
+    return rows.select(*[(F.col(n).cast("decimal(18,2)") if n in amounts else F.col(n)).cast("string").alias(n) for n in rows.columns])
+
+
+def ingest_notifications(spark: SparkSession, folder: str) -> DataFrame:
+    """From notifications to main, trace and error rows: files named once or twice are read as often, missing ones and rows the
+    formatter can't take are errors, and every file that was read is traced."""
+    path = _write_damaged(spark, folder)
+    files = csv_files.match_files(spark, f"{path}/*/*.csv")
+    again = files.filter(F.col("path").contains("o_orderstatus=O"))
+    lost = files.select(F.concat("path", F.lit(".lost")).alias("path")).filter(F.col("path").contains("o_orderstatus=P"))
+    names = files.select("path").unionByName(again.select("path")).unionByName(lost)
+    parts = F.regexp_extract("path", r"^(?:file:/*)?(?:([a-z0-9]+)://)?(.*)/([^/]+/[^/]+)$", 2), F.regexp_extract("path", "([^/]+/[^/]+)$", 1)
+    notified = messages.with_attributes(names, F.lit(""), eventType=F.lit("OBJECT_FINALIZE"), bucketId=parts[0], objectId=parts[1])
+    wanted = messages.notification_paths(notified, "/")
+    rows = csv_files.read_notified(spark, f"{path}/*/*.csv", wanted, files, ORDER_COLUMNS)
+    price = lambda column: F.when(column.try_cast("double") < 400000, column.try_cast("decimal(8,2)"))
+    formatted = routing.format_with_capture(rows, price, "o_totalprice", "price", "price out of range")
+    trace = csv_files.file_trace(formatted.filter(~F.col("reason").eqNullSafe("no such file")), files)
+    told = trace.groupBy(_status("file_path").alias("status"), "step").agg(F.sum("rows").alias("rows"), F.sum("errors").alias("errors"))
+    outputs = formatted.groupBy("tag", _status("file_path").alias("status"), F.regexp_extract(F.coalesce("reason", F.lit("")), "^[a-z ]*", 0).alias("why"))
+    main_price = F.when(F.col("tag") == routing.MAIN, F.col("price"))
+    counted = outputs.agg(F.count(F.lit(1)).alias("rows"), F.sum(main_price).cast("double").alias("price"))
+    return routing.flatten(
+        counted.filter("why <> 'no such file'").select("tag", "status", F.col("why").alias("what"), "rows", "price"),
+        counted.filter("why = 'no such file'").select("tag", "status", F.col("why").alias("what"), F.lit(None).cast("long").alias("rows"), "price"),
+        told.select(F.lit("trace").alias("tag"), "status", F.col("step").alias("what"), (F.col("rows") + F.col("errors")).alias("rows"), F.lit(None).cast("double").alias("price")),
+    )
+
+
+def csv_malformed(spark: SparkSession, folder: str) -> DataFrame:
+    """Stray quotes, quoted line breaks, and files that end within a quoted value."""
+    path = scratch_path(spark, "malformed")
+    orders = order_fields(table(spark, folder, "orders")).withColumn("number", F.col("o_orderkey").cast("bigint"))
+    value = (
+        F.when(F.col("number") % 7 == 0, F.concat(F.lit('5"'), "o_orderpriority"))
+        .when(F.col("number") % 11 == 0, F.concat(F.lit('"a ""b"",'), "o_orderpriority", F.lit('"')))
+        .otherwise(F.col("o_orderpriority"))
+    )
+    line = F.concat_ws(",", "o_orderkey", value, "o_orderstatus")
+    header = "o_orderkey,o_orderpriority,o_orderstatus"
+    csv_files.write_lines(orders, line, header, f"{path}/whole")
+    # Files of one record each, as text, since it has line breaks: one kind closes its quotes, the other does not.
+    broken = F.concat(F.lit(header + "\n"), "o_orderkey", F.lit(',"'), "o_orderpriority", F.lit("\n\n,x"))
+    for name, row, end in (("closed", 3, '",F'), ("cut", 1, "")):
+        one = orders.filter(F.col("number") % 1000 == row).select(F.concat(broken, F.lit(end)).alias("value"))
+        one.write.option("maxRecordsPerFile", 1).text(f"{path}/{name}")
+    rows = csv_files.read_csv(spark, f"{path}/*/part*", header.split(","), csv_files.STRICT)
+    return rows.select("tag", "reason", "record", *header.split(","))
+
+
 # --- projections, routing ----------------------------------------------------------------------
 
 
 def row_to_json(spark: SparkSession, folder: str) -> DataFrame:
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    orders = table(spark, folder, "orders")
     row = orders.select(text.row_json(orders.columns).alias("row"))
     return row.select(F.from_json("row", orders.schema).alias("r")).select("r.*")
 
@@ -184,31 +255,39 @@ def route_tags(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _status(column: str) -> Column:
-    return F.regexp_extract(column, "o_orderstatus=([A-Z])", 1)
+    return F.regexp_extract(column, "o_orderstatus=([A-Za-z]+)", 1)
 
 
 def file_trace(spark: SparkSession, folder: str) -> DataFrame:
-    traced = csv_files.file_trace(_damaged_orders(spark, folder))
-    return traced.groupBy(_status("file_path").alias("status")).agg(
+    """Trace rows per order status, among them those of the file without rows."""
+    path = _write_damaged(spark, folder)
+    traced = csv_files.file_trace(_read_damaged(spark, path), csv_files.match_files(spark, f"{path}/*/*.csv"))
+    return traced.groupBy(_status("file_path").alias("status"), "step").agg(
         F.sum("rows").alias("rows"), F.sum("errors").alias("errors")
     )
 
 
 def union_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Trace rows, one per order status and step, together with all error rows."""
     rows = _damaged_orders(spark, folder)
-    trace = routing.output(rows, routing.MAIN).select(F.lit("trace").alias("tag"), _status("file_path").alias("message"))
+    steps = csv_files.file_trace(rows).select(_status("file_path").alias("status"), "step").distinct()
+    trace = steps.select(F.lit("trace").alias("tag"), F.concat_ws(" ", "status", "step").alias("message"))
     error = routing.output(rows, routing.ERROR).select("tag", F.col("record").alias("message"))
     return routing.flatten(trace, error)
 
 
 def key_by_attribute(spark: SparkSession, folder: str) -> DataFrame:
-    keyed = messages.key_by_attribute(event_messages(spark, folder))
-    return keyed.select("event_id", "tag", "group_key", "sequence", "publish_millis")
+    keyed = messages.key_by_attribute(event_messages(holed_events(spark, folder)))
+    return keyed.select("event_id", "tag", "reason", "group_key", "sequence", "publish_millis")
 
 
 def key_guard(spark: SparkSession, folder: str) -> DataFrame:
-    rows = numbered_events(spark, folder).withColumn("key", F.col("group_key"))
-    return windows.guard_single_key(rows, ["group_key"], "key")
+    """Messages per window and type; the key in their attributes must be the same for all of them."""
+    rows = event_messages(numbered_events(spark, folder)).withColumn("key", F.col("attributes")["groupKey"])
+    types = table(spark, folder, "events").select("event_id", "event_type")
+    windowed = windows.assign_windows(rows.join(types, "event_id"), "ts", "1 day")
+    guarded = windows.guard_single_key(windowed, ["window_start", "event_type"], "key")
+    return guarded.select(text.millis_text("window_start").alias("window_start"), "event_type", "items")
 
 
 def table_name_parts(spark: SparkSession, folder: str) -> DataFrame:
@@ -224,17 +303,21 @@ def table_name_parts(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- windows, batches --------------------------------------------------------------------------
 
+# Elements per list: small, so that the tables' groups have several lists.
+ELEMENTS = 50
+
 
 def window_group(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").select(
         "event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("group_key")
     )
     grouped = [
-        windows.group_by_window(events, "group_key", "ts", width, "event_id").select(
+        windows.group_by_window(events, "group_key", "ts", width, "event_id", ELEMENTS).select(
             F.lit(width).alias("width"),
             text.millis_text("window_start").alias("window_start"),
             "group_key",
             "list_no",
+            "items",
             F.col("event_id").alias("event_ids"),
         )
         for width in ("5 seconds", "1 day")
@@ -248,6 +331,7 @@ def summary_output(summary: DataFrame) -> DataFrame:
         text.millis_text("window_start").alias("window_start"),
         "list_no",
         "items",
+        "group_items",
         "data_from",
         "data_to",
         "window_from",
@@ -258,29 +342,37 @@ def summary_output(summary: DataFrame) -> DataFrame:
 
 
 def window_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return summary_output(windows.window_summary(numbered_events(spark, folder), "1 day"))
+    return summary_output(windows.window_summary(numbered_events(spark, folder), "1 day", ELEMENTS))
 
 
-def _customer_batches(spark: SparkSession, folder: str) -> DataFrame:
-    customers = table(spark, folder, "customer").select("c_mktsegment", "c_custkey", "c_name")
-    return batching.number_batches(customers, ["c_mktsegment"], value_block("c_custkey"), ["c_custkey"])
+def batch_output(batches: DataFrame) -> DataFrame:
+    return batches.select(
+        "group_key",
+        text.millis_text("window_start").alias("window_start"),
+        "batch_no",
+        "size",
+        F.concat_ws(",", F.col("items").cast("array<string>")).alias("items"),
+    )
 
 
 def group_into_batches(spark: SparkSession, folder: str) -> DataFrame:
-    return (
-        _customer_batches(spark, folder)
-        .groupBy("c_mktsegment", "batch_no")
-        .agg(
-            F.count(F.lit(1)).alias("size"),
-            F.min("c_custkey").alias("first_key"),
-            F.max("c_custkey").alias("last_key"),
-        )
+    """Events in batches per type and day."""
+    events = table(spark, folder, "events").select(
+        "event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("group_key")
     )
+    keys = ["group_key", "window_start"]
+    numbered = batching.number_batches(windows.assign_windows(events, "ts", "1 day"), keys, ["event_id"])
+    return batch_output(batching.collect_batches(numbered, keys, "event_id", "event_id"))
+
+
+def _manifest(names: DataFrame, keys: list[str], order: str, element: str) -> DataFrame:
+    numbered = batching.number_batches(names, keys, [order])
+    return batching.export_manifest(batching.collect_batches(numbered, keys, order, element), keys, EXPORT_PARAMETERS, "run1")
 
 
 def export_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    batches = batching.collect_batches(_customer_batches(spark, folder), ["c_mktsegment"], "c_custkey", "c_name")
-    manifest = batching.export_manifest(batches, ["c_mktsegment"], EXPORT_PARAMETERS)
+    customers = table(spark, folder, "customer").select("c_mktsegment", "c_custkey", "c_name")
+    manifest = _manifest(customers, ["c_mktsegment"], "c_custkey", "c_name")
     return manifest.select(
         "job_name",
         "tables",
@@ -290,7 +382,7 @@ def export_manifest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def assign_sequence(spark: SparkSession, folder: str) -> DataFrame:
-    return numbered_events(spark, folder).select("event_id", "group_key", "sequence")
+    return holed_events(spark, folder).select("event_id", "group_key", "sequence")
 
 
 # --- sequencing --------------------------------------------------------------------------------
@@ -349,13 +441,18 @@ def distinct_books(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bind_types(spark: SparkSession, folder: str) -> DataFrame:
-    return text.bind_types(table(spark, folder, "customer").drop("c_mktsegment"))
+    return text.bind_types(table(spark, folder, "customer"))
 
 
 def copied_tables(spark: SparkSession, folder: str) -> DataFrame:
-    """Four tables copied to tables of the same third name, then read back as key and name."""
+    """The tables that a manifest lists, copied to tables of the same third name, then read back as key and name.
+
+    The manifest has one row per batch of tables; its few names are what the driver starts jobs for.
+    """
     target = scratch_path(spark, "copies")
-    names = [name for name in COPY_COLUMNS if not name.endswith("orders")]
+    listed = spark.createDataFrame([("all", name) for name in COPY_COLUMNS], "kind string, name string")
+    manifest = _manifest(listed, ["kind"], "name", "name")
+    names = [name for row in manifest.select("tables").collect() for name in row["tables"].split(",")]
     place = lambda name: f"{target}/{tables.split_table_name(name)[2]}"
     copy_tables(
         names,
@@ -368,20 +465,20 @@ def copied_tables(spark: SparkSession, folder: str) -> DataFrame:
             spark.read.parquet(place(name)).select(
                 F.lit(name).alias("source"),
                 F.col(COPY_COLUMNS[name][0]).cast("string").alias("key"),
-                F.col(COPY_COLUMNS[name][1]).alias("name"),
+                F.col(COPY_COLUMNS[name][-1]).cast("string").alias("name"),
             )
             for name in names
         ]
     )
 
 
-def new_default_table(spark: SparkSession) -> str:
-    """An empty table with a defaulted column, outside any warehouse folder."""
+def new_default_table(spark: SparkSession, batches: bool = False) -> str:
+    """An empty table with a defaulted column, outside any warehouse folder; on demand one partition per micro-batch."""
     name = f"default_tests_{uuid.uuid4().hex}"
     spark.sql(
         f"CREATE TABLE {name} (id STRING, name STRING, df_ts TIMESTAMP,"
-        f" date_created TIMESTAMP DEFAULT current_timestamp())"
-        f" USING parquet LOCATION '{scratch_path(spark, name)}'"
+        f" date_created TIMESTAMP DEFAULT current_timestamp(){', batch BIGINT' if batches else ''})"
+        f" USING parquet {'PARTITIONED BY (batch)' if batches else ''} LOCATION '{scratch_path(spark, name)}'"
     )
     return name
 
@@ -396,7 +493,11 @@ def stamped(rows: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def loaded_output(spark: SparkSession, name: str) -> DataFrame:
-    return spark.table(name).select(
+    """The loaded rows, read from the table's files; the table itself is dropped, its files stay for the reader."""
+    location = spark.sql(f"DESCRIBE EXTENDED {name}").filter("col_name = 'Location'").first()["data_type"]
+    rows = spark.read.schema(spark.table(name).schema).parquet(location)
+    spark.sql(f"DROP TABLE {name}")
+    return rows.select(
         "id", "name", text.millis_text("df_ts").alias("df_ts"), F.col("date_created").isNotNull().alias("created")
     )
 
@@ -429,7 +530,7 @@ def scalar_functions(spark: SparkSession, folder: str) -> DataFrame:
     fields = F.map_from_arrays(F.array(F.lit("type"), F.lit("id")), F.array("event_type", F.col("event_id").cast("string")))
     return events.select(
         "event_id",
-        F.format_string("test-table-%d", "event_id").alias("table_name"),
+        F.format_string("events_%d", "event_id").alias("table_name"),
         F.concat_ws(",", "event_type", F.col("user_id").cast("string")).alias("joined"),
         F.split(F.concat_ws(",", "event_type", "props"), ",")[0].alias("first_part"),
         (F.col("event_type") == "click").alias("is_click"),
@@ -460,6 +561,8 @@ BATCH: dict[str, Query] = {
     "csv_strict": csv_strict,
     "csv_naive": csv_naive,
     "csv_json": csv_json,
+    "csv_malformed": csv_malformed,
+    "ingest_notifications": ingest_notifications,
     "row_to_json": row_to_json,
     "route_tags": route_tags,
     "file_trace": file_trace,

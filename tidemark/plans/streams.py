@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import text
 from tidemark.operators import windows
 from tidemark.plans.inputs import numbered_events, table, trades
-from tidemark.plans.queries import Query, loaded_output, new_default_table, stamped, summary_output
+from tidemark.plans.queries import ELEMENTS, Query, batch_output, loaded_output, new_default_table, stamped, summary_output
 from tidemark.streaming.batches import collect_batches
 from tidemark.streaming.loads import append_loads
 from tidemark.streaming.replay import run_slices, run_to_table, slice_count, time_slices
@@ -36,8 +35,13 @@ def _closing_row(rows: DataFrame, **values) -> DataFrame:
 
 
 def _event_slices(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """The events by time, a row that closes their windows, and one that comes too late for its own."""
     rows = numbered_events(spark, folder).select("event_id", "ts", "group_key", "sequence")
-    return [*time_slices(rows, "ts", slice_count(rows, "group_key")), _closing_row(rows, event_id=-1, group_key="end", sequence=0)]
+    slices = time_slices(rows, "ts", slice_count(rows, "group_key"))
+    late = rows.agg(F.min("ts").alias("ts")).select(
+        F.lit(-2).cast("bigint").alias("event_id"), "ts", F.lit("late").alias("group_key"), F.lit(0).cast("bigint").alias("sequence")
+    )
+    return [*slices, _closing_row(rows, event_id=-1, group_key="end", sequence=0), late]
 
 
 def stream_seq_book(spark: SparkSession, folder: str) -> DataFrame:
@@ -68,6 +72,7 @@ def _overflow(spark: SparkSession, folder: str, rule: str) -> DataFrame:
         F.date_format("at", "yyyy-MM-dd").alias("at"),
         "skipped_from",
         "skipped_to",
+        "pending_last",
         "remaining",
     )
 
@@ -87,7 +92,7 @@ def stream_window_summary(spark: SparkSession, folder: str) -> DataFrame:
         lambda stream: windows.sequence_counts(stream.withWatermark("ts", "0 seconds"), "1 day"),
         "window-summary",
     )
-    return summary_output(windows.summarise_counts(counts))
+    return summary_output(windows.summarise_counts(counts, ELEMENTS))
 
 
 def stream_group_into_batches(spark: SparkSession, folder: str) -> DataFrame:
@@ -99,22 +104,16 @@ def stream_group_into_batches(spark: SparkSession, folder: str) -> DataFrame:
         ),
         "group-into-batches",
     )
-    return batches.select(
-        "group_key",
-        text.millis_text("window_start").alias("window_start"),
-        "batch_no",
-        "size",
-        F.concat_ws(",", F.col("items").cast("array<string>")).alias("items"),
-    )
+    return batch_output(batches)
 
 
 def stream_load_append(spark: SparkSession, folder: str) -> DataFrame:
-    name = new_default_table(spark)
+    name = new_default_table(spark, batches=True)
     slices = [
         stamped(table(spark, folder, "customer"), "c_custkey", "c_name"),
         stamped(table(spark, folder, "supplier"), "s_suppkey", "s_name"),
     ]
-    run_slices(spark, slices, lambda stream: append_loads(stream, name), "load-append")
+    run_slices(spark, slices, lambda stream: append_loads(stream, name, "batch"), "load-append")
     return loaded_output(spark, name)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,8 +16,8 @@ def require_table(spark: SparkSession, table: str) -> None:
         raise ValueError(f"table {table} does not exist")
 
 
-def load_table(df: DataFrame, table: str, how: str = APPEND) -> None:
-    """Write the rows into ``table``, replacing its content or adding to it.
+def load_table(df: DataFrame, table: str, how: str = APPEND, partition: Mapping[str, int] | None = None) -> None:
+    """Write the rows into ``table``, or into the one ``partition`` of it, replacing the content or adding to it.
 
     Columns the frame does not have get the table's DEFAULT, or NULL without one; a column the table does
     not have is an error. The insert is SQL because only SQL inserts fill defaults.
@@ -28,8 +29,9 @@ def load_table(df: DataFrame, table: str, how: str = APPEND) -> None:
     view = f"load_{uuid.uuid4().hex}"
     names = ", ".join(f"`{name}`" for name in df.columns)
     verb = "OVERWRITE" if how == TRUNCATE else "INTO"
+    where = f"PARTITION ({', '.join(f'`{name}` = {int(value)}' for name, value in partition.items())})" if partition else ""
     df.createOrReplaceTempView(view)
     try:
-        spark.sql(f"INSERT {verb} {table} ({names}) SELECT {names} FROM {view}")
+        spark.sql(f"INSERT {verb} {table} {where} ({names}) SELECT {names} FROM {view}")
     finally:
         spark.catalog.dropTempView(view)

@@ -8,16 +8,20 @@ Three reading modes, all on Spark's own readers:
 * ``naive``   every line is cut at each comma, no quoting; a line that is short after its trailing empty
   fields are dropped, blank lines included, goes to the error output or fails the query.
 
+A quote opens a value only at the start of a field; anywhere else it is a character. A record whose quote is never
+closed goes to the error output, whatever the mode.
+
 The quoting modes take one of three ways with newlines inside values:
 
-* ``NO_NEWLINES``  there are none; Spark splits the files, so this is the way to choose where possible;
-* ``WHOLE_FILES``  one file is one task, right for any number of files of moderate size;
-* ``SPLIT_FILES``  for files too big for one task: they are read in splits and the records put together by
-  running quote counts, at the price of three shuffles.
+* ``SPLIT_FILES``  the default: files of any size are read in splits, and the records are put together by the state that
+  each line leaves the next in, at the price of some shuffles;
+* ``NO_NEWLINES``  there are none; Spark's reader splits the files, so this is the way to choose where possible;
+* ``WHOLE_FILES``  one file is one task of Spark's reader, for files known to be well formed and of moderate size.
 """
 
 from __future__ import annotations
 
+import csv
 from collections import Counter, defaultdict
 from collections.abc import Sequence
 
@@ -26,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import row_json
-from tidemark.operators.blocks import running
+from tidemark.operators import ranges
 from tidemark.operators.routing import ERROR, MAIN, flatten, route
 
 QUOTED, STRICT, NAIVE = "quoted", "strict", "naive"
@@ -76,10 +80,21 @@ def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
+# A value in quotes up to its closing quote, and what a field may hold; possessive, so that no line is tried twice.
+_QUOTED_VALUE = '"[^"]*+(?:""[^"]*+)*+'
+_FIELD = f'(?:{_QUOTED_VALUE}"[^,]*+|[^",][^,]*+)?+'
+_OPENS = f"^(?:{_FIELD},)*+{_QUOTED_VALUE}$"
+_STAYS_OPEN = f'^[^"]*+(?:""[^"]*+)*+(?:$|"[^,]*+,(?:{_FIELD},)*+{_QUOTED_VALUE}$)'
+
+
 def _width(record: Column) -> Column:
-    """Number of fields of a raw record: commas outside quotes plus one."""
-    unquoted = F.regexp_replace(record, '"[^"]*"', "")
-    return F.size(F.split(unquoted, ","))
+    """Number of fields of a raw record: commas outside quoted values plus one; a value never closed ends with the record."""
+    unquoted = F.regexp_replace(record, f'(^|,){_QUOTED_VALUE}(?:"|$)', "$1")
+    return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit(""))) + 1
+
+
+def _unterminated(record: Column) -> Column:
+    return F.coalesce(F.replace(record, F.lit("\n"), F.lit(" ")).rlike(_OPENS), F.lit(False))
 
 
 def _present(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -88,6 +103,7 @@ def _present(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
         "file_path",
         "record",
         "_fields",
+        "open",
         *[
             F.when(F.col("_fields") > position, F.coalesce(F.col(name), F.lit(""))).alias(name)
             for position, name in enumerate(columns)
@@ -111,15 +127,17 @@ def _read_quoted(spark: SparkSession, paths, columns: Sequence[str], multi_line:
     # Spark refuses a scan of the raw record alone, so its expression names a data column as well.
     record = F.when(F.col(_RECORD).isNotNull(), F.coalesce(F.col(_RECORD), F.col(columns[0])))
     width = F.when(F.col("record").isNull(), F.lit(len(columns))).otherwise(_width(F.col("record")))
-    return _present(rows.withColumn("record", record).withColumn("_fields", width), columns)
+    sized = rows.withColumn("record", record).withColumn("_fields", width)
+    return _present(sized.withColumn("open", _unterminated(F.col("record"))), columns)
 
 
 def split_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Records of quoted files as file_path, record_no (from 1), record, read in splits of any file size.
 
-    A line begins a record if the quotes of the file before it are even in number. Both the quotes and
-    the record numbers are running sums over the file in blocks of one split, so a file is never read
-    whole by one task; only the lines of one record meet in a row.
+    Each line is looked at twice, as if it began outside and inside a quoted value: it leaves the next line outside or inside,
+    keeps the state, or flips it. The state after a line is then the last one set, flipped as often as lines did since. That, the
+    flips and the record numbers are running aggregates over ranges of lines, so a file is never read whole by one
+    task; only the lines of one record meet in a row.
     """
     lines = (
         spark.read.option("lineSep", "\n")
@@ -131,15 +149,20 @@ def split_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
             "value",
         )
     )
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    order = (["file_path"], F.col("split"), ["line"])
-    counted = running(lines.withColumn("_quotes", quotes), *order, {"_seen": F.col("_quotes")})
-    begins = ((F.col("_seen") - F.col("_quotes")) % 2 == 0).cast("bigint")
-    numbered = running(counted.withColumn("_begins", begins), *order, {"record_no": F.col("_begins")})
+    states = lines.withColumns({"_out": F.col("value").rlike(_OPENS).cast("int"), "_in": F.col("value").rlike(_STAYS_OPEN).cast("int")})
+    flips = (F.col("_out") > F.col("_in")).cast("bigint")
+    order = (["file_path"], ["split", "line"])
+    flipped = ranges.running(states, *order, {"_flips": flips})
+    # A set state is kept as it would be before any flip, so that the flips up to a later line apply to it.
+    unflipped = (F.col("_out") + F.col("_flips")) % 2
+    last_set = F.when(F.col("_out") == F.col("_in"), F.struct("split", "line", unflipped.alias("state")))
+    set_ = ranges.running(flipped, *order, maxima={"_set": last_set})
+    inside = (F.coalesce(F.col("_set.state"), F.lit(0)) + F.col("_flips")) % 2
+    ended = ranges.running(set_.withColumn("_ends", (inside == 0).cast("bigint")), *order, {"_ended": F.col("_ends")})
+    numbered = ended.withColumn("record_no", F.col("_ended") - F.col("_ends") + 1)
     parts = F.sort_array(F.collect_list(F.struct("split", "line", "value")))
-    joined = numbered.groupBy("file_path", "record_no").agg(parts.alias("parts"))
-    text = F.regexp_replace(F.array_join("parts.value", "\n"), "\r$", "")
-    return joined.select("file_path", "record_no", text.alias("record"))
+    joined = numbered.groupBy("file_path", "record_no").agg(parts.alias("parts"), F.max("_ends").alias("ends"))
+    return joined.select("file_path", "record_no", F.regexp_replace(F.array_join("parts.value", "\n"), "\r$", "").alias("record"), (F.col("ends") == 0).alias("open"))
 
 
 def _read_split(spark: SparkSession, paths, columns: Sequence[str]) -> DataFrame:
@@ -159,9 +182,10 @@ def _read_split(spark: SparkSession, paths, columns: Sequence[str]) -> DataFrame
     return _present(
         parsed.select(
             "file_path",
-            F.when(F.col("_fields") != len(columns), F.col("record")).alias("record"),
+            F.when((F.col("_fields") != len(columns)) | F.col("open"), F.col("record")).alias("record"),
             "_fields",
             "_row.*",
+            "open",
         ),
         columns,
     )
@@ -178,6 +202,7 @@ def _read_naive(spark: SparkSession, paths, columns: Sequence[str]) -> DataFrame
         "file_path",
         "record",
         "_fields",
+        F.lit(False).alias("open"),
         *[F.get(F.col("_parts"), position).alias(name) for position, name in enumerate(columns)],
     )
 
@@ -187,7 +212,7 @@ def read_csv(
     paths: str | Sequence[str],
     columns: Sequence[str],
     mode: str = QUOTED,
-    newlines: str = WHOLE_FILES,
+    newlines: str = SPLIT_FILES,
     fail_fast: bool = False,
 ) -> DataFrame:
     """Rows of files with the given header: file_path, tag, reason, record and the string columns.
@@ -204,15 +229,39 @@ def read_csv(
         rows = _read_split(spark, paths, columns)
     else:
         rows = _read_quoted(spark, paths, columns, newlines == WHOLE_FILES)
-    if mode == QUOTED:
-        problem = F.lit(None).cast("string")
-    else:
+    problem = F.when(F.col("open"), F.raise_error("unterminated quote") if fail_fast else F.lit("unterminated quote"))
+    if mode != QUOTED:
         width = F.col("_fields")
         short = F.concat(F.lit("short row: "), width.cast("string"), F.lit(f" of {len(columns)} fields"))
-        problem = F.when(width < len(columns), F.raise_error(short) if fail_fast else short)
+        problem = problem.when(width < len(columns), F.raise_error(short) if fail_fast else short)
     return route(rows, problem).select(*_OUTPUT, *columns)
 
 
+def read_notified(
+    spark: SparkSession,
+    pattern: str,
+    notified: DataFrame,
+    files: DataFrame,
+    columns: Sequence[str],
+    mode: str = STRICT,
+    newlines: str = NO_NEWLINES,
+) -> DataFrame:
+    """Rows of the files of ``pattern`` that ``notified`` (with ``path``, ``tag`` and ``reason``) names, as often as it does.
+
+    There is one scan, and paths meet in joins: rows with their file's notifications, and notifications with the ``files``
+    there are. A path without a file is an error row, as is a notification that has none.
+    """
+    paths = notified.select(_plain_path(F.col("path")).alias("file_path"), "tag", "reason")
+    times = paths.filter(F.col("tag") == MAIN).groupBy("file_path").agg(F.count(F.lit(1)).cast("int").alias("_times"))
+    there = files.select(_plain_path(F.col("path")).alias("file_path")).distinct()
+    missing = paths.join(there, "file_path", "left_anti").select(
+        "file_path", F.lit(ERROR).alias("tag"), F.coalesce("reason", F.lit("no such file")).alias("reason")
+    )
+    rows = read_csv(spark, pattern, columns, mode, newlines).withColumn("file_path", _plain_path(F.col("file_path")))
+    repeated = rows.join(times, "file_path").withColumn("_times", F.explode(F.array_repeat(F.lit(1), F.col("_times"))))
+    return repeated.drop("_times").unionByName(missing, allowMissingColumns=True)
+
+
 def to_json_rows(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Main rows as JSON text in ``row``: every present column, in header order."""
     text = F.when(F.col("tag") == MAIN, row_json(list(columns), keep_nulls=False))
@@ -220,7 +269,7 @@ def to_json_rows(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def read_csv_json(
-    spark: SparkSession, paths: Sequence[str], mode: str = QUOTED, newlines: str = WHOLE_FILES
+    spark: SparkSession, paths: Sequence[str], mode: str = QUOTED, newlines: str = SPLIT_FILES
 ) -> DataFrame:
     """Files with any headers, as JSON rows: file_path, tag, reason, record, row.
 
@@ -233,12 +282,19 @@ def read_csv_json(
     named = {_plain(path): count for path, count in times.items()}
     frames = []
     for header, files in sorted(by_header.items()):
-        columns = [name.strip('"') for name in header.split(",")]
+        columns = header_names(header)
         wanted = [path for path in files for _ in range(named[_plain(path)])]
         frames.append(to_json_rows(read_csv(spark, wanted, columns, mode, newlines), columns))
+    if not frames:
+        return spark.createDataFrame([], "file_path string, tag string, reason string, record string, row string")
     return flatten(*frames)
 
 
+def header_names(header: str) -> list[str]:
+    """The column names of a header line, read by the rules of its rows."""
+    return next(csv.reader([header]))
+
+
 def _plain(path: str) -> str:
     """A path without the scheme of a local file, as readers spell it in different ways."""
     return "/" + path.removeprefix("file:").lstrip("/") if path.startswith(("file:", "/")) else path
@@ -250,16 +306,31 @@ def keyed_lines(spark: SparkSession, paths: str | Sequence[str], columns: Sequen
     return rows.select("file_path", row_json(list(columns), keep_nulls=False).alias("row"))
 
 
-def file_trace(rows: DataFrame) -> DataFrame:
-    """Rows per file and tag, and the trace line the reader would log at its end."""
-    counted = rows.groupBy("file_path").agg(
-        F.count_if(F.col("tag") == MAIN).alias("rows"), F.count_if(F.col("tag") == ERROR).alias("errors")
-    )
-    return counted.withColumn(
-        "message", F.concat(F.lit("file parse completed | rows="), F.col("rows").cast("string"), F.lit(" | file="), "file_path")
+def file_trace(rows: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """Two trace rows per file, ``start`` and ``end``, the latter with its rows and errors.
+
+    ``files`` (with ``path``) adds those that gave no row at all.
+    """
+    counts = [F.count_if(F.col("tag") == tag).alias(name) for tag, name in ((MAIN, "rows"), (ERROR, "errors"))]
+    if files is not None:
+        nothing = F.lit(None).cast("string").alias("tag")
+        rows = rows.select("file_path", "tag").unionByName(files.select(_plain_path(F.col("path")).alias("file_path"), nothing))
+    counted = rows.groupBy(_plain_path(F.col("file_path")).alias("file_path")).agg(*counts)
+    ended = F.concat_ws(" ", F.lit("read"), F.col("rows").cast("string"), F.lit("rows with"), F.col("errors").cast("string"), F.lit("errors"))
+    return counted.select(
+        "file_path",
+        F.inline(F.array(
+            F.struct(F.lit("start").alias("step"), F.lit(0).cast("bigint").alias("rows"), F.lit(0).cast("bigint").alias("errors"), F.lit("opened").alias("message")),
+            F.struct(F.lit("end").alias("step"), F.col("rows"), F.col("errors"), ended.alias("message")),
+        )),
     )
 
 
+def _plain_path(path: Column) -> Column:
+    """``_plain`` as a column."""
+    return F.when(path.rlike("^(file:|/)"), F.regexp_replace(path, "^(file:)?/*", "/")).otherwise(path)
+
+
 def write_quoted(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
     """CSV that ``quoted`` mode reads back unchanged, in files of limited size."""
     (

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import file_path, to_long
-from tidemark.operators.blocks import even_slice_seconds, event_block, number_rows
+from tidemark.operators.ranges import number_rows
 from tidemark.operators.routing import route
 
 
@@ -57,22 +57,20 @@ def sequenced(
     return df.select(channel.alias("channel"), sequence.cast("bigint").alias("sequence"), arrival.alias("arrival"))
 
 
-def assign_sequence(df: DataFrame, group: str, ts: str, tie: str, slice_seconds: int | None = None) -> DataFrame:
+def assign_sequence(df: DataFrame, group: str, ts: str, tie: str) -> DataFrame:
     """Add ``sequence``: 0, 1, 2, … per group in send order (``ts``, then the integer ``tie``).
 
-    The group is cut into time slices, so that a group with most rows is numbered by many tasks; the
-    default width spreads the table evenly.
+    Rows without group are numbered as a group of their own, those without time first. Bursts and groups of any size are cut by
+    number of rows (see ``operators.ranges``).
     """
-    seconds = slice_seconds or even_slice_seconds(df, ts)
-    return number_rows(df, [group], event_block(df, ts, tie, seconds), [ts, tie], "sequence")
+    return number_rows(df, [group], [ts, tie], "sequence")
 
 
-def sequence_rows(
-    spark: SparkSession, start: int, count: int, per_period: int = 20, period_seconds: int = 1
-) -> DataFrame:
-    """``count`` longs from ``start``, ``per_period`` of them every ``period_seconds`` from the epoch."""
-    step = F.floor((F.col("id") - F.lit(start)) / F.lit(per_period)).cast("bigint") * F.lit(period_seconds)
-    return spark.range(start, start + count).select(F.col("id").alias("n"), F.timestamp_seconds(step).alias("ts"))
+def sequence_rows(df: DataFrame, order: Sequence[str], start: int, per_period: int = 20, period_seconds: int = 1) -> DataFrame:
+    """Add ``n``, the rows' longs from ``start`` in ``order``, and ``ts``, ``per_period`` of them every ``period_seconds`` from the epoch."""
+    numbered = number_rows(df.withColumn("_all", F.lit(0)), ["_all"], order, "n")
+    step = F.floor(F.col("n") / F.lit(per_period)).cast("bigint") * F.lit(period_seconds)
+    return numbered.select(*df.columns, (F.col("n") + start).alias("n"), F.timestamp_seconds(step).alias("ts"))
 
 
 def sequence_stream(

@@ -30,7 +30,7 @@ class BatchCollector(StatefulProcessor):
         group, start = key
         counted = self.count.get()
         if counted is None:
-            self.handle.registerTimer(int(start.timestamp() * 1000) + self.window_millis)
+            self.handle.registerTimer(start + self.window_millis)
         number = counted[0] if counted else 0
         items = [item[0] for item in self.waiting.get()] if counted else []
         for item in sorted(row["item"] for row in rows):
@@ -53,8 +53,8 @@ class BatchCollector(StatefulProcessor):
         self.count.clear()
 
 
-def _batch(group: str, start, number: int, items: list[int]) -> Row:
-    return Row(group_key=group, window_start=start, batch_no=number, size=len(items), items=items)
+def _batch(group: str, start: int, number: int, items: list[int]) -> Row:
+    return Row(group_key=group, window_millis=start, batch_no=number, size=len(items), items=items)
 
 
 ship_by_value(__name__)
@@ -68,15 +68,17 @@ def collect_batches(
     output = T.StructType(
         [
             T.StructField("group_key", rows.schema[key].dataType),
-            T.StructField("window_start", T.TimestampType()),
+            T.StructField("window_millis", T.LongType()),
             T.StructField("batch_no", T.LongType()),
             T.StructField("size", T.LongType()),
             T.StructField("items", T.ArrayType(rows.schema[item].dataType)),
         ]
     )
     collector = BatchCollector(size, window_seconds * 1000, rows.schema[item].dataType)
-    return (
-        rows.select(F.col(key).alias("group_key"), window["start"].alias("window_start"), F.col(item).alias("item"), ts)
-        .groupBy("group_key", "window_start")
+    # Windows are keyed by whole milliseconds, as times without zone would depend on that of the Python worker.
+    batches = (
+        rows.select(F.col(key).alias("group_key"), F.unix_millis(window["start"]).alias("window_millis"), F.col(item).alias("item"), ts)
+        .groupBy("group_key", "window_millis")
         .transformWithState(collector, output, "Append", "EventTime")
     )
+    return batches.select("group_key", F.timestamp_millis("window_millis").alias("window_start"), "batch_no", "size", "items")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
@@ -13,7 +13,6 @@ from tidemark.session import scratch_path
 
 ROWS_PER_SLICE = 100_000_000
 KEY_ROWS_PER_SLICE = 1_000_000
-MAX_FILTERED_SLICES = 8
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -38,40 +37,22 @@ def slice_count(df: DataFrame, key: str, at_least: int = 3) -> int:
 
 
 def time_slices(df: DataFrame, ts: str, count: int) -> list[DataFrame]:
-    """The rows cut into ``count`` slices of equal length in time, in order.
+    """The rows cut into ``count`` slices of about equal numbers of rows, in order of time; rows of one instant stay together.
 
-    A few slices are filters on the rows; for many, the rows are first written once, partitioned by slice.
+    The rows are written once, by slice, so that what made them is not repeated for every slice. Slices that bursts leave empty are
+    left out, and there is always one.
     """
-    seconds = F.unix_seconds(F.col(ts))
-    low, high = df.agg(F.min(seconds), F.max(seconds)).first()
-    if low is None:
-        return [df]
-    width = max(1, -(-(high - low + 1) // count))
-    if count > MAX_FILTERED_SLICES:
-        return _written_slices(df, ts, F.floor((seconds - F.lit(low)) / F.lit(width)).cast("int"), count)
-    edges = [low + width * number for number in range(1, count)]
-    slices = []
-    for start, end in zip([None, *edges], [*edges, None], strict=True):
-        part = df
-        if start is not None:
-            part = part.filter(F.col(ts) >= F.timestamp_seconds(F.lit(start)))
-        if end is not None:
-            part = part.filter(F.col(ts) < F.timestamp_seconds(F.lit(end)))
-        slices.append(part)
-    return slices
-
-
-def _written_slices(df: DataFrame, ts: str, number: Column, count: int) -> list[DataFrame]:
+    micros = F.unix_micros(F.col(ts))
+    shares = [number / count for number in range(1, count)]
+    found = df.agg(F.percentile_approx(micros, shares, 100 * count)).first()[0] if shares else None
+    edges = sorted(set(found or []))
+    passed = F.size(F.filter(F.array(*[F.lit(edge).cast("bigint") for edge in edges]), lambda edge: edge < micros)) if edges else F.lit(0)
     path = scratch_path(df.sparkSession, "slices")
-    (
-        df.withColumn("_slice", number)
-        .repartitionByRange("_slice", ts)
-        .write.partitionBy("_slice")
-        .parquet(path)
-    )
+    df.withColumn("_slice", F.coalesce(passed, F.lit(0)).cast("int")).repartitionByRange("_slice", ts).write.partitionBy("_slice").parquet(path)
     schema = T.StructType([*df.schema.fields, T.StructField("_slice", T.IntegerType())])
     written = df.sparkSession.read.schema(schema).parquet(path)
-    return [written.filter(F.col("_slice") == position).drop("_slice") for position in range(count)]
+    numbers = sorted(row["_slice"] for row in written.select("_slice").distinct().collect())
+    return [written.filter(F.col("_slice") == number).drop("_slice") for number in numbers or [0]]
 
 
 def run_slices(

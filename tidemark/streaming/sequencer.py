@@ -164,7 +164,7 @@ class ChannelSequencer(StatefulProcessor):
         waiting = WaitingSequences(self.waiting_state, empty=False)
         book = dict(zip(_BOOK_NAMES, self.book_state.get(), strict=True))
         book["ticking"] = False
-        now = datetime.datetime.fromtimestamp(expiredTimerInfo.getExpiryTimeInMs() / 1000)
+        now = _utc(expiredTimerInfo.getExpiryTimeInMs())
         size, first, last = book["pending"], waiting.first(), book["pending_last"]
         report = self._advance(key[0], book, waiting, now, "tick")
         if not report["released"] and self._overflows(book, size, now):
@@ -193,13 +193,15 @@ class ChannelSequencer(StatefulProcessor):
             book["price"] += self.step * taken
             book["pending"] -= taken
             book["advanced_at"] = at
+            if not book["pending"]:
+                book["pending_last"] = None
         return self._row(channel, kind, book, taken, at, start if taken else None)
 
     def _jump(self, channel, book: dict, waiting: WaitingSequences, sequence: int, at) -> Row:
         skipped_from = book["sequence"] + 1
         if self.on_overflow == JUMP_TO_ARRIVAL:
             waiting.clear()
-            book.update(sequence=sequence, price=book["price"] + self.step, pending=0, advanced_at=at)
+            book.update(sequence=sequence, price=book["price"] + self.step, pending=0, pending_last=None, advanced_at=at)
             row = self._row(channel, "overflow", book, 1, at, sequence)
             return self._skipping(row, skipped_from, sequence - 1)
         first = waiting.first()
@@ -231,6 +233,11 @@ class ChannelSequencer(StatefulProcessor):
         )
 
 
+def _utc(millis: int) -> datetime.datetime:
+    """A time as the rows' own times reach the worker: without zone, in that of the session, which is UTC for streams."""
+    return datetime.datetime.fromtimestamp(millis / 1000, datetime.timezone.utc).replace(tzinfo=None)
+
+
 _BOOK_NAMES = ["sequence", "trade_date", "price", "pending", "pending_last", "advanced_at", "ticking"]
 
 
