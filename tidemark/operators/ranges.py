@@ -25,10 +25,14 @@ def same(keys: Sequence[str], prefix: str) -> Column:
 
 
 def dealt(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The rows with the number of their range, written so that every reader sees the same ranges."""
+    """The rows with the number of their range, written so that every reader sees the same ranges.
+
+    There are as many ranges as the session has shuffle partitions, for tables of any size.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, "ranges")
-    ordered = df.repartitionByRange(*[F.col(name) for name in [*keys, *order]])
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = df.repartitionByRange(ranges, *[F.col(name) for name in [*keys, *order]])
     ordered.withColumn(RANGE, F.spark_partition_id()).write.parquet(path)
     return spark.read.parquet(path)
 
