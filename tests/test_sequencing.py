@@ -120,6 +120,26 @@ def test_ticks(messages, bits):
             assert row["book_sequence"] == max([order[0], *[s for s in done if done[s] <= number]])
 
 
+def test_idle_ticks_fill_the_time_between_reports(messages):
+    """With the reports they cover every tick from the first report to the last, while anything waits."""
+    reports, idle = {}, {}
+    for row in sequencing.ticks(messages, 1).collect():
+        reports.setdefault(row["channel"], {})[row["tick"]] = row["remaining"]
+    for row in sequencing.idle_ticks(messages, 1).collect():
+        assert row["pending_size"] == reports[row["channel"]][row["tick_from"] - 1]
+        last = max(reports[row["channel"]])
+        for tick in range(row["tick_from"], (row["tick_to"] or last) + 1):
+            idle.setdefault(row["channel"], set()).add(tick)
+        assert (row["tick_to"] is None) == (row["tick_from"] == last + 1)
+    for channel, known in reports.items():
+        left = 0
+        for tick in range(min(known), max(known) + 1):
+            if tick in known:
+                left = known[tick]
+            else:
+                assert (tick in idle.get(channel, set())) == (left > 0)
+
+
 def test_empty_input(spark):
     nothing = as_messages(spark, [[1]]).filter("channel < 0")
     assert sequencing.books(nothing).count() == 0

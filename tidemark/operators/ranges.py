@@ -43,8 +43,9 @@ def running(
     order: Sequence[str],
     sums: Mapping[str, Column] | None = None,
     maxima: Mapping[str, Column] | None = None,
+    own: bool = True,
 ) -> DataFrame:
-    """Add sums and maxima over the rows of the same key up to and including the row.
+    """Add sums and maxima over the rows of the same key before the row, and with ``own`` over the row itself.
 
     ``order`` should tell all rows of a key apart; rows that it doesn't are taken in any order. Null keys are a key like
     any other, and null places come first.
@@ -64,7 +65,7 @@ def running(
         .drop("_earlier")
     )
     carried = carried.select(*[F.col(name).alias(f"_before_{name}") for name in carried.columns])
-    inside = Window.partitionBy(*keys, RANGE).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy(*keys, RANGE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if own else -1)
     local = {name: F.sum(column).over(inside) for name, column in sums.items()}
     local |= {name: F.max(column).over(inside) for name, column in maxima.items()}
     # At most one row per range, hence the broadcast.

@@ -322,6 +322,20 @@ def ticks(messages: DataFrame, seconds: int, bits: int = BLOCK_BITS) -> DataFram
     )
 
 
+def idle_ticks(messages: DataFrame, seconds: int, bits: int = BLOCK_BITS) -> DataFrame:
+    """The ticks in which nothing arrives while trades wait, as ranges; one without end lasts until now."""
+    reports = ticks(messages, seconds, bits).select("channel", "tick", "remaining", "pending_last", (-F.col("tick")).alias("_back"))
+    nearest = ranges.running(reports, ["channel"], ["_back"], maxima={"_later": F.col("_back")}, own=False)
+    following = -F.col("_later")
+    return nearest.filter((F.col("remaining") > 0) & (following.isNull() | (following > F.col("tick") + 1))).select(
+        "channel",
+        (F.col("tick") + 1).alias("tick_from"),
+        (following - 1).alias("tick_to"),
+        F.col("remaining").alias("pending_size"),
+        "pending_last",
+    )
+
+
 def distinct_books(books: DataFrame) -> DataFrame:
     """Books are equal when channel, sequence, trade date and price are."""
     return books.dropDuplicates(["channel", "sequence", "trade_date", "price"])
@@ -336,6 +350,7 @@ __all__ = [
     "emissions",
     "first_arrivals",
     "gaps",
+    "idle_ticks",
     "in_order",
     "ordered_messages",
     "pending",

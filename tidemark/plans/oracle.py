@@ -118,6 +118,27 @@ SELECT channel, max(sequence) AS sequence, min(epoch_ms(base_at)) AS trade_date,
 FROM i GROUP BY channel, release
 """
 
+SEQ_TICKS = f"""
+WITH {_RELEASES},
+t AS (
+  SELECT k.channel, b.base, k.sequence,
+         CAST(floor(epoch(k.came_at - b.base_at) / 2592000) AS BIGINT) + 1 AS came,
+         CAST(floor(epoch(i.release_at - b.base_at) / 2592000) AS BIGINT) + 1 AS done
+  FROM k JOIN b ON b.channel = k.channel LEFT JOIN i ON i.channel = k.channel AND i.sequence = k.sequence
+  WHERE k.sequence > b.base
+),
+x AS (SELECT DISTINCT channel, base, came AS tick FROM t)
+SELECT x.channel, x.tick,
+       greatest(x.base, coalesce(max(t.sequence) FILTER (WHERE t.done <= x.tick), x.base)) AS book_sequence,
+       count(*) FILTER (WHERE t.came = x.tick) AS arrived,
+       count(*) FILTER (WHERE t.done = x.tick) AS calculated,
+       min(t.sequence) FILTER (WHERE t.done = x.tick) AS calc_from,
+       max(t.sequence) FILTER (WHERE t.done = x.tick) AS calc_to,
+       max(t.sequence) FILTER (WHERE t.came <= x.tick) AS pending_last,
+       count(*) FILTER (WHERE t.came <= x.tick AND coalesce(t.done, x.tick) >= x.tick) AS pending_size,
+       count(*) FILTER (WHERE t.came <= x.tick AND coalesce(t.done, x.tick + 1) > x.tick) AS remaining
+FROM x JOIN t ON t.channel = x.channel GROUP BY x.channel, x.base, x.tick"""
+
 LOAD_APPEND = f"""
 SELECT id, name, {_STAMP} AS df_ts, true AS created FROM (
   SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name FROM customer
@@ -264,26 +285,11 @@ SELECT e.channel, e.run_end AS sequence, epoch_ms(b.base_at) AS trade_date,
        CAST(0.01 * (e.run_end - b.base) AS DECIMAL(38,2)) AS price
 FROM e JOIN b ON b.channel = e.channel""",
     "seq_emissions": SEQ_EMISSIONS,
-    "seq_ticks": f"""
-WITH {_RELEASES},
-t AS (
-  SELECT k.channel, b.base, k.sequence,
-         CAST(floor(epoch(k.came_at - b.base_at) / 2592000) AS BIGINT) + 1 AS came,
-         CAST(floor(epoch(i.release_at - b.base_at) / 2592000) AS BIGINT) + 1 AS done
-  FROM k JOIN b ON b.channel = k.channel LEFT JOIN i ON i.channel = k.channel AND i.sequence = k.sequence
-  WHERE k.sequence > b.base
-),
-x AS (SELECT DISTINCT channel, base, came AS tick FROM t)
-SELECT x.channel, x.tick,
-       greatest(x.base, coalesce(max(t.sequence) FILTER (WHERE t.done <= x.tick), x.base)) AS book_sequence,
-       count(*) FILTER (WHERE t.came = x.tick) AS arrived,
-       count(*) FILTER (WHERE t.done = x.tick) AS calculated,
-       min(t.sequence) FILTER (WHERE t.done = x.tick) AS calc_from,
-       max(t.sequence) FILTER (WHERE t.done = x.tick) AS calc_to,
-       max(t.sequence) FILTER (WHERE t.came <= x.tick) AS pending_last,
-       count(*) FILTER (WHERE t.came <= x.tick AND coalesce(t.done, x.tick) >= x.tick) AS pending_size,
-       count(*) FILTER (WHERE t.came <= x.tick AND coalesce(t.done, x.tick + 1) > x.tick) AS remaining
-FROM x JOIN t ON t.channel = x.channel GROUP BY x.channel, x.base, x.tick""",
+    "seq_ticks": SEQ_TICKS,
+    "seq_idle_ticks": f"""
+SELECT channel, tick + 1 AS tick_from, following - 1 AS tick_to, remaining AS pending_size, pending_last
+FROM (SELECT *, lead(tick) OVER (PARTITION BY channel ORDER BY tick) AS following FROM ({SEQ_TICKS}))
+WHERE remaining > 0 AND (following IS NULL OR following > tick + 1)""",
     "seq_gaps": f"""
 WITH {_TRADES},
 g AS (

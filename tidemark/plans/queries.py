@@ -424,6 +424,10 @@ def seq_ticks(spark: SparkSession, folder: str) -> DataFrame:
     return sequencing.ticks(trades(spark, folder), TICK_SECONDS)
 
 
+def seq_idle_ticks(spark: SparkSession, folder: str) -> DataFrame:
+    return sequencing.idle_ticks(trades(spark, folder), TICK_SECONDS)
+
+
 def seq_gaps(spark: SparkSession, folder: str) -> DataFrame:
     return sequencing.gaps(trades(spark, folder))
 
@@ -583,6 +587,7 @@ BATCH: dict[str, Query] = {
     "seq_book": seq_book,
     "seq_emissions": seq_emissions,
     "seq_ticks": seq_ticks,
+    "seq_idle_ticks": seq_idle_ticks,
     "seq_gaps": seq_gaps,
     "seq_backfill": seq_backfill,
     "distinct_books": distinct_books,
