@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, LongType, StringType, StructField, StructType
 
 from tidemark.llm import spans
+from tidemark.llm.tables import least_hashed
 
 LEAST_LENGTH = 12
 MAX_FINDINGS = 20_000
@@ -202,7 +203,7 @@ def candidates(
 def train(found: DataFrame, label: Column) -> Forest:
     """Train on candidates with a label of 0 or 1, a bounded sample by hash."""
     labelled = found.select(F.xxhash64("doc_id", "start").alias("h"), label.cast("int").alias("label"), "features")
-    sample = labelled.filter(F.col("label").isin(0, 1)).orderBy("h").limit(MAX_FINDINGS).collect()
+    sample = least_hashed(labelled.filter(F.col("label").isin(0, 1)), "h", MAX_FINDINGS).collect()
     sample.sort(key=lambda row: (row.h, row.label, row.features))
     return fit(np.array([row.features for row in sample], np.float32), np.array([row.label for row in sample], float))
 

@@ -31,7 +31,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.llm import spans
 from tidemark.llm.components import components, local_roots
-from tidemark.llm.tables import written
+from tidemark.llm.tables import least_hashed, written
 
 SAMPLE = 20_000
 SHARD_ROWS = 16_384
@@ -168,7 +168,7 @@ def links(classes: DataFrame, radius: int = 2) -> DataFrame:
     """Pairs ``a``, ``b`` of distinct fingerprints ``fp`` that connect all within ``radius`` bits of each other."""
     count = classes.count()
     share = max(SHARD_ROWS, count // MAX_SHARDS) / max(1, count)
-    sampled = classes.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE)
+    sampled = least_hashed(classes.select("fp", F.xxhash64("fp").alias("h")), "h", SAMPLE)
     sample = np.array([row.fp for row in sampled.collect()], np.int64).view(np.uint64)
     levels = vantage_points(sample, share, radius)
 
