@@ -72,3 +72,19 @@ def test_coverage_takes_longest_words_first():
     words = frozenset(["about", "abou", "tion"])
     assert secrets.coverage("xaboutTION", words) == pytest.approx(0.9)
     assert secrets.coverage("", words) == 0.0
+
+
+def test_rare_secrets_are_learnt(spark, monkeypatch):
+    """One candidate in 100,000 is a secret; as many are sampled at most as leave it out when drawn from all."""
+    monkeypatch.setattr(secrets, "MAX_FINDINGS", 200)
+    rows = spark.range(300_000).select(
+        F.col("id").alias("doc_id"),
+        F.lit(0).cast("long").alias("start"),
+        F.lit(20).cast("long").alias("length"),
+        F.lit("v").alias("value"),
+        F.array((F.col("id") % 100_000 == 7).cast("float"), (F.col("id") % 13).cast("float")).alias("features"),
+    )
+    forest = secrets.train(rows, (F.col("doc_id") % 100_000 == 7).cast("int"))
+    scored = secrets.score(rows.filter("doc_id % 100000 < 20"), forest).collect()
+    assert all((row.score >= 0.5) == (row.doc_id % 100_000 == 7) for row in scored)
+    assert forest.share == pytest.approx(1e-5)

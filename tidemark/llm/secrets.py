@@ -4,8 +4,8 @@ A candidate is a maximal run of ASCII letters, digits and ``+/_-`` of at least `
 forest sees its length, how its characters pass between lower case, upper case, digits and signs, how much of it
 dictionary words cover, the path of the document, and the words next to it.
 
-Training takes at most ``MAX_FINDINGS`` labelled candidates, those with the smallest hash of document and place, as rows of features; candidates
-and scores cover all documents.
+Training takes at most ``MAX_FINDINGS`` labelled candidates, half of them of either label, those with the smallest hash of document and place, as
+rows of features; each weighs as many as it stands for. Candidates and scores cover all documents.
 
 Defined cases: a null text has no candidates; a null path has no path features; findings with a null label, or that are no candidate, aren't
 used; one labelled twice counts twice; without labels of both kinds every score is the share of label 1 (0.0 without any); rows
@@ -120,16 +120,18 @@ class Forest:
         return total / len(self.trees)
 
 
-def _grow(rows: np.ndarray, labels: np.ndarray, random: np.random.Generator) -> tuple[np.ndarray, ...]:
+def _grow(rows: np.ndarray, labels: np.ndarray, weights: np.ndarray, random: np.random.Generator) -> tuple[np.ndarray, ...]:
     nodes: list[list[float]] = []
+    ones = labels * weights
 
     def split(own: np.ndarray, depth: int) -> int:
         number = len(nodes)
-        share = float(labels[own].mean())
+        weight = weights[own].sum()
+        share = float(ones[own].sum() / weight)
         nodes.append([-1, 0.0, 0, 0, share])
         if depth == DEPTH or len(own) < 2 * LEAST_LEAF or share in (0.0, 1.0):
             return number
-        best = (share * (1 - share) * len(own) - 1e-9, -1, 0.0)
+        best = (share * (1 - share) * weight - 1e-9, -1, 0.0)
         for feature in random.choice(rows.shape[1], int(np.sqrt(rows.shape[1])) + 1, replace=False):
             column = rows[own, feature]
             values = np.unique(column)
@@ -141,8 +143,9 @@ def _grow(rows: np.ndarray, labels: np.ndarray, random: np.random.Generator) ->
                 count = int(low.sum())
                 if min(count, len(own) - count) < LEAST_LEAF:
                     continue
-                a, b = labels[own[low]].mean(), labels[own[~low]].mean()
-                impure = a * (1 - a) * count + b * (1 - b) * (len(own) - count)
+                left, right = weights[own[low]].sum(), weights[own[~low]].sum()
+                a, b = ones[own[low]].sum() / left, ones[own[~low]].sum() / right
+                impure = a * (1 - a) * left + b * (1 - b) * right
                 if impure < best[0]:
                     best = (impure, int(feature), float(middle))
         if best[1] >= 0:
@@ -157,12 +160,14 @@ def _grow(rows: np.ndarray, labels: np.ndarray, random: np.random.Generator) ->
     return table[:, 0].astype(int), table[:, 1], table[:, 2].astype(int), table[:, 3].astype(int), table[:, 4]
 
 
-def fit(rows: np.ndarray, labels: np.ndarray, seed: int = 11) -> Forest:
-    share = float(labels.mean()) if len(labels) else 0.0
+def fit(rows: np.ndarray, labels: np.ndarray, seed: int = 11, weights: np.ndarray | None = None) -> Forest:
+    """Train on rows that stand for ``weights`` rows each, 1 by default."""
+    weights = np.ones(len(labels)) if weights is None else weights
+    share = float(np.average(labels, weights=weights)) if len(labels) else 0.0
     if share in (0.0, 1.0):
         return Forest([], share)
     random = np.random.default_rng(seed)
-    return Forest([_grow(rows, labels, random) for _ in range(TREES)], share)
+    return Forest([_grow(rows, labels, weights, random) for _ in range(TREES)], share)
 
 
 def candidates(
@@ -201,11 +206,18 @@ def candidates(
 
 
 def train(found: DataFrame, label: Column) -> Forest:
-    """Train on candidates with a label of 0 or 1, a bounded sample by hash."""
+    """Train on candidates with a label of 0 or 1, a bounded sample of either by hash."""
     labelled = found.select(F.xxhash64("doc_id", "start").alias("h"), label.cast("int").alias("label"), "features")
-    sample = least_hashed(labelled.filter(F.col("label").isin(0, 1)), "h", MAX_FINDINGS).collect()
+    counts = dict(labelled.filter(F.col("label").isin(0, 1)).groupBy("label").count().collect())
+    sample = []
+    for kind in counts:
+        sample += least_hashed(labelled.filter(F.col("label") == kind), "h", MAX_FINDINGS // 2).collect()
     sample.sort(key=lambda row: (row.h, row.label, row.features))
-    return fit(np.array([row.features for row in sample], np.float32), np.array([row.label for row in sample], float))
+    labels = np.array([row.label for row in sample], float)
+    weights = np.ones(len(labels))
+    for kind, count in counts.items():
+        weights[labels == kind] = count / (labels == kind).sum()
+    return fit(np.array([row.features for row in sample], np.float32), labels, weights=weights)
 
 
 def score(found: DataFrame, forest: Forest) -> DataFrame:
