@@ -88,3 +88,26 @@ def test_rare_secrets_are_learnt(spark, monkeypatch):
     scored = secrets.score(rows.filter("doc_id % 100000 < 20"), forest).collect()
     assert all((row.score >= 0.5) == (row.doc_id % 100_000 == 7) for row in scored)
     assert forest.share == pytest.approx(1e-5)
+
+
+@pytest.mark.parametrize(
+    ("text", "values"),
+    [
+        ('password = "Tr0ub4dor&3"', ["Tr0ub4dor&3"]),
+        ("passwd: a.b!c@d#e$f, next", ["a.b!c@d#e$f"]),
+        ("secret='two words é \\' end' x", ["two words é \\' end"]),
+        ("token=abcdefghijklmnop\nAPI-KEY = x", ["abcdefghijklmnop", "x"]),
+        ('api_key="no end 1234567890123456', ["no", "1234567890123456"]),
+        ("token = 0123456789abcdef.0123456789abcdef.", ["0123456789abcdef.0123456789abcdef"]),
+        ("a run AbcDefGhiJklMno here", ["AbcDefGhiJklMno"]),
+        ("password =   ", []),
+        ("password: ...", ["..."]),
+        ("the token, a secret word", []),
+    ],
+)
+def test_whole_values_and_mixed_case_are_candidates(spark, text, values):
+    docs = spark.createDataFrame([(1, "x password:", "p"), (2, text, "p")], "doc_id long, text string, source string").coalesce(1)
+    rows = secrets.candidates(docs, WORDS).collect()
+    assert [r.value for r in rows] == values
+    for row in rows:
+        assert text.encode()[row.start : row.start + row.length].decode() == row.value

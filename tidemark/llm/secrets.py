@@ -1,7 +1,9 @@
 """Secret scan: token-like candidates, from which a random forest trained on labelled findings removes the false positives.
 
-A candidate is a maximal run of ASCII letters, digits and ``+/_-`` of at least ``LEAST_LENGTH`` bytes with a digit or without lower-case letters. The
-forest sees its length, how its characters pass between lower case, upper case, digits and signs, how much of it
+A candidate is a maximal run of ASCII letters, digits and ``+/_-`` of at least ``LEAST_LENGTH`` bytes with a digit, in mixed case or without
+lower-case letters, or the whole value that follows a name for credentials and ``=`` or ``:``, of any length and characters: up to the
+closing quote of its line, else to the next blank, without commas, dots, semicolons and closing brackets at its end. Runs inside such a value are none.
+The forest sees its length, how its characters pass between lower case, upper case, digits and signs, how much of it
 dictionary words cover, the path of the document, and the words next to it.
 
 Training takes at most ``MAX_FINDINGS`` labelled candidates, half of them of either label, those with the smallest hash of document and place, as
@@ -30,6 +32,10 @@ from tidemark.llm import spans
 from tidemark.llm.tables import least_hashed
 
 LEAST_LENGTH = 12
+ASSIGNED = re.compile(
+    rb"""(?i:password|passwd|secret|token|api[_-]?key)\s*[=:]\s*(?:"((?:[^"\\\r\n]|\\.)+)"|'((?:[^'\\\r\n]|\\.)+)'|["']?([^\s"']\S*))"""
+)
+AFTER_VALUE = b",.;)]}"
 MAX_FINDINGS = 20_000
 AROUND = 80
 PATH_PLACES, WORD_PLACES = 8, 48
@@ -38,13 +44,27 @@ TREES, DEPTH, LEAST_LEAF, CUTS = 40, 10, 2, 12
 
 OUTSIDE = np.ones(256, bool)
 OUTSIDE[[*range(48, 58), *range(65, 91), *range(97, 123), *b"+/_-"]] = False
-DIGIT, LOWER = np.zeros(256, bool), np.zeros(256, bool)
+DIGIT, LOWER, UPPER = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, bool)
 DIGIT[48:58] = True
 LOWER[97:123] = True
+UPPER[65:91] = True
 KIND = np.full(256, 3)
 KIND[97:123], KIND[65:91], KIND[48:58] = 0, 1, 2
 
 
+def assigned_values(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the values assigned to names for credentials, none across documents."""
+    text, found = data.tobytes(), []
+    for first, last in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+        for match in ASSIGNED.finditer(text, first, last):
+            start, end = match.span(match.lastindex)
+            if match.lastindex == 3:
+                end = start + len(match[3].rstrip(AFTER_VALUE).rstrip(b"\"'").rstrip(AFTER_VALUE) or match[3])
+            found.append((start, end))
+    starts, ends = np.array(found, np.int64).reshape(-1, 2).T
+    return starts, ends
+
+
 def block_candidates(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and documents of all candidates of a block."""
     starts, ends = spans.words(data, offsets, OUTSIDE)
@@ -52,8 +72,16 @@ def block_candidates(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
     starts, ends = starts[long_], ends[long_]
     digits = np.concatenate([[0], np.cumsum(DIGIT[data])])
     lower = np.concatenate([[0], np.cumsum(LOWER[data])])
-    chosen = (digits[ends] > digits[starts]) | (lower[ends] == lower[starts])
+    upper = np.concatenate([[0], np.cumsum(UPPER[data])])
+    chosen = (digits[ends] > digits[starts]) | (lower[ends] == lower[starts]) | (upper[ends] > upper[starts])
     starts, ends = starts[chosen], ends[chosen]
+    values, stops = assigned_values(data, offsets)
+    if len(values):
+        within = np.searchsorted(values, starts, "right") - 1
+        apart = (within < 0) | (starts >= stops[np.maximum(within, 0)])
+        starts, ends = np.concatenate([starts[apart], values]), np.concatenate([ends[apart], stops])
+        order = np.argsort(starts, kind="stable")
+        starts, ends = starts[order], ends[order]
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
@@ -82,7 +110,7 @@ def features(candidate: bytes, before: bytes, after: bytes, path: str | None, wo
     shares = np.bincount(kinds, minlength=4) / len(kinds)
     letters = np.bincount(np.frombuffer(candidate, np.uint8))
     letters = letters[letters > 0] / len(candidate)
-    row = [float(len(candidate)), float(-(letters * np.log2(letters)).sum()), coverage(candidate.decode(), words)]
+    row = [float(len(candidate)), float(-(letters * np.log2(letters)).sum()), coverage(candidate.decode("utf-8", "replace"), words)]
     row += steps.tolist() + shares.tolist()
     places = [0.0] * PATH_PLACES
     for part in re.findall(r"\w+", (path or "").lower()):
@@ -195,7 +223,7 @@ def candidates(
                     before = data[max(offsets[d], a - AROUND) : a].tobytes()
                     after = data[b : min(offsets[d + 1], b + AROUND)].tobytes()
                     value = data[a:b].tobytes()
-                    values.append(value.decode())
+                    values.append(value.decode("utf-8", "replace"))
                     befores.append(before.decode("utf-8", "ignore"))
                     found.append(features(value, before, after, paths[row + d].as_py(), words.value))
                 columns = [batch.column(0).take(pa.array(doc + row)), pa.array(starts - offsets[doc]), pa.array(ends - starts)]
