@@ -35,6 +35,7 @@ LEAST_LENGTH = 12
 ASSIGNED = re.compile(
     rb"""(?i:password|passwd|secret|token|api[_-]?key)\s*[=:]\s*(?:"((?:[^"\\\r\n]|\\.)+)"|'((?:[^'\\\r\n]|\\.)+)'|["']?([^\s"']\S*))"""
 )
+NAMES = (b"passw", b"secret", b"token", b"api")
 AFTER_VALUE = b",.;)]}"
 MAX_FINDINGS = 20_000
 AROUND = 80
@@ -56,6 +57,9 @@ def assigned_values(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
     """Starts and ends of the values assigned to names for credentials, none across documents."""
     text, found = data.tobytes(), []
     for first, last in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+        low = text[first:last].lower()
+        if not any(name in low for name in NAMES):
+            continue
         for match in ASSIGNED.finditer(text, first, last):
             start, end = match.span(match.lastindex)
             if match.lastindex == 3:
