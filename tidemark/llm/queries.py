@@ -9,7 +9,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact, mixing, order_minhash, packing, repeats, secrets, sharding, simhash, toxicity, warc
+from tidemark.llm import (
+    alignment,
+    embedding_cells,
+    exact,
+    mixing,
+    order_minhash,
+    packing,
+    repeats,
+    secrets,
+    sharding,
+    simhash,
+    spelling,
+    toxicity,
+    warc,
+)
 from tidemark.llm.tables import table, written
 
 
@@ -104,6 +118,19 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return alignment.alignments(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_cells.near_duplicates(table(spark, folder, "embeddings"))
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(table(spark, folder, "documents"), edit=spelling.erased))
+
+
 QUERIES = {
     "op1_source_mix": op1_source_mix,
     "op2_secret_scan": op2_secret_scan,
@@ -115,6 +142,9 @@ QUERIES = {
     "op8_kd_shards": op8_kd_shards,
     "op9_order_minhash": op9_order_minhash,
     "op10_toxicity": op10_toxicity,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_embedding_near_dedup": op12_embedding_near_dedup,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE = {
