@@ -2,6 +2,7 @@ import hashlib
 from collections import Counter
 from itertools import accumulate, pairwise
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -139,7 +140,15 @@ def test_units_give_the_tokens_of_the_whole_text(text):
 ENCODER = alignment.PairEncoder(open(A).read(), open(B, "rb").read())
 
 
-@given(st.sets(st.integers(1, 60)), st.sets(st.integers(1, 60)))
-def test_groups_end_at_all_shared_cuts(a, b):
-    a, b = sorted(a | {61}), sorted(b | {61})
-    assert [(a[i - 1], b[j - 1]) for i, j in alignment.align(a, b)] == [(cut, cut) for cut in sorted(set(a) & set(b))]
+@given(st.lists(st.tuples(st.sets(st.integers(1, 60)), st.sets(st.integers(1, 60))), min_size=1, max_size=5))
+def test_groups_end_at_all_shared_cuts(texts):
+    a, b, a_stops, b_stops, shared = [], [], [], [], []
+    for i, (one, other) in enumerate(texts):
+        one, other = one | {61}, other | {61}
+        a += [61 * i + x for x in sorted(one)]
+        b += [61 * i + x for x in sorted(other)]
+        a_stops.append(len(a))
+        b_stops.append(len(b))
+        shared += [61 * i + x for x in sorted(one & other)]
+    passed = alignment.align(np.array(a), np.array(b), np.array(a_stops), np.array(b_stops))
+    assert [(a[i - 1], b[j - 1]) for i, j in zip(*passed, strict=True)] == [(cut, cut) for cut in shared]

@@ -1,6 +1,6 @@
 """Cross-tokenizer alignment: groups of tokens of two vocabularies between shared cuts, and how usual each link is.
 
-Both vocabularies encode the same bytes; an offset where a token of either ends is a cut. ``align`` divides and conquers: in an interval it looks for the
+Both vocabularies encode the same bytes; an offset where a token of both ends is a shared cut. ``align`` divides and conquers: in an interval it looks for the
 common end nearest to the middle token, by bisect in the other vocabulary's ends, and goes on with both halves; an interval without a cut inside is
 a leaf, a group. Tokens of a group whose byte ranges overlap are linked.
 
@@ -22,10 +22,9 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -41,9 +40,11 @@ from tokenizers import Tokenizer
 from tidemark.llm.tables import written
 
 UNITS = re.compile(r"\s*\S+(?:[^\S \n\t]\s*\S*)*|\s+")
-BLOCK_CHARACTERS = 12_000_000
-CACHED_UNITS = 150_000
+BLOCK_CHARACTERS = 3_000_000
+CACHED_UNITS = 100_000
 CACHED_CHARACTERS = 48
+SIGNS = b",|;\n"
+COMMA, BAR, SEMICOLON, END = range(4)
 
 _BLOCK = (
     "block bigint, doc_id array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, sha256 array<string>,"
@@ -54,40 +55,42 @@ _RESULT = (
 )
 
 
-def align(a_ends: list[int], b_ends: list[int]) -> list[tuple[int, int]]:
-    """The groups as ``(tokens of a, tokens of b)`` passed at their end, from the ends of tokens, of which the last are equal."""
-    groups = []
-    open_ = [(0, len(a_ends), 0, len(b_ends))]
-    while open_:
-        a_from, a_to, b_from, b_to = open_.pop()
-        last = a_to - 1
-        middle = (a_from + last) // 2
-        for step in range(last - a_from + 1):
-            at = middle + (step + 1) // 2 if step % 2 else middle - step // 2
-            if not a_from <= at < last:
-                continue
-            place = bisect_left(b_ends, a_ends[at], b_from, b_to)
-            if place < b_to and b_ends[place] == a_ends[at]:
-                open_.append((at + 1, a_to, place + 1, b_to))
-                open_.append((a_from, at + 1, b_from, place + 1))
-                break
-        else:
-            groups.append((a_to, b_to))
-    return groups
-
-
-def overlaps(a_ends: list[int], b_ends: list[int]) -> list[tuple[int, int]]:
-    """All pairs of tokens whose byte ranges overlap, in order; empty tokens are in none."""
-    pairs, a, b, a_from, b_from = [], 0, 0, 0, 0
-    while a < len(a_ends) and b < len(b_ends):
-        if max(a_from, b_from) < min(a_ends[a], b_ends[b]):
-            pairs.append((a, b))
-        a_end, b_end = a_ends[a], b_ends[b]
-        if a_end <= b_end:
-            a, a_from = a + 1, a_end
-        if b_end <= a_end:
-            b, b_from = b + 1, b_end
-    return pairs
+def align(a_ends: np.ndarray, b_ends: np.ndarray, a_stops: np.ndarray, b_stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many tokens of a and of b are passed at the end of every group, for many texts at once.
+
+    The texts stand in a row: ends are offsets in all of them, ``a_stops`` and ``b_stops`` tell the tokens passed at the end of each. All open
+    intervals are halved together, and each looks on both sides of its middle, a token farther in every step.
+    """
+    a_from, a_to = np.concatenate([[0], a_stops[:-1]]), a_stops
+    b_from, b_to = np.concatenate([[0], b_stops[:-1]]), b_stops
+    closed = []
+    while len(a_to):
+        cut_a, cut_b = np.full(len(a_to), -1), np.full(len(a_to), -1)
+        looking = np.flatnonzero((a_to - a_from > 1) & (b_to - b_from > 1))
+        step = 0
+        while len(looking):
+            first, last = a_from[looking], a_to[looking] - 1
+            at = (first + last) // 2 + ((step + 1) // 2 if step % 2 else -(step // 2))
+            inside = (at >= first) & (at < last)
+            end = a_ends[np.where(inside, at, first)]
+            place = np.searchsorted(b_ends, end)
+            hit = inside & (b_ends[place] == end)
+            cut_a[looking[hit]], cut_b[looking[hit]] = at[hit] + 1, place[hit] + 1
+            looking = looking[~hit & (last - first > step)]
+            step += 1
+        leaf = cut_a < 0
+        closed.append(np.stack([a_to[leaf], b_to[leaf]]))
+        halves = ~leaf
+        a_from, a_to = np.concatenate([a_from[halves], cut_a[halves]]), np.concatenate([cut_a[halves], a_to[halves]])
+        b_from, b_to = np.concatenate([b_from[halves], cut_b[halves]]), np.concatenate([cut_b[halves], b_to[halves]])
+    a_groups, b_groups = np.sort(np.concatenate(closed, axis=1) if closed else np.zeros((2, 0), np.int64), axis=1)
+    return a_groups, b_groups
+
+
+def links(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All pairs of tokens whose byte ranges overlap, in order, and where each overlap ends: every piece between two ends is one."""
+    ends = np.union1d(a_ends, b_ends)
+    return np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends), ends
 
 
 @lru_cache(1)
@@ -127,6 +130,9 @@ class PairEncoder:
         self.a_bytes, self.b_bytes = byte_tokens(self.a), piece_tokens(self.b)
         self.blank = self.b.piece_to_id("▁")
         self.crossing = any(re.search(rb"[^ ] |[\n\t]", one) for i, one in enumerate(self.b_bytes) if not self.b.is_byte(i))
+        self.a_sizes = np.array([len(self.a_bytes.get(i, b"")) for i in range(max(self.a_bytes) + 1)])
+        self.b_sizes = np.array([len(one) for one in self.b_bytes])
+        self.shown = [b"%d%c" % (i, sign) for size in (len(self.a_sizes), len(self.b_sizes)) for i in range(size) for sign in SIGNS]
         self.recent: dict[str, Unit] = {}
         self.former: dict[str, Unit] = {}
 
@@ -143,23 +149,48 @@ class PairEncoder:
                 encoded[i] = encoded[i][1:] if encoded[i][:1] == [self.blank] else None
         return encoded
 
-    def _unit(self, text: str, a: list[int], b: list[int] | None) -> Unit:
-        if b is None:
-            return NO_UNIT
-        a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        raw = text.encode()
-        if b"".join(a_parts) != raw or b"".join(b_parts) != raw:
-            return NO_UNIT
-        if len(a) == len(b) == 1:
-            return Unit((True, 1, 1, 1, b"%d|%d" % (a[0], b[0]), ((a[0] << 32) | b[0]).to_bytes(8, "little")))
-        a_ends, b_ends = list(accumulate(map(len, a_parts))), list(accumulate(map(len, b_parts)))
-        shown, a_from, b_from = [], 0, 0
-        groups = align(a_ends, b_ends)
-        for a_to, b_to in groups:
-            shown.append(",".join(map(str, a[a_from:a_to])) + "|" + ",".join(map(str, b[b_from:b_to])))
-            a_from, b_from = a_to, b_to
-        pairs = np.array([(a[i] << 32) | b[j] for i, j in overlaps(a_ends, b_ends)], np.int64)
-        return Unit((True, len(a), len(b), len(groups), ";".join(shown).encode(), pairs.tobytes()))
+    def _encode(self, units: list[str]) -> list[Unit]:
+        a_ids = [one.ids for one in self.a.encode_batch_fast(units, add_special_tokens=False)]
+        b_ids = self._b_ids(units)
+        a_bytes, b_bytes = self.a_bytes.__getitem__, self.b_bytes.__getitem__
+        raw = [unit.encode() for unit in units]
+        good = [
+            b is not None and b"".join(map(a_bytes, a)) == text and b"".join(map(b_bytes, b)) == text
+            for text, a, b in zip(raw, a_ids, b_ids, strict=True)
+        ]
+        aligned = iter(self._aligned([a for a, g in zip(a_ids, good, strict=True) if g], [b for b, g in zip(b_ids, good, strict=True) if g]))
+        return [next(aligned) if one else NO_UNIT for one in good]
+
+    def _aligned(self, a_ids: list[list[int]], b_ids: list[list[int]]) -> list[Unit]:
+        """Units of valid ids, aligned in a row."""
+        if not a_ids:
+            return []
+        n_a, n_b = np.array(list(map(len, a_ids))), np.array(list(map(len, b_ids)))
+        a, b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (a_ids, b_ids))
+        a_stops, b_stops = np.cumsum(n_a), np.cumsum(n_b)
+        a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        a_groups, b_groups = align(a_ends, b_ends, a_stops, b_stops)
+        group_stops = np.searchsorted(a_groups, a_stops, "right")
+        # A group's ids of a stand before its ids of b; the sign after an id tells what follows.
+        a_at, b_at = np.arange(len(a)), np.arange(len(b))
+        a_group, b_group = np.searchsorted(a_groups, a_at, "right"), np.searchsorted(b_groups, b_at, "right")
+        last_of_unit = np.zeros(len(a_groups), bool)
+        last_of_unit[group_stops - 1] = True
+        a_sign = np.where(a_at + 1 == a_groups[a_group], BAR, COMMA)
+        b_sign = np.where(b_at + 1 == b_groups[b_group], np.where(last_of_unit, END, SEMICOLON)[b_group], COMMA)
+        shown = np.empty(len(a) + len(b), np.int64)
+        shown[a_at + np.concatenate([[0], b_groups])[a_group]] = a * len(SIGNS) + a_sign
+        shown[b_at + a_groups[b_group]] = (b + len(self.a_sizes)) * len(SIGNS) + b_sign
+        texts = b"".join(map(self.shown.__getitem__, shown.tolist())).split(b"\n")
+        a_of, b_of, ends = links(a_ends, b_ends)
+        pairs = ((a[a_of] << 32) | b[b_of]).tobytes()
+        link_stops = 8 * np.searchsorted(ends, a_ends[a_stops - 1], "right")
+        n_groups = np.diff(group_stops, prepend=0)
+        cuts = [0, *link_stops.tolist()]
+        return [
+            Unit((True, *counts, text, pairs[low:high]))
+            for *counts, text, low, high in zip(n_a.tolist(), n_b.tolist(), n_groups.tolist(), texts[:-1], cuts, cuts[1:], strict=False)
+        ]
 
     def known(self, units: list[str]) -> list[Unit]:
         """What is known of the units; the others are encoded."""
@@ -168,10 +199,8 @@ class PairEncoder:
         missing = [i for i, one in enumerate(found) if one is None]
         for first in range(0, len(missing), 4096):
             places = missing[first : first + 4096]
-            new = [units[i] for i in places]
-            a_ids = [one.ids for one in self.a.encode_batch_fast(new, add_special_tokens=False)]
-            for i, text, a, b in zip(places, new, a_ids, self._b_ids(new), strict=True):
-                found[i] = self._unit(text, a, b)
+            for i, unit in zip(places, self._encode([units[i] for i in places]), strict=True):
+                found[i] = unit
         for unit, one in zip(units, found, strict=True):
             if len(unit) <= CACHED_CHARACTERS:
                 recent[unit] = one

@@ -27,7 +27,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
@@ -141,7 +141,7 @@ def _assign(rows: pa.Table, fitted: pa.Table, limit: float) -> pa.Table:
 
 
 def cells(vectors: DataFrame, limit: float = LIMIT, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """The vectors in their last cells, at home in one and as visitors in others, with ``rows``, the number of rows of the cell."""
+    """The vectors in their last cells, at home in one and as visitors in others, with the numbers of ``rows`` and ``homes`` of the cell."""
     root = F.concat_ws("|", F.col("label").cast("string"), F.size("unit").cast("string"))
     current = vectors.select(root.alias("cell"), F.lit((1 << 62)).alias("above"), "node", "n", "unit", F.lit(True).alias("home"))
     finished = []
@@ -149,7 +149,7 @@ def cells(vectors: DataFrame, limit: float = LIMIT, cell_rows: int = CELL_ROWS)
         sizes = current.groupBy("cell").agg(F.count(F.lit(1)).alias("rows"), F.count_if("home").alias("homes"))
         sized = current.join(sizes.filter("homes > 0"), "cell")  # in others nothing is compared
         is_open = (F.col("homes") > cell_rows) & (F.col("homes") <= STUCK * F.col("above"))
-        finished.append(sized.filter(~is_open).drop("homes"))
+        finished.append(sized.filter(~is_open))
         chunks = F.ceil(F.col("rows") / CHUNK_ROWS)
         to_split = sized.filter(is_open).withColumns({"chunks": chunks, "chunk": F.pmod(F.xxhash64("node"), chunks)})
         # A hash lets through about as many home vectors as wanted: all of a cell that has no more, and never none.
@@ -176,9 +176,9 @@ def _comparer(limit: float) -> Callable:
 
     def compare(key: tuple, rows: pa.Table) -> pa.Table:
         _, a, b = (one.as_py() for one in key)
-        unit, own = _matrix(rows["unit"]), rows["own"].to_numpy()
+        unit = _matrix(rows["unit"])
         node, weight = rows["node"].to_numpy(), rows["n"].to_numpy()
-        left, right = np.flatnonzero((own == a) & np.asarray(rows["home"])), np.flatnonzero(own == b)
+        left, right = (np.flatnonzero(pc.equal(rows[name], one).fill_null(False)) for name, one in (("own_a", a), ("own_b", b)))
         linked = unit[left] @ unit[right].T >= limit
         links = np.zeros(len(node), np.int64)
         links[left] = linked @ weight[right]
@@ -192,15 +192,19 @@ def _comparer(limit: float) -> Callable:
 
 def compared(placed: DataFrame, limit: float = LIMIT, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``node``, ``links`` and ``root`` of every block of every cell; written."""
-    blocks = F.ceil(F.col("rows") / block_rows)
-    own = F.pmod(F.xxhash64("node", F.lit(2)), F.col("blocks"))
-    others = F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)
-    ways = F.array_union(
-        F.transform(others, lambda other: F.struct(F.col("own").alias("a"), other.alias("b"))),
-        F.transform(others, lambda other: F.struct(other.alias("a"), F.col("own").alias("b"))),
-    )
-    dealt = placed.withColumn("blocks", blocks).withColumn("own", own).withColumn("way", F.explode(ways))
-    dealt = dealt.select("cell", "way.a", "way.b", "own", "node", "n", "unit", "home")
+    def numbers(count: str) -> Column:
+        return F.sequence(F.lit(0).cast("bigint"), F.col(count) - 1)
+
+    # Home vectors are in one block of those compared; each block of those is compared with every block of the cell.
+    homes, blocks = F.ceil(F.col("homes") / block_rows), F.ceil(F.col("rows") / block_rows)
+    number = F.xxhash64("node", F.lit(2))
+    placed = placed.withColumns({"n_a": homes, "n_b": blocks})
+    placed = placed.withColumns({"own_a": F.when(F.col("home"), F.pmod(number, F.col("n_a"))), "own_b": F.pmod(number, F.col("n_b"))})
+    as_other = F.transform(numbers("n_a"), lambda one: F.struct(one.alias("a"), F.col("own_b").alias("b")))
+    as_home = F.transform(numbers("n_b"), lambda one: F.struct(F.col("own_a").alias("a"), one.alias("b")))
+    ways = F.when(F.col("home"), F.array_union(as_home, as_other)).otherwise(as_other)
+    dealt = placed.withColumn("way", F.explode(ways))
+    dealt = dealt.select("cell", "way.a", "way.b", "own_a", "own_b", "node", "n", "unit")
     found = dealt.groupBy("cell", "a", "b").applyInArrow(_comparer(limit), "node bigint, links bigint, root bigint")
     return written(found, "compared")
 
