@@ -111,3 +111,10 @@ def test_whole_values_and_mixed_case_are_candidates(spark, text, values):
     assert [r.value for r in rows] == values
     for row in rows:
         assert text.encode()[row.start : row.start + row.length].decode() == row.value
+
+
+def test_coverage_looks_for_the_longest_words_first():
+    words = frozenset(["pass", "password", "word", "book"])
+    assert secrets.longest_word(words) == 8
+    assert secrets.coverage("PasswordBook7", words) == pytest.approx(12 / 13)
+    assert secrets.coverage("", words) == secrets.coverage("abc", frozenset()) == 0

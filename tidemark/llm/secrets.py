@@ -21,6 +21,7 @@ import re
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -89,10 +90,15 @@ def block_candidates(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
+@lru_cache(4)
+def longest_word(words: frozenset[str]) -> int:
+    return max(map(len, words), default=0)
+
+
 def coverage(text: str, words: frozenset[str]) -> float:
     """Share of the characters that dictionary words cover, longest words first from the left."""
     low, at, covered = text.lower(), 0, 0
-    longest = max(map(len, words), default=0)
+    longest = longest_word(words)
     while at < len(low):
         for size in range(min(longest, len(low) - at), LEAST_WORD - 1, -1):
             if low[at : at + size] in words:
