@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests.compare import difference, duck
 from tests.llm import plain
+from tests.llm.test_near_copies import groups
 from tests.llm.test_packing import TOKENIZER, check_layout
 from tests.llm.test_toxicity import plain_score
 from tidemark.llm import mixing, queries, toxicity
@@ -66,7 +67,7 @@ def test_pipeline(spark, texts):
     clean = {i: t for i, t in texts.items() if plain_score(model, t) < model.thresholds.get(langs[i], model.common)}
     last = {plain.folded(t): i for i, t in sorted(clean.items())}
     single = {i: clean[i] for i in last.values()}
-    least = plain.least_linked([plain.simhash(t) for t in single.values()], list(single))
+    least = groups(list(single.items()))
     apart = {i: single[i] for i in set(least)}
     sources = {r.doc_id: r.source for r in docs.collect()}
     sizes: dict = {}
