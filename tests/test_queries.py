@@ -1,5 +1,8 @@
 """Every registered query against its SQL."""
 
+import importlib
+import sys
+
 import pytest
 
 import __spark_entry__ as registry
@@ -30,3 +33,15 @@ def test_query(spark, connection, name):
 
 def test_entry(spark):
     assert registry.entry(spark).columns == ["channel", "sequence", "trade_date", "price"]
+
+
+def test_core_queries_without_the_corpus_ones(monkeypatch):
+    for name in [n for n in sys.modules if n == "corpus_pipeline" or n.startswith("tidemark.llm.")]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "tidemark.llm", None)  # importing it raises ImportError
+    try:
+        assert importlib.reload(registry).queries().keys() == QUERIES.keys()
+        assert registry.oracle_sql().keys() == SQL.keys()
+    finally:
+        monkeypatch.undo()
+        importlib.reload(registry)
