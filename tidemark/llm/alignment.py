@@ -5,8 +5,8 @@ common end nearest to the middle token, by bisect in the other vocabulary's ends
 a leaf, a group. Tokens of a group whose byte ranges overlap are linked.
 
 Neither vocabulary joins across a border between other characters and white space that begins with a blank, tab or line feed, so such
-borders are cuts known beforehand: texts are encoded and aligned by the units between them, each distinct unit of a block once, and units
-of up to ``CACHED_CHARACTERS`` are kept by every worker, the less used ones let go. If the pieces of a vocabulary do cross such borders (``crossing``),
+borders are cuts known beforehand: texts are encoded and aligned by the units between them, each distinct unit of a block once, many units in a row. Units
+of up to ``CACHED_CHARACTERS`` that occur again are kept by every task, the less used ones let go. If the pieces of a vocabulary do cross such borders (``crossing``),
 whole texts are the units.
 
 Documents form blocks of about ``BLOCK_CHARACTERS``, one row each: what is said per document, the block's distinct id pairs with the number of documents
@@ -40,8 +40,9 @@ from tokenizers import Tokenizer
 from tidemark.llm.tables import written
 
 UNITS = re.compile(r"\s*\S+(?:[^\S \n\t]\s*\S*)*|\s+")
-BLOCK_CHARACTERS = 3_000_000
-CACHED_UNITS = 100_000
+BLOCK_CHARACTERS = 4_000_000
+BATCH_UNITS = 4096
+CACHED_UNITS = 150_000
 CACHED_CHARACTERS = 48
 SIGNS = b",|;\n"
 COMMA, BAR, SEMICOLON, END = range(4)
@@ -139,36 +140,31 @@ class PairEncoder:
     def units(self, text: str) -> list[str]:
         return [" " + text] if self.crossing else UNITS.findall(" " + text)
 
-    def _b_ids(self, units: list[str]) -> list[list[int]]:
-        """The vocabulary puts a blank before what it encodes: a unit's own first blank, or else one that is taken off again."""
-        encoded = self.b.encode([unit.removeprefix(" ") for unit in units], num_threads=1)
-        for i, unit in enumerate(units):
-            if unit == " ":
-                encoded[i] = [self.blank]
-            elif unit[0] != " ":
-                encoded[i] = encoded[i][1:] if encoded[i][:1] == [self.blank] else None
-        return encoded
-
-    def _encode(self, units: list[str]) -> list[Unit]:
-        a_ids = [one.ids for one in self.a.encode_batch_fast(units, add_special_tokens=False)]
-        b_ids = self._b_ids(units)
-        a_bytes, b_bytes = self.a_bytes.__getitem__, self.b_bytes.__getitem__
-        raw = [unit.encode() for unit in units]
-        good = [
-            b is not None and b"".join(map(a_bytes, a)) == text and b"".join(map(b_bytes, b)) == text
-            for text, a, b in zip(raw, a_ids, b_ids, strict=True)
-        ]
-        aligned = iter(self._aligned([a for a, g in zip(a_ids, good, strict=True) if g], [b for b, g in zip(b_ids, good, strict=True) if g]))
-        return [next(aligned) if one else NO_UNIT for one in good]
-
-    def _aligned(self, a_ids: list[list[int]], b_ids: list[list[int]]) -> list[Unit]:
-        """Units of valid ids, aligned in a row."""
-        if not a_ids:
-            return []
-        n_a, n_b = np.array(list(map(len, a_ids))), np.array(list(map(len, b_ids)))
-        a, b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (a_ids, b_ids))
-        a_stops, b_stops = np.cumsum(n_a), np.cumsum(n_b)
+    def _b_ids(self, text: str) -> list[int] | None:
+        """The vocabulary puts a blank before what it encodes: the text's own first blank, or else one that is taken off again."""
+        if text == " ":
+            return [self.blank]
+        ids = self.b.encode(text.removeprefix(" "))
+        if text[0] == " ":
+            return ids
+        return ids[1:] if ids[:1] == [self.blank] else None
+
+    def encode(self, units: list[str]) -> list[Unit]:
+        """Units in a row, each ending in no white space or alone; those that don't give their bytes back are found by halving."""
+        text = "".join(units)
+        raw = text.encode()
+        a, b = self.a.encode(text, add_special_tokens=False).ids, self._b_ids(text)
+        if b is not None and b"".join(map(self.a_bytes.__getitem__, a)) == raw == b"".join(map(self.b_bytes.__getitem__, b)):
+            ends = np.cumsum([len(unit.encode()) for unit in units])
+            return self._aligned(np.array(a, np.int64), np.array(b, np.int64), ends)
+        if len(units) == 1:
+            return [NO_UNIT]
+        half = len(units) // 2
+        return self.encode(units[:half]) + self.encode(units[half:])
+
+    def _aligned(self, a: np.ndarray, b: np.ndarray, unit_ends: np.ndarray) -> list[Unit]:
         a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        a_stops, b_stops = np.searchsorted(a_ends, unit_ends) + 1, np.searchsorted(b_ends, unit_ends) + 1
         a_groups, b_groups = align(a_ends, b_ends, a_stops, b_stops)
         group_stops = np.searchsorted(a_groups, a_stops, "right")
         # A group's ids of a stand before its ids of b; the sign after an id tells what follows.
@@ -184,25 +180,28 @@ class PairEncoder:
         texts = b"".join(map(self.shown.__getitem__, shown.tolist())).split(b"\n")
         a_of, b_of, ends = links(a_ends, b_ends)
         pairs = ((a[a_of] << 32) | b[b_of]).tobytes()
-        link_stops = 8 * np.searchsorted(ends, a_ends[a_stops - 1], "right")
-        n_groups = np.diff(group_stops, prepend=0)
-        cuts = [0, *link_stops.tolist()]
+        cuts = [0, *(8 * np.searchsorted(ends, unit_ends, "right")).tolist()]
+        counts = (np.diff(stops, prepend=0).tolist() for stops in (a_stops, b_stops, group_stops))
         return [
-            Unit((True, *counts, text, pairs[low:high]))
-            for *counts, text, low, high in zip(n_a.tolist(), n_b.tolist(), n_groups.tolist(), texts[:-1], cuts, cuts[1:], strict=False)
+            Unit((True, *counted, text, pairs[low:high]))
+            for *counted, text, low, high in zip(*counts, texts[:-1], cuts[:-1], cuts[1:], strict=True)
         ]
 
-    def known(self, units: list[str]) -> list[Unit]:
-        """What is known of the units; the others are encoded."""
+    def known(self, units: list[str], times: np.ndarray) -> list[Unit]:
+        """What is known of the units, which occur so many times in their block; the others are encoded, and kept if they occur again."""
         recent, former = self.recent, self.former
         found = [recent.get(unit) or former.get(unit) for unit in units]
         missing = [i for i, one in enumerate(found) if one is None]
-        for first in range(0, len(missing), 4096):
-            places = missing[first : first + 4096]
-            for i, unit in zip(places, self._encode([units[i] for i in places]), strict=True):
+        keep = times > 1
+        keep[[i for i, one in enumerate(found) if one is not None]] = True
+        alone = [i for i in missing if units[i][-1].isspace()]
+        joined = [i for i in missing if not units[i][-1].isspace()]
+        batches = [[i] for i in alone] + [joined[first : first + BATCH_UNITS] for first in range(0, len(joined), BATCH_UNITS)]
+        for batch in batches:
+            for i, unit in zip(batch, self.encode([units[i] for i in batch]), strict=True):
                 found[i] = unit
-        for unit, one in zip(units, found, strict=True):
-            if len(unit) <= CACHED_CHARACTERS:
+        for unit, one, again in zip(units, found, keep.tolist(), strict=True):
+            if again and len(unit) <= CACHED_CHARACTERS:
                 recent[unit] = one
         if len(recent) > CACHED_UNITS:
             self.recent, self.former = {}, recent
@@ -213,19 +212,23 @@ def block_row(encoder: PairEncoder, number: int, ids: list, texts: list[str | No
     """The row of a block of documents."""
     numbers: dict[str, int] = {}
     parts = [[numbers.setdefault(unit, len(numbers)) for unit in encoder.units(text)] if text else [] for text in texts]
-    units = encoder.known(list(numbers))
-    valid = [all(units[i][0] for i in set(part)) for part in parts]
-    parts = [part if good else [] for part, good in zip(parts, valid, strict=True)]
+    stops = np.cumsum([len(part) for part in parts], dtype=np.int64)
+    flat = np.fromiter(chain.from_iterable(parts), np.int64, int(stops[-1]))
+    units = encoder.known(list(numbers), np.bincount(flat, minlength=len(numbers)))
+    of_document = np.repeat(np.arange(len(parts)), np.diff(stops, prepend=0))
+    bad = np.array([not unit[0] for unit in units], bool)
+    for i in set(of_document[bad[flat]].tolist()):
+        parts[i] = []
+    lengths = np.array([len(part) for part in parts], np.int64)
+    kept = lengths[of_document] > 0
+    flat, of_document, stops = flat[kept], of_document[kept], np.cumsum(lengths)
     shown = [unit[4] for unit in units]
     sha256 = [hashlib.sha256(b";".join([shown[i] for i in part])).hexdigest() if part else "" for part in parts]
-    stops = np.cumsum([len(part) for part in parts], dtype=np.int64)
-    flat = np.fromiter((i for part in parts for i in part), np.int64, int(stops[-1]))
     sums = {}
     for name, field in (("n_a", 1), ("n_b", 2), ("n_groups", 3)):
         passed = np.concatenate([[0], np.cumsum(np.array([unit[field] for unit in units] or [0], np.int64)[flat])])
         sums[name] = passed[stops] - passed[np.concatenate([[0], stops[:-1]])]
     # Each document's distinct units with their number, and then its distinct pairs with theirs.
-    of_document = np.repeat(np.arange(len(parts)), np.diff(stops, prepend=0))
     keys, times = np.unique(of_document * max(1, len(units)) + flat, return_counts=True)
     document, unit = np.divmod(keys, max(1, len(units)))
     all_pairs = np.frombuffer(b"".join(one[5] for one in units), np.int64)
