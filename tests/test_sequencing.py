@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.model import ORDERS, replay
 from tidemark.operators import sequencing
+from tidemark.operators.ranges import RANGE
 from tidemark.sources.messages import sequenced
 from tidemark.streaming.replay import run_to_table
 from tidemark.streaming.sequencer import sequence_channels
@@ -46,10 +47,10 @@ def test_equal_arrivals_have_one_base(spark):
     assert sorted(r["class"] for r in sequencing.classify(made).collect()) == ["base", "duplicate", "in_order", "late", "late"]
 
 
-# 20 bits keep a channel in one block; 1 and 2 bits cut it into many.
-@pytest.mark.parametrize("bits", [20, 2, 1])
-def test_classes(messages, bits):
-    rows = sequencing.classify(messages, bits).select("channel", "arrival.position", "class").collect()
+# One range holds all channels; with many a channel lies in several.
+@pytest.mark.parametrize("parts", [1, 7, 200])
+def test_classes(messages, parts):
+    rows = sequencing.classify(messages, parts).select("channel", "arrival.position", "class").collect()
     found = {(row[0], row[1]): row[2] for row in rows}
     expected = {
         (channel, position): kind
@@ -59,12 +60,12 @@ def test_classes(messages, bits):
     assert found == expected
 
 
-@pytest.mark.parametrize("bits", [20, 2, 1])
-def test_books_and_emissions(messages, bits):
-    books = {row["channel"]: (row["sequence"], row["price"]) for row in sequencing.books(messages, bits=bits).collect()}
+@pytest.mark.parametrize("parts", [1, 7, 200])
+def test_books_and_emissions(messages, parts):
+    books = {row["channel"]: (row["sequence"], row["price"]) for row in sequencing.books(messages, parts=parts).collect()}
     emitted = sorted(
         (row["channel"], row["released_at"].timestamp(), row["sequence"], row["price"], row["released"])
-        for row in sequencing.emissions(messages, bits=bits).collect()
+        for row in sequencing.emissions(messages, parts=parts).collect()
     )
     expected_books, expected_emitted = {}, []
     for channel, order in enumerate(CASES):
@@ -75,12 +76,12 @@ def test_books_and_emissions(messages, bits):
     assert emitted == sorted(expected_emitted)
 
 
-@pytest.mark.parametrize("bits", [20, 2])
-def test_in_order_pending_and_gaps(messages, bits):
-    in_order = {tuple(r) for r in sequencing.in_order(messages, bits).select("channel", "sequence").collect()}
-    pending = {tuple(r) for r in sequencing.pending(messages, bits).select("channel", "sequence").collect()}
-    gaps = {tuple(r) for r in sequencing.gaps(messages, bits).collect()}
-    ranges = {tuple(r) for r in sequencing.backfill_ranges(messages, bits).collect()}
+@pytest.mark.parametrize("parts", [1, 200])
+def test_in_order_pending_and_gaps(messages, parts):
+    in_order = {tuple(r) for r in sequencing.in_order(messages, parts).select("channel", "sequence").collect()}
+    pending = {tuple(r) for r in sequencing.pending(messages, parts).select("channel", "sequence").collect()}
+    gaps = {tuple(r) for r in sequencing.gaps(messages, parts).collect()}
+    ranges = {tuple(r) for r in sequencing.backfill_ranges(messages, parts).collect()}
     want_order, want_pending, want_gaps, want_ranges = set(), set(), set(), set()
     for channel, order in enumerate(CASES):
         _, _, drained, final = replay(order)
@@ -95,10 +96,10 @@ def test_in_order_pending_and_gaps(messages, bits):
     assert (in_order, pending, gaps, ranges) == (want_order, want_pending, want_gaps, want_ranges)
 
 
-@pytest.mark.parametrize("bits", [20, 1])
-def test_ticks(messages, bits):
+@pytest.mark.parametrize("parts", [1, 200])
+def test_ticks(messages, parts):
     seconds = 3
-    found = {(r["channel"], r["tick"]): r.asDict() for r in sequencing.ticks(messages, seconds, bits).collect()}
+    found = {(r["channel"], r["tick"]): r.asDict() for r in sequencing.ticks(messages, seconds, parts).collect()}
     for channel, order in enumerate(CASES):
         tick = lambda position: position // seconds + 1
         _, _, drained, _ = replay(order)
@@ -140,6 +141,31 @@ def test_idle_ticks_fill_the_time_between_reports(messages):
                 assert (tick in idle.get(channel, set())) == (left > 0)
 
 
+def test_a_sparse_hot_channel_is_spread_evenly(spark):
+    """Sequences 2**20 apart, one in a hundred followed by its successor: no range has much more than its share of the rows."""
+    parts, rows = 16, 200_000
+    sequence = F.col("id") * (1 << 20) + F.when(F.col("id") % 100 == 1, 1 - (1 << 20)).otherwise(0)
+    frame = spark.range(rows).select("id", sequence.alias("sequence"), (F.col("id") * 7919 % rows + F.when(F.col("id") == 0, -rows).otherwise(0)).alias("position"))
+    made = sequenced(frame, F.lit("hot"), F.col("sequence"), F.timestamp_seconds("position"), ["position"], F.col("position"))
+    sizes = [r[0] for r in sequencing._in_ranges(made, parts).groupBy(RANGE).count().select("count").collect()]
+    assert len(sizes) == parts and max(sizes) < 1.5 * rows / parts
+    found = sequencing.ordered_messages(made, parts)
+    assert found.count() == rows
+    assert [(r.sequence, r.release.position) for r in found.filter("release is not null").collect()] == [(1, 7919)]
+    assert sequencing.gaps(made, parts).count() == rows - 1 - rows // 100
+    assert sequencing.books(made, parts=parts).first()["sequence"] == 1
+
+
+def test_one_run_over_many_ranges(spark):
+    """A run of one channel that no range ends; the first arrival lies in its middle, and the row after it comes last."""
+    rows = [("a", n, n if n != 501 else 5000) for n in range(1000)]
+    frame = spark.createDataFrame([(c, n, -1 if n == 500 else p) for c, n, p in rows], "channel string, sequence bigint, position bigint")
+    made = sequenced(frame, F.col("channel"), F.col("sequence"), F.timestamp_seconds("position"), ["position"], F.col("position"))
+    found = sequencing.ordered_messages(made, 20).collect()
+    assert {r.run_end for r in found} == {999} and {r.base for r in found} == {500}
+    assert all((r.release.position if r.release else None) == (5000 if r.sequence > 500 else None) for r in found)
+
+
 def test_empty_input(spark):
     nothing = as_messages(spark, [[1]]).filter("channel < 0")
     assert sequencing.books(nothing).count() == 0

@@ -24,15 +24,15 @@ def same(keys: Sequence[str], prefix: str) -> Column:
     return reduce(Column.__and__, [F.col(key).eqNullSafe(F.col(prefix + key)) for key in keys], F.lit(True))
 
 
-def dealt(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def dealt(df: DataFrame, keys: Sequence[str], order: Sequence[str], parts: int | None = None) -> DataFrame:
     """The rows with the number of their range, written so that every reader sees the same ranges.
 
-    There are as many ranges as the session has shuffle partitions, for tables of any size.
+    There are ``parts`` ranges, by default as many as the session has shuffle partitions, for tables of any size.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "ranges")
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(ranges, *[F.col(name) for name in [*keys, *order]])
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = df.repartitionByRange(parts, *[F.col(name) for name in [*keys, *order]])
     ordered.withColumn(RANGE, F.spark_partition_id()).write.parquet(path)
     return spark.read.parquet(path)
 

@@ -12,34 +12,28 @@ Rows without channel, sequence or arrival time are no messages: every function l
 ``rejected`` has them with the reason. Of rows equal in channel, sequence and arrival one is the first and
 the others are its copies.
 
-A channel may hold any share of the table, so nothing is windowed over a whole channel: copies are combined
-before the first shuffle, the distinct rows are placed and windowed by (channel, block of 2**20 sequences), and only
-one-row-per-block summaries are accumulated over the channel. There is one plan for tables of any size.
+A channel may hold any share of the table, and its sequences may lie close or far apart, so nothing is windowed over a channel
+or over a span of sequences: copies are combined before the first shuffle, the distinct messages are dealt out in order of
+(channel, sequence) by ranges of about equal numbers of rows, and windowed inside a range. What a range says of a channel is one
+row (lowest and highest sequence, first arrival, first gap, latest arrival); these rows combine along the channel, at most one for each
+range. There is one plan for tables of any size.
 """
 
 from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import ranges
-from tidemark.operators.blocks import BLOCK_BITS, value_block
+from tidemark.operators.ranges import RANGE
 from tidemark.operators.routing import ERROR
 
 PRICE_TYPE = "decimal(38,2)"
 PRICE_STEP = Decimal("0.01")
 
 
-def _channel() -> WindowSpec:
-    return Window.partitionBy("channel")
-
-
-def _in_block() -> WindowSpec:
-    return Window.partitionBy("channel", "block").orderBy("sequence")
-
-
 def _problem() -> Column:
     return (
         F.when(F.col("channel").isNull(), "no channel")
@@ -75,126 +69,150 @@ def first_arrivals(messages: DataFrame) -> DataFrame:
     )
 
 
-def _distinct_by_block(messages: DataFrame, bits: int) -> DataFrame:
-    """First arrivals, placed by (channel, block).
+def _in_ranges(messages: DataFrame, parts: int | None) -> DataFrame:
+    """The distinct messages by range, with what is known of them inside it.
 
-    Any number of copies is combined into one row before the shuffle by (channel, sequence); the shuffle by block then carries at
-    most ``2**bits`` rows of a channel to one task. That keys are not null is said here, and not left to the joins that follow, so that
-    the plans of all uses are equal and share that shuffle.
+    ``first`` is the earliest (arrival, sequence) of the channel in the range, ``next`` the following sequence, ``latest`` the latest
+    arrival so far, and ``latest_after`` that of the rows above ``first``.
     """
     distinct = _known(messages).groupBy("channel", "sequence").agg(F.min("arrival").alias("arrival"))
-    placed = distinct.withColumn("block", value_block("sequence", bits))
-    return placed.filter("channel is not null and block is not null").repartition("channel", "block")
+    here = Window.partitionBy("channel", RANGE)
+    in_order = here.orderBy("sequence")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = ranges.dealt(distinct, ["channel"], ["sequence"], parts)
+    placed = placed.withColumn("first", F.min(F.struct("arrival", "sequence")).over(here))
+    above = F.when(F.col("sequence") > F.col("first.sequence"), F.col("arrival"))
+    return placed.withColumns(
+        {
+            "next": F.lead("sequence").over(in_order),
+            "latest": F.max("arrival").over(so_far),
+            "latest_after": F.max(above).over(so_far),
+        }
+    )
 
 
-def _with_base(distinct: DataFrame) -> DataFrame:
-    """The distinct messages with ``next`` (the following present sequence), ``base`` and ``base_arrival``."""
-    summary = (
-        distinct.groupBy("channel", "block")
-        .agg(F.min("sequence").alias("low"), F.min(F.struct("arrival", "sequence")).alias("first"))
-        .select(
-            "channel",
-            "block",
-            F.lead("low").over(_channel().orderBy("block")).alias("next_low"),
-            F.min("first").over(_channel()).alias("first"),
-        )
+def _gap_after() -> Column:
+    """The sequence, where its successor is missing although a later one is there."""
+    return F.when(F.col("next") > F.col("sequence") + 1, F.col("sequence"))
+
+
+def _runs(rows: DataFrame) -> DataFrame:
+    """One row per channel and range: ``base``, ``run_end``, ``next_low`` and ``earlier_latest``, combined along the channel.
+
+    A range says two things of itself: where its first gap is and how late its arrivals are, from its lowest sequence on, which counts if the
+    base lies in an earlier range, and from its own first arrival on, which counts if that is the base. A range without a gap hands the
+    run on to the next, if that begins with the following sequence.
+    """
+    after = F.col("sequence") >= F.col("first.sequence")
+    summary = rows.groupBy("channel", RANGE).agg(
+        F.min("sequence").alias("low"),
+        F.max("sequence").alias("high"),
+        F.min("first").alias("first"),
+        F.min(_gap_after()).alias("gap"),
+        F.min(F.when(after, _gap_after())).alias("gap_after"),
+        F.max("arrival").alias("latest"),
+        F.max("latest_after").alias("latest_after"),
+    )
+    channel = Window.partitionBy("channel")
+    along = channel.orderBy(RANGE)
+    based = summary.withColumns(
+        {"base": F.min("first").over(channel), "next_low": F.lead("low").over(along), "ranges": F.count(F.lit(1)).over(channel)}
     )
+    is_base = F.col("first").eqNullSafe(F.col("base"))
+    later = F.col("low") > F.col("base.sequence")
+    ends = F.col("next_low").isNull() | (F.col("next_low") > F.col("high") + 1)
+    gap = F.when(is_base, F.col("gap_after")).when(later, F.col("gap"))
+    stop = F.coalesce(gap, F.when((is_base | later) & ends, F.col("high")))
+    latest = F.when(is_base, F.col("latest_after")).when(later, F.col("latest"))
     return (
-        distinct.withColumn("next", F.lead("sequence").over(_in_block()))
-        .join(summary, ["channel", "block"])
-        .select(
-            "channel",
-            "block",
-            "sequence",
-            "arrival",
-            F.coalesce("next", "next_low").alias("next"),
-            F.col("first.sequence").alias("base"),
-            F.col("first.arrival").alias("base_arrival"),
+        based.withColumns({"stop": stop, "run_latest": latest})
+        .withColumns(
+            {
+                "run_end": F.min("stop").over(channel),
+                "earlier_latest": F.max("run_latest").over(along.rowsBetween(Window.unboundedPreceding, -1)),
+            }
         )
+        .select("channel", RANGE, "base", "run_end", "next_low", "earlier_latest", "high", "ranges")
     )
 
 
-def _run_stop() -> Column:
-    """The sequence, where the row is at or after the base and its successor is missing."""
-    broken = F.col("next").isNull() | (F.col("next") > F.col("sequence") + 1)
-    return F.when((F.col("sequence") >= F.col("base")) & broken, F.col("sequence"))
+def _with_runs(rows: DataFrame) -> DataFrame:
+    """The rows with ``base``, ``base_arrival``, ``run_end``, ``next``, also that of another range, and ``earlier_latest``.
+
+    A channel that lies in one range has all of it there. Only the first and the last channel of a range can lie in others too, so
+    that at most two rows per range are sent to the tasks.
+    """
+    here = Window.partitionBy("channel", RANGE)
+    stop = F.when(
+        (F.col("sequence") >= F.col("first.sequence")) & (F.col("next").isNull() | _gap_after().isNotNull()), F.col("sequence")
+    )
+    spread = _runs(rows).filter("ranges > 1").select(
+        *[F.col(name).alias(f"_across_{name}") for name in ("channel", RANGE, "base", "run_end", "next_low", "earlier_latest")]
+    )
+    own = rows.withColumn("own_end", F.min(stop).over(here))
+    joined = own.join(F.broadcast(spread), ranges.same(["channel", RANGE], "_across_"), "left")
+    base = F.coalesce("_across_base", "first")
+    return joined.select(
+        "channel",
+        "sequence",
+        "arrival",
+        base["sequence"].alias("base"),
+        base["arrival"].alias("base_arrival"),
+        F.coalesce("_across_run_end", "own_end").alias("run_end"),
+        F.coalesce("next", "_across_next_low").alias("next"),
+        F.greatest(
+            "_across_earlier_latest", F.when(F.col("first").eqNullSafe(base), F.col("latest_after")).otherwise(F.col("latest"))
+        ).alias("run_latest"),
+    )
 
 
-def ordered_messages(messages: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
-    """Distinct messages with ``base``, ``base_arrival``, ``run_end`` and ``release``.
+def ordered_messages(messages: DataFrame, parts: int | None = None) -> DataFrame:
+    """Distinct messages with ``base``, ``base_arrival``, ``run_end``, ``next`` and ``release``.
 
     ``run_end`` is the last sequence of the contiguous run after the base. ``release`` is, for rows of
     that run, the arrival that completes the run up to the row, i.e. the latest arrival among the
-    run's rows so far; NULL for all other rows.
-
-    Both uses of the distinct messages are the same frame and so read the same shuffle.
+    run's rows so far; NULL for all other rows. ``parts`` is the number of ranges, by default that of the shuffle partitions.
     """
-    distinct = _distinct_by_block(messages, bits)
-    earlier = _channel().orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    summary = (
-        _with_base(distinct)
-        .groupBy("channel", "block")
-        .agg(
-            F.min("base").alias("base"),
-            F.min("base_arrival").alias("base_arrival"),
-            F.min(_run_stop()).alias("stop"),
-            F.max(F.when(F.col("sequence") > F.col("base"), F.col("arrival"))).alias("latest"),
-        )
-        .select(
-            "channel",
-            "block",
-            "base",
-            "base_arrival",
-            F.min("stop").over(_channel()).alias("run_end"),
-            F.max("latest").over(earlier).alias("earlier_latest"),
-        )
-    )
     in_run = (F.col("sequence") > F.col("base")) & (F.col("sequence") <= F.col("run_end"))
-    latest = F.max(F.when(in_run, F.col("arrival"))).over(
-        _in_block().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return (
-        distinct.join(summary, ["channel", "block"])
-        .withColumn("latest", latest)
-        .select(
-            "channel",
-            "sequence",
-            "arrival",
-            "base",
-            "base_arrival",
-            "run_end",
-            F.when(in_run, F.greatest("earlier_latest", "latest")).alias("release"),
-        )
+    return _with_runs(_in_ranges(messages, parts)).select(
+        "channel",
+        "sequence",
+        "arrival",
+        "base",
+        "base_arrival",
+        "run_end",
+        "next",
+        F.when(in_run, F.col("run_latest")).alias("release"),
     )
 
 
-def in_order(messages: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
+def in_order(messages: DataFrame, parts: int | None = None) -> DataFrame:
     """The trades the book has advanced through."""
-    return ordered_messages(messages, bits).filter(F.col("release").isNotNull())
+    return ordered_messages(messages, parts).filter(F.col("release").isNotNull())
 
 
-def _run_ends(messages: DataFrame, bits: int) -> DataFrame:
+def _run_ends(messages: DataFrame, parts: int | None) -> DataFrame:
     """Per channel: base, base_arrival, run_end, last (highest present sequence)."""
-    return _with_base(_distinct_by_block(messages, bits)).groupBy("channel").agg(
-        F.min("base").alias("base"),
-        F.min("base_arrival").alias("base_arrival"),
-        F.min(_run_stop()).alias("run_end"),
-        F.max("sequence").alias("last"),
+    return _runs(_in_ranges(messages, parts)).groupBy("channel").agg(
+        F.min("base.sequence").alias("base"),
+        F.min("base.arrival").alias("base_arrival"),
+        F.min("run_end").alias("run_end"),
+        F.max("high").alias("last"),
     )
 
 
-def pending(messages: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
+def pending(messages: DataFrame, parts: int | None = None) -> DataFrame:
     """Distinct messages beyond the first gap."""
-    return ordered_messages(messages, bits).filter(F.col("sequence") > F.col("run_end"))
+    return ordered_messages(messages, parts).filter(F.col("sequence") > F.col("run_end"))
 
 
 def _price(count: Column, step: Decimal) -> Column:
     return (F.lit(step).cast(PRICE_TYPE) * count.cast("decimal(20,0)")).cast(PRICE_TYPE)
 
 
-def books(messages: DataFrame, step: Decimal = PRICE_STEP, bits: int = BLOCK_BITS) -> DataFrame:
+def books(messages: DataFrame, step: Decimal = PRICE_STEP, parts: int | None = None) -> DataFrame:
     """The final book of every channel."""
-    return _run_ends(messages, bits).select(
+    return _run_ends(messages, parts).select(
         "channel",
         F.col("run_end").alias("sequence"),
         F.col("base_arrival.trade_date").alias("trade_date"),
@@ -202,9 +220,9 @@ def books(messages: DataFrame, step: Decimal = PRICE_STEP, bits: int = BLOCK_BIT
     )
 
 
-def emissions(messages: DataFrame, step: Decimal = PRICE_STEP, bits: int = BLOCK_BITS) -> DataFrame:
+def emissions(messages: DataFrame, step: Decimal = PRICE_STEP, parts: int | None = None) -> DataFrame:
     """One book per arrival that releases at least one trade."""
-    released = in_order(messages, bits).groupBy("channel", "release").agg(
+    released = in_order(messages, parts).groupBy("channel", "release").agg(
         F.max("sequence").alias("sequence"),
         F.count(F.lit(1)).alias("released"),
         F.min("base").alias("base"),
@@ -220,12 +238,12 @@ def emissions(messages: DataFrame, step: Decimal = PRICE_STEP, bits: int = BLOCK
     )
 
 
-def classify(messages: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
+def classify(messages: DataFrame, parts: int | None = None) -> DataFrame:
     """Every arrival with its class: base, in_order, pending, duplicate or late.
 
     A (channel, sequence) with very many copies is one that the adaptive join may split.
     """
-    lookup = ordered_messages(messages, bits).select(
+    lookup = ordered_messages(messages, parts).select(
         "channel", "sequence", F.col("arrival").alias("first_arrival"), "base", "base_arrival", "release"
     )
     key = ["channel", "sequence"]
@@ -247,10 +265,10 @@ def classify(messages: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
     )
 
 
-def gaps(messages: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
+def gaps(messages: DataFrame, parts: int | None = None) -> DataFrame:
     """Missing ranges after the base, below the highest present sequence."""
     return (
-        _with_base(_distinct_by_block(messages, bits))
+        ordered_messages(messages, parts)
         .filter((F.col("sequence") >= F.col("base")) & (F.col("next") > F.col("sequence") + 1))
         .select(
             "channel",
@@ -261,10 +279,10 @@ def gaps(messages: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
     )
 
 
-def backfill_ranges(messages: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
+def backfill_ranges(messages: DataFrame, parts: int | None = None) -> DataFrame:
     """For channels with waiting trades, the range to fetch again: book + 1 … highest pending."""
     return (
-        _run_ends(messages, bits)
+        _run_ends(messages, parts)
         .filter(F.col("last") > F.col("run_end"))
         .select("channel", (F.col("run_end") + 1).alias("first"), F.col("last").cast("bigint").alias("last"))
     )
@@ -275,13 +293,13 @@ def _tick(at: str, start: str, seconds: int) -> Column:
     return (F.floor(elapsed / F.lit(seconds * 1_000_000)) + 1).cast("bigint")
 
 
-def ticks(messages: DataFrame, seconds: int, bits: int = BLOCK_BITS) -> DataFrame:
+def ticks(messages: DataFrame, seconds: int, parts: int | None = None) -> DataFrame:
     """The report of every tick in which a new trade arrived.
 
     Ticks count from the channel's first arrival. ``pending_size`` and ``pending_last`` are taken
     before the tick drains, ``remaining`` after it.
     """
-    rows = ordered_messages(messages, bits).filter(F.col("sequence") > F.col("base"))
+    rows = ordered_messages(messages, parts).filter(F.col("sequence") > F.col("base"))
     # Arrivals and releases are summed apart, so that no row is doubled; only ticks meet.
     arrived = (
         rows.groupBy("channel", _tick("arrival.at", "base_arrival.at", seconds).alias("tick"))
@@ -322,9 +340,9 @@ def ticks(messages: DataFrame, seconds: int, bits: int = BLOCK_BITS) -> DataFram
     )
 
 
-def idle_ticks(messages: DataFrame, seconds: int, bits: int = BLOCK_BITS) -> DataFrame:
+def idle_ticks(messages: DataFrame, seconds: int, parts: int | None = None) -> DataFrame:
     """The ticks in which nothing arrives while trades wait, as ranges; one without end lasts until now."""
-    reports = ticks(messages, seconds, bits).select("channel", "tick", "remaining", "pending_last", (-F.col("tick")).alias("_back"))
+    reports = ticks(messages, seconds, parts).select("channel", "tick", "remaining", "pending_last", (-F.col("tick")).alias("_back"))
     nearest = ranges.running(reports, ["channel"], ["_back"], maxima={"_later": F.col("_back")}, own=False)
     following = -F.col("_later")
     return nearest.filter((F.col("remaining") > 0) & (following.isNull() | (following > F.col("tick") + 1))).select(
