@@ -42,7 +42,8 @@ def _problem() -> Column:
     )
 
 
-def _known(messages: DataFrame) -> DataFrame:
+def known_messages(messages: DataFrame) -> DataFrame:
+    """The rows that have all that a message needs."""
     return messages.filter(_problem().isNull())
 
 
@@ -53,7 +54,7 @@ def rejected(messages: DataFrame) -> DataFrame:
 
 def base_books(messages: DataFrame) -> DataFrame:
     """First arrival per channel: channel, sequence, trade_date, price 0."""
-    first = _known(messages).groupBy("channel").agg(F.min(F.struct("arrival", "sequence")).alias("first"))
+    first = known_messages(messages).groupBy("channel").agg(F.min(F.struct("arrival", "sequence")).alias("first"))
     return first.select(
         "channel",
         F.col("first.sequence").alias("sequence"),
@@ -64,7 +65,7 @@ def base_books(messages: DataFrame) -> DataFrame:
 
 def first_arrivals(messages: DataFrame) -> DataFrame:
     """One row per (channel, sequence): the first arrival, and how many copies came."""
-    return _known(messages).groupBy("channel", "sequence").agg(
+    return known_messages(messages).groupBy("channel", "sequence").agg(
         F.min("arrival").alias("arrival"), F.count(F.lit(1)).alias("copies")
     )
 
@@ -75,7 +76,7 @@ def _in_ranges(messages: DataFrame, parts: int | None) -> DataFrame:
     ``first`` is the earliest (arrival, sequence) of the channel in the range, ``next`` the following sequence, ``latest`` the latest
     arrival so far, and ``latest_after`` that of the rows above ``first``.
     """
-    distinct = _known(messages).groupBy("channel", "sequence").agg(F.min("arrival").alias("arrival"))
+    distinct = known_messages(messages).groupBy("channel", "sequence").agg(F.min("arrival").alias("arrival"))
     here = Window.partitionBy("channel", RANGE)
     in_order = here.orderBy("sequence")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -248,7 +249,7 @@ def classify(messages: DataFrame, parts: int | None = None) -> DataFrame:
     )
     key = ["channel", "sequence"]
     copy = F.row_number().over(Window.partitionBy(*key, "arrival").orderBy(F.lit(0)))
-    joined = _known(messages).withColumn("copy", copy).join(lookup, key)
+    joined = known_messages(messages).withColumn("copy", copy).join(lookup, key)
     is_first = (F.col("arrival") == F.col("first_arrival")) & (F.col("copy") == 1)
     is_base = (F.col("arrival") == F.col("base_arrival")) & (F.col("sequence") == F.col("base"))
     arrived_late = (F.col("sequence") <= F.col("base")) | (F.col("release") < F.col("arrival"))
@@ -370,6 +371,7 @@ __all__ = [
     "gaps",
     "idle_ticks",
     "in_order",
+    "known_messages",
     "ordered_messages",
     "pending",
     "rejected",
