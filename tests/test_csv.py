@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -141,6 +142,60 @@ def test_stray_and_open_quotes_lose_no_row(spark, tmp_path, newlines):
     assert errors == {('"9",h', "short row: 2 of 3 fields"), ('10,,"x\n11,i,12', "unterminated quote")}
 
 
+def test_random_files_split_anywhere(spark, tmp_path):
+    """Splits of a few bytes against Python's reading of the same text, character by character."""
+    random.seed(4)
+    pieces = ["a", ",", "\n", '"', '""', ',"', '",', "\n", "bc", '\n"']
+    for number in range(30):
+        (tmp_path / f"{number}.csv").write_text("".join(random.choices(pieces, k=random.randint(1, 60))))
+    expected = {}
+    for number in range(30):
+        state, records, text = "start", [[]], (tmp_path / f"{number}.csv").read_text().removesuffix("\n")
+        for at, sign in enumerate(text):
+            if state == "quoted" and sign == '"':
+                state = "closing"
+            elif state == "closing" and sign == '"':
+                state = "quoted"
+            elif state != "quoted" and sign in ",\n":
+                state = "start"
+            elif state == "start" and sign == '"':
+                state = "quoted"
+            elif state != "quoted":
+                state = "field"
+            if sign == "\n" and state != "quoted":
+                records.append([])
+            else:
+                records[-1].append(sign)
+        for place, record in enumerate(records):
+            last = place == len(records) - 1
+            expected[number, place + 1] = ("".join(record), last and state == "quoted")
+    for name, value in (("spark.sql.files.maxPartitionBytes", "9"), ("spark.sql.files.openCostInBytes", "1"), ("spark.sql.files.minPartitionNum", "1")):
+        spark.conf.set(name, value)
+    try:
+        rows = csv_files.split_records(spark, str(tmp_path)).collect()
+    finally:
+        for name in ("maxPartitionBytes", "openCostInBytes", "minPartitionNum"):
+            spark.conf.unset(f"spark.sql.files.{name}")
+    found = {(int(r["file_path"].rsplit("/", 1)[-1][:-4]), r["record_no"]): (r["record"], r["open"]) for r in rows}
+    assert len(found) == len(rows)
+    empty = {key for key in expected if key not in found}
+    assert all(expected.pop(key) == ("", False) for key in empty)  # an empty last line is no record
+    assert found == expected
+
+
+def test_an_unclosed_record_is_bounded(spark, tmp_path, newlines):
+    """An error row has no more than the limit and its last line, whether the quote is closed in the end or never; later rows are read."""
+    if newlines == csv_files.WHOLE_FILES:
+        pytest.skip("whole files have no limit")
+    body = "\n".join(f"line {n}" for n in range(400))
+    (tmp_path / "long.csv").write_text(f'id,name,v\n1,a,b\n2,"{body}",c\n3,d,e\n4,"{body}\n')
+    rows = csv_files.read_csv(spark, str(tmp_path / "long.csv"), COLUMNS, csv_files.STRICT, newlines, record_limit=100).collect()
+    assert {tuple(r[n] for n in COLUMNS) for r in rows if r["tag"] == "main"} == {("1", "a", "b"), ("3", "d", "e")}
+    errors = {r["reason"]: r["record"] for r in rows if r["tag"] == "error"}
+    assert errors.keys() == {"record too long", "unterminated quote"}
+    assert all(100 <= len(record) < 120 and f'"{body}'.startswith(record[2:]) for record in errors.values())
+
+
 def test_header_names_and_no_files(spark, tmp_path):
     assert csv_files.header_names('"id","na,me",v') == ["id", "na,me", "v"]
     (tmp_path / "empty.csv").write_text("")

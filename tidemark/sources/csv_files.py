@@ -9,12 +9,12 @@ Three reading modes, all on Spark's own readers:
   fields are dropped, blank lines included, goes to the error output or fails the query.
 
 A quote opens a value only at the start of a field; anywhere else it is a character. A record whose quote is never
-closed goes to the error output, whatever the mode.
+closed goes to the error output, whatever the mode, and where files are read in splits so does one above ``RECORD_LIMIT`` characters.
 
 The quoting modes take one of three ways with newlines inside values:
 
 * ``SPLIT_FILES``  the default: files of any size are read in splits, and the records are put together by the state that
-  each line leaves the next in, at the price of some shuffles;
+  each line leaves the next in, at the price of a shuffle;
 * ``NO_NEWLINES``  there are none; Spark's reader splits the files, so this is the way to choose where possible;
 * ``WHOLE_FILES``  one file is one task of Spark's reader, for files known to be well formed and of moderate size.
 """
@@ -25,16 +25,18 @@ import csv
 from collections import Counter, defaultdict
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import row_json
-from tidemark.operators import ranges
 from tidemark.operators.routing import ERROR, MAIN, flatten, route
 
 QUOTED, STRICT, NAIVE = "quoted", "strict", "naive"
 NO_NEWLINES, WHOLE_FILES, SPLIT_FILES = "no newlines", "whole files", "split files"
+OUTSIDE, INSIDE = 0, 1
+#: Characters of the longest record; one above is an error row with what the limit leaves of it.
+RECORD_LIMIT = 1 << 24
 _RECORD = "_record"
 _OUTPUT = ("file_path", "tag", "reason", "record")
 
@@ -104,6 +106,7 @@ def _present(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
         "record",
         "_fields",
         "open",
+        "too_long",
         *[
             F.when(F.col("_fields") > position, F.coalesce(F.col(name), F.lit(""))).alias(name)
             for position, name in enumerate(columns)
@@ -128,16 +131,79 @@ def _read_quoted(spark: SparkSession, paths, columns: Sequence[str], multi_line:
     record = F.when(F.col(_RECORD).isNotNull(), F.coalesce(F.col(_RECORD), F.col(columns[0])))
     width = F.when(F.col("record").isNull(), F.lit(len(columns))).otherwise(_width(F.col("record")))
     sized = rows.withColumn("record", record).withColumn("_fields", width)
-    return _present(sized.withColumn("open", _unterminated(F.col("record"))), columns)
+    return _present(sized.withColumns({"open": _unterminated(F.col("record")), "too_long": F.lit(False)}), columns)
 
 
-def split_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Records of quoted files as file_path, record_no (from 1), record, read in splits of any file size.
+def _then(before: Column, after_out: Column, after_in: Column) -> Column:
+    return F.when(before == INSIDE, after_in).otherwise(after_out)
 
-    Each line is looked at twice, as if it began outside and inside a quoted value: it leaves the next line outside or inside,
-    keeps the state, or flips it. The state after a line is then the last one set, flipped as often as lines did since. That, the
-    flips and the record numbers are running aggregates over ranges of lines, so a file is never read whole by one
-    task; only the lines of one record meet in a row.
+
+def _running_state(name: str, after_out: str, after_in: str, place: str, window: WindowSpec) -> dict[str, Column]:
+    """What composing the functions of the rows of a window gives for either state before them: columns ``{name}_out`` and ``{name}_in``.
+
+    A function on two states keeps the state, flips it or sets it. The composition is the last state set, flipped as often as since then; before any
+    is set, it is the state itself, flipped as often.
+    """
+    out, in_ = F.col(after_out), F.col(after_in)
+    flips = F.sum((out > in_).cast("bigint")).over(window)
+    # A set state is kept as it would be before any flip of the window, so that all flips up to a later row apply to it.
+    return {
+        f"{name}_flips": flips,
+        f"{name}_set": F.max(F.when(out == in_, F.struct(place, ((out + F.col(f"{name}_flips")) % 2).alias("state")))).over(window),
+        f"{name}_out": (F.coalesce(f"{name}_set.state", F.lit(OUTSIDE)) + F.col(f"{name}_flips")) % 2,
+        f"{name}_in": (F.coalesce(f"{name}_set.state", F.lit(INSIDE)) + F.col(f"{name}_flips")) % 2,
+    }
+
+
+def _composed(rows: DataFrame, *args) -> DataFrame:
+    for name, column in _running_state(*args).items():
+        rows = rows.withColumn(name, column)
+    return rows
+
+
+def _split_entries(stated: DataFrame) -> DataFrame:
+    """One row per split: the state it is entered in, the number of its first record, and how long that already is."""
+    split = ["file_path", "split"]
+    last = F.max(F.struct("line", "after_out", "after_in"))
+    sides = {}
+    for side in ("out", "in"):
+        ends = F.col(f"after_{side}") == OUTSIDE
+        sides[f"ends_{side}"] = F.count_if(ends)
+        sides[f"closed_{side}"] = F.coalesce(F.max(F.when(ends, F.col("upto"))), F.lit(0))
+    functions = stated.groupBy(*split).agg(last.alias("last"), F.max("upto").alias("size"), *[c.alias(n) for n, c in sides.items()])
+    functions = functions.withColumns({"_out": F.col("last.after_out"), "_in": F.col("last.after_in")})
+    along = Window.partitionBy("file_path").orderBy("split")
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    functions = _composed(functions, "left", "_out", "_in", "split", upto)
+    entered = F.coalesce(F.lag("left_out").over(along), F.lit(OUTSIDE))
+    entries = functions.withColumn("entry", entered).withColumns(
+        {
+            "ends": _then(F.col("entry"), F.col("ends_out"), F.col("ends_in")),
+            "tail": F.col("size") - _then(F.col("entry"), F.col("closed_out"), F.col("closed_in")),
+        }
+    )
+    entries = entries.withColumns(
+        {
+            "first_no": F.coalesce(F.sum("ends").over(before), F.lit(0)) + 1,
+            "_handed": F.lag("tail").over(along),
+            "_since": F.coalesce(F.count_if(F.col("ends") > 0).over(before), F.lit(0)),
+        }
+    )
+    # What the splits since the last that ended a record hand on is the length of the open one.
+    since = Window.partitionBy("file_path", "_since").orderBy("split").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = F.when(F.col("entry") == INSIDE, F.sum("_handed").over(since)).otherwise(0)
+    return entries.select(*split, "entry", "first_no", carried.alias("carried"))
+
+
+def split_records(spark: SparkSession, paths: str | Sequence[str], limit: int = RECORD_LIMIT) -> DataFrame:
+    """Records of quoted files as file_path, record_no (from 1), record, open and too_long, read in splits of any file size.
+
+    A line is a function on {outside, inside}: the state it leaves the next line in, for either state it may begin in. The functions of a split's lines are
+    composed inside the split, and those of the splits along their file; that gives the state each split is entered in, the number
+    of its first record and the length of what is open there. Lines move once, each split to a place of its own; the pieces of records
+    that cross splits move once more. Of a record longer than ``limit`` characters only the lines that begin before the limit are kept, and it is
+    ``too_long``: a quote that is never closed doesn't gather the rest of a file.
     """
     lines = (
         spark.read.option("lineSep", "\n")
@@ -149,29 +215,54 @@ def split_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
             "value",
         )
     )
+    split = ["file_path", "split"]
     states = lines.withColumns({"_out": F.col("value").rlike(_OPENS).cast("int"), "_in": F.col("value").rlike(_STAYS_OPEN).cast("int")})
-    flips = (F.col("_out") > F.col("_in")).cast("bigint")
-    order = (["file_path"], ["split", "line"])
-    flipped = ranges.running(states, *order, {"_flips": flips})
-    # A set state is kept as it would be before any flip, so that the flips up to a later line apply to it.
-    unflipped = (F.col("_out") + F.col("_flips")) % 2
-    last_set = F.when(F.col("_out") == F.col("_in"), F.struct("split", "line", unflipped.alias("state")))
-    set_ = ranges.running(flipped, *order, maxima={"_set": last_set})
-    inside = (F.coalesce(F.col("_set.state"), F.lit(0)) + F.col("_flips")) % 2
-    ended = ranges.running(set_.withColumn("_ends", (inside == 0).cast("bigint")), *order, {"_ended": F.col("_ends")})
-    numbered = ended.withColumn("record_no", F.col("_ended") - F.col("_ends") + 1)
-    parts = F.sort_array(F.collect_list(F.struct("split", "line", "value")))
-    joined = numbered.groupBy("file_path", "record_no").agg(parts.alias("parts"), F.max("_ends").alias("ends"))
-    return joined.select("file_path", "record_no", F.regexp_replace(F.array_join("parts.value", "\n"), "\r$", "").alias("record"), (F.col("ends") == 0).alias("open"))
-
-
-def _read_split(spark: SparkSession, paths, columns: Sequence[str]) -> DataFrame:
+    states = states.filter("file_path IS NOT NULL AND split IS NOT NULL").repartition(*split)
+    upto = Window.partitionBy(*split).orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    stated = _composed(states, "after", "_out", "_in", "line", upto)
+    stated = stated.withColumn("upto", F.sum(F.length("value") + 1).over(upto))
+    entries = _split_entries(stated)
+    rows = stated.join(entries, split).withColumn(
+        "ends", (_then(F.col("entry"), F.col("after_out"), F.col("after_in")) == OUTSIDE).cast("int")
+    )
+    rows = rows.withColumn("record_no", F.col("first_no") + F.sum("ends").over(upto) - F.col("ends"))
+    begun = F.min(F.col("upto") - F.length("value") - 1).over(Window.partitionBy(*split, "record_no"))
+    carried = F.when(F.col("record_no") == F.col("first_no"), F.col("carried")).otherwise(0)
+    place = F.col("upto") - F.length("value") - 1 - begun + carried
+    kept = F.when(F.col("place") <= limit, F.struct("line", "value"))
+    crosses = ((F.col("record_no") == F.col("first_no")) & (F.col("entry") == INSIDE)) | (F.col("ended") == 0)
+    pieces = (
+        rows.withColumn("place", place)
+        .groupBy(*split, "record_no", "first_no", "entry")
+        .agg(
+            F.array_sort(F.collect_list(kept)).alias("parts"),
+            F.max("ends").alias("ended"),
+            F.max(F.col("place") + F.length("value")).alias("size"),
+        )
+        .select(*split, "record_no", F.array_join("parts.value", "\n").alias("text"), (F.size("parts") > 0).alias("kept"), "ended", "size", crosses.alias("crosses"))
+    )
+    whole = pieces.filter(~F.col("crosses")).select("file_path", "record_no", "text", "ended", "size")
+    crossing = pieces.filter("crosses").groupBy("file_path", "record_no").agg(
+        F.array_join(F.array_sort(F.collect_list(F.when(F.col("kept"), F.struct("split", "text"))))["text"], "\n").alias("text"),
+        F.max("ended").alias("ended"),
+        F.max("size").alias("size"),
+    )
+    return whole.unionByName(crossing).select(
+        "file_path",
+        "record_no",
+        F.regexp_replace("text", "\r$", "").alias("record"),
+        (F.col("ended") == 0).alias("open"),
+        (F.col("size") > limit).alias("too_long"),
+    )
+
+
+def _read_split(spark: SparkSession, paths, columns: Sequence[str], limit: int) -> DataFrame:
     if not isinstance(paths, str) and len(set(paths)) < len(paths):
         times = Counter(paths)
         rounds = [[path for path in times if times[path] > number] for number in range(max(times.values()))]
-        return flatten(*[_read_split(spark, part, columns) for part in rounds])
+        return flatten(*[_read_split(spark, part, columns, limit) for part in rounds])
     schema = ", ".join(f"`{name}` string" for name in columns)
-    records = split_records(spark, paths)
+    records = split_records(spark, paths, limit)
     header = F.from_csv("record", schema, {"escape": '"'})
     same = F.coalesce(header == F.struct(*[F.lit(name).alias(name) for name in columns]), F.lit(False))
     wrong = F.raise_error(F.concat(F.lit("header of "), "file_path", F.lit(" differs"))).cast("boolean")
@@ -182,10 +273,11 @@ def _read_split(spark: SparkSession, paths, columns: Sequence[str]) -> DataFrame
     return _present(
         parsed.select(
             "file_path",
-            F.when((F.col("_fields") != len(columns)) | F.col("open"), F.col("record")).alias("record"),
+            F.when((F.col("_fields") != len(columns)) | F.col("open") | F.col("too_long"), F.col("record")).alias("record"),
             "_fields",
             "_row.*",
             "open",
+            "too_long",
         ),
         columns,
     )
@@ -203,6 +295,7 @@ def _read_naive(spark: SparkSession, paths, columns: Sequence[str]) -> DataFrame
         "record",
         "_fields",
         F.lit(False).alias("open"),
+        F.lit(False).alias("too_long"),
         *[F.get(F.col("_parts"), position).alias(name) for position, name in enumerate(columns)],
     )
 
@@ -214,6 +307,7 @@ def read_csv(
     mode: str = QUOTED,
     newlines: str = SPLIT_FILES,
     fail_fast: bool = False,
+    record_limit: int = RECORD_LIMIT,
 ) -> DataFrame:
     """Rows of files with the given header: file_path, tag, reason, record and the string columns.
 
@@ -226,10 +320,11 @@ def read_csv(
     elif mode not in (QUOTED, STRICT):
         raise ValueError(f"unknown mode {mode}")
     elif newlines == SPLIT_FILES:
-        rows = _read_split(spark, paths, columns)
+        rows = _read_split(spark, paths, columns, record_limit)
     else:
         rows = _read_quoted(spark, paths, columns, newlines == WHOLE_FILES)
     problem = F.when(F.col("open"), F.raise_error("unterminated quote") if fail_fast else F.lit("unterminated quote"))
+    problem = problem.when(F.col("too_long"), F.raise_error("record too long") if fail_fast else F.lit("record too long"))
     if mode != QUOTED:
         width = F.col("_fields")
         short = F.concat(F.lit("short row: "), width.cast("string"), F.lit(f" of {len(columns)} fields"))
