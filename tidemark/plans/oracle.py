@@ -82,6 +82,8 @@ def _window_group(width: str, seconds: int) -> str:
   GROUP BY start, group_key, list_no"""
 
 
+WINDOW_GROUP = _window_group("5 seconds", 5) + "\n  UNION ALL" + _window_group("1 day", 86400)
+
 WINDOW_SUMMARY = f"""
 WITH {_EVENTS},
 w AS (SELECT *, date_trunc('day', ts) AS start FROM ev),
@@ -246,7 +248,7 @@ FROM events GROUP BY date_trunc('day', ts), event_type""",
 SELECT 'testdata.' || lower(c_mktsegment) || '.' || replace(c_name, '#', '_') AS full_name, 'testdata' AS project,
        lower(c_mktsegment) AS dataset, replace(c_name, '#', '_') AS table_name
 FROM customer""",
-    "window_group": _window_group("5 seconds", 5) + "\n  UNION ALL" + _window_group("1 day", 86400),
+    "window_group": WINDOW_GROUP,
     "window_summary": WINDOW_SUMMARY,
     "group_into_batches": EVENT_BATCHES,
     "export_manifest": f"""
@@ -381,6 +383,7 @@ STREAM: dict[str, str] = {
     "seq_overflow": _overflow(jump_to_pending=False),
     "seq_overflow_pending": _overflow(jump_to_pending=True),
     "stream_window_summary": WINDOW_SUMMARY,
+    "stream_window_group": WINDOW_GROUP,
     "stream_group_into_batches": EVENT_BATCHES,
     "stream_load_append": f"""
 SELECT id, name, {_STAMP} AS df_ts, true AS created FROM (

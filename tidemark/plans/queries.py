@@ -305,6 +305,18 @@ def table_name_parts(spark: SparkSession, folder: str) -> DataFrame:
 
 # Elements per list: small, so that the tables' groups have several lists.
 ELEMENTS = 50
+WIDTHS = {"5 seconds": 5000, "1 day": 86_400_000}
+
+
+def group_output(lists: DataFrame, width: str, elements: Column) -> DataFrame:
+    return lists.select(
+        F.lit(width).alias("width"),
+        text.millis_text("window_start").alias("window_start"),
+        "group_key",
+        "list_no",
+        "items",
+        elements.alias("event_ids"),
+    )
 
 
 def window_group(spark: SparkSession, folder: str) -> DataFrame:
@@ -312,15 +324,8 @@ def window_group(spark: SparkSession, folder: str) -> DataFrame:
         "event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("group_key")
     )
     grouped = [
-        windows.group_by_window(events, "group_key", "ts", width, "event_id", ELEMENTS).select(
-            F.lit(width).alias("width"),
-            text.millis_text("window_start").alias("window_start"),
-            "group_key",
-            "list_no",
-            "items",
-            F.col("event_id").alias("event_ids"),
-        )
-        for width in ("5 seconds", "1 day")
+        group_output(windows.group_by_window(events, "group_key", "ts", width, "event_id", ELEMENTS), width, F.col("event_id"))
+        for width in WIDTHS
     ]
     return routing.flatten(*grouped)
 

@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import windows
+from tidemark.operators import routing, windows
 from tidemark.plans.inputs import numbered_events, table, trades
-from tidemark.plans.queries import ELEMENTS, Query, batch_output, loaded_output, new_default_table, stamped, summary_output
-from tidemark.streaming.batches import collect_batches
+from tidemark.plans.queries import (
+    ELEMENTS,
+    WIDTHS,
+    Query,
+    batch_output,
+    group_output,
+    loaded_output,
+    new_default_table,
+    stamped,
+    summary_output,
+)
+from tidemark.streaming.batches import collect_batches, collect_lists
 from tidemark.streaming.loads import append_loads
 from tidemark.streaming.replay import run_slices, run_to_table, slice_count, time_slices
 from tidemark.streaming.sequencer import JUMP_TO_ARRIVAL, JUMP_TO_PENDING, sequence_channels
@@ -95,6 +105,22 @@ def stream_window_summary(spark: SparkSession, folder: str) -> DataFrame:
     return summary_output(windows.summarise_counts(counts, ELEMENTS))
 
 
+def stream_window_group(spark: SparkSession, folder: str) -> DataFrame:
+    """The elements of every window and type, sent in lists while the window is open."""
+    slices = _event_slices(spark, folder)
+
+    def grouped(width: str, millis: int) -> DataFrame:
+        lists = run_to_table(
+            spark,
+            slices,
+            lambda stream: collect_lists(stream.withWatermark("ts", "0 seconds"), "group_key", "ts", "event_id", width, millis, ELEMENTS),
+            "window-group",
+        )
+        return group_output(lists.withColumnsRenamed({"items": "ids", "size": "items"}), width, F.concat_ws(",", F.col("ids").cast("array<string>")))
+
+    return routing.flatten(*[grouped(width, millis) for width, millis in WIDTHS.items()])
+
+
 def stream_group_into_batches(spark: SparkSession, folder: str) -> DataFrame:
     batches = run_to_table(
         spark,
@@ -122,6 +148,7 @@ STREAM: dict[str, Query] = {
     "seq_overflow": seq_overflow,
     "seq_overflow_pending": seq_overflow_pending,
     "stream_window_summary": stream_window_summary,
+    "stream_window_group": stream_window_group,
     "stream_group_into_batches": stream_group_into_batches,
     "stream_load_append": stream_load_append,
 }
