@@ -333,7 +333,7 @@ FROM events""",
 }
 
 
-def _overflow(jump_to_pending: bool) -> str:
+def _overflow(jump_to_pending: bool, exceeded: str = "len(pending) > 2") -> str:
     """The overflow rule one arrival at a time: step n handles the n-th arrival of every channel."""
     if jump_to_pending:
         target = "list_min(waiting)"
@@ -347,22 +347,22 @@ def _overflow(jump_to_pending: bool) -> str:
 WITH RECURSIVE {_TRADES},
 s AS (
   SELECT channel, 1 AS arr, sequence AS book, CAST([] AS BIGINT[]) AS pending, CAST(0 AS BIGINT) AS trades,
-         '' AS kind, CAST(0 AS BIGINT) AS released, came_at, CAST(NULL AS BIGINT) AS skipped_from, CAST(NULL AS BIGINT) AS skipped_to
+         '' AS kind, CAST(0 AS BIGINT) AS released, came_at, came_at AS advanced_at, CAST(NULL AS BIGINT) AS skipped_from, CAST(NULL AS BIGINT) AS skipped_to
   FROM m WHERE arr = 1
   UNION ALL
   SELECT channel, arr, CASE kind WHEN 'book' THEN run_end WHEN 'overflow' THEN reached ELSE book END,
          CASE kind WHEN 'book' THEN list_filter(waiting, lambda x: x > run_end) WHEN 'overflow' THEN left_over ELSE waiting END,
-         trades + released, kind, released, came_at,
+         trades + released, kind, released, came_at, CASE WHEN kind = '' THEN advanced_at ELSE came_at END,
          CASE WHEN kind = 'overflow' THEN book + 1 END, CASE WHEN kind = 'overflow' THEN target - 1 END
   FROM (
     SELECT *, CASE kind WHEN 'book' THEN run_end - book WHEN 'overflow' THEN reached - target + 1 ELSE 0 END AS released,
            {left} AS left_over
     FROM (
       SELECT *, {target} AS target, {reached} AS reached,
-             CASE WHEN NOT fresh THEN '' WHEN sequence = book + 1 THEN 'book' WHEN len(pending) > 2 THEN 'overflow' ELSE '' END AS kind,
+             CASE WHEN NOT fresh THEN '' WHEN sequence = book + 1 THEN 'book' WHEN {exceeded} THEN 'overflow' ELSE '' END AS kind,
              list_min(list_filter(range(book + 1, list_max(list_append(waiting, book)) + 2), lambda x: NOT list_contains(waiting, x))) - 1 AS run_end
       FROM (
-        SELECT s.channel, m.arr, s.book, s.pending, s.trades, m.sequence, m.came_at,
+        SELECT s.channel, m.arr, s.book, s.pending, s.trades, m.sequence, m.came_at, s.advanced_at,
                m.sequence > s.book AND NOT list_contains(s.pending, m.sequence) AS fresh,
                CASE WHEN m.sequence > s.book AND NOT list_contains(s.pending, m.sequence)
                     THEN list_append(s.pending, m.sequence) ELSE s.pending END AS waiting
@@ -382,6 +382,7 @@ STREAM: dict[str, str] = {
     "stream_seq_book": SEQ_EMISSIONS,
     "seq_overflow": _overflow(jump_to_pending=False),
     "seq_overflow_pending": _overflow(jump_to_pending=True),
+    "seq_overflow_age": _overflow(jump_to_pending=True, exceeded="came_at - advanced_at > INTERVAL 360 DAY"),
     "stream_window_summary": WINDOW_SUMMARY,
     "stream_window_group": WINDOW_GROUP,
     "stream_group_into_batches": EVENT_BATCHES,

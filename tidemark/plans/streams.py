@@ -21,10 +21,12 @@ from tidemark.plans.queries import (
 from tidemark.streaming.batches import collect_batches, collect_lists
 from tidemark.streaming.loads import append_loads
 from tidemark.streaming.replay import run_slices, run_to_table, slice_count, time_slices
+from tidemark.streaming.summaries import run_counts, sequence_runs
 from tidemark.streaming.sequencer import JUMP_TO_ARRIVAL, JUMP_TO_PENDING, sequence_channels
 
 DAY_SECONDS = 86_400
 MAX_PENDING = 2
+MAX_AGE_DAYS = 360
 
 
 def _ordered_trades(spark: SparkSession, folder: str) -> list[DataFrame]:
@@ -66,11 +68,11 @@ def stream_seq_book(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _overflow(spark: SparkSession, folder: str, rule: str) -> DataFrame:
+def _overflow(spark: SparkSession, folder: str, rule: str, **limits: int) -> DataFrame:
     emitted = run_to_table(
         spark,
         _ordered_trades(spark, folder),
-        lambda stream: sequence_channels(stream, max_pending=MAX_PENDING, on_overflow=rule),
+        lambda stream: sequence_channels(stream, on_overflow=rule, **limits),
         "seq-overflow",
     )
     return emitted.select(
@@ -88,21 +90,26 @@ def _overflow(spark: SparkSession, folder: str, rule: str) -> DataFrame:
 
 
 def seq_overflow(spark: SparkSession, folder: str) -> DataFrame:
-    return _overflow(spark, folder, JUMP_TO_ARRIVAL)
+    return _overflow(spark, folder, JUMP_TO_ARRIVAL, max_pending=MAX_PENDING)
 
 
 def seq_overflow_pending(spark: SparkSession, folder: str) -> DataFrame:
-    return _overflow(spark, folder, JUMP_TO_PENDING)
+    return _overflow(spark, folder, JUMP_TO_PENDING, max_pending=MAX_PENDING)
+
+
+def seq_overflow_age(spark: SparkSession, folder: str) -> DataFrame:
+    """The book jumps to the smallest waiting sequence where it has not advanced for long, however few wait."""
+    return _overflow(spark, folder, JUMP_TO_PENDING, max_age_seconds=MAX_AGE_DAYS * DAY_SECONDS)
 
 
 def stream_window_summary(spark: SparkSession, folder: str) -> DataFrame:
-    counts = run_to_table(
+    runs = run_to_table(
         spark,
         _event_slices(spark, folder),
-        lambda stream: windows.sequence_counts(stream.withWatermark("ts", "0 seconds"), "1 day"),
+        lambda stream: sequence_runs(stream.withWatermark("ts", "0 seconds"), "ts", "1 day", 1000 * DAY_SECONDS),
         "window-summary",
     )
-    return summary_output(windows.summarise_counts(counts, ELEMENTS))
+    return summary_output(windows.summarise_counts(run_counts(runs), ELEMENTS))
 
 
 def stream_window_group(spark: SparkSession, folder: str) -> DataFrame:
@@ -147,6 +154,7 @@ STREAM: dict[str, Query] = {
     "stream_seq_book": stream_seq_book,
     "seq_overflow": seq_overflow,
     "seq_overflow_pending": seq_overflow_pending,
+    "seq_overflow_age": seq_overflow_age,
     "stream_window_summary": stream_window_summary,
     "stream_window_group": stream_window_group,
     "stream_group_into_batches": stream_group_into_batches,

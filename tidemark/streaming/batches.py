@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -54,15 +54,15 @@ def cut_lists(open_: pd.DataFrame, rows: pd.DataFrame, size: int) -> tuple[pd.Da
     return groups.assign(made=made + full, items=rest), lists
 
 
-class ListCollector(StatefulProcessor):
-    """Sends full lists at once and the rest of a group when the watermark passes its window's end."""
+class OpenWindows(StatefulProcessor):
+    """What the open windows of a bucket hold, as one Arrow batch, and a timer at the earliest of their ends.
 
-    def __init__(self, size: int, window_millis: int, key_type: pa.DataType):
-        self.size = size
+    A subclass adds the rows of a micro-batch with ``add``, which also returns what is sent at once, and sends what windows that are over hold with ``over``.
+    """
+
+    def __init__(self, window_millis: int, schema: pa.Schema):
         self.window_millis = window_millis
-        self.schema = pa.schema(
-            [("group_key", key_type), ("window_millis", pa.int64()), ("made", pa.int64()), ("items", pa.list_(pa.int64()))]
-        )
+        self.schema = schema
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -84,25 +84,53 @@ class ListCollector(StatefulProcessor):
         self.handle.registerTimer(int(open_["window_millis"].min()) + self.window_millis)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        open_, lists = cut_lists(self._open(), pd.concat(list(rows), ignore_index=True), self.size)
+        open_, sent = self.add(self._open(), pd.concat(list(rows), ignore_index=True))
         self._keep(open_)
-        yield from _sent(lists)
+        if len(sent):
+            yield sent
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         open_ = self._open()
         over = open_["window_millis"] + self.window_millis <= timerValues.getCurrentWatermarkInMs()
         self._keep(open_[~over])
-        yield from _sent(open_[over & (open_["items"].map(len) > 0)].rename(columns={"made": "list_no"}))
+        sent = self.over(open_[over])
+        if len(sent):
+            yield sent
 
 
-def _sent(lists: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    if len(lists):
-        yield lists.assign(size=lists["items"].map(len).astype("int64"))[[*_GROUP, "list_no", "size", "items"]]
+class ListCollector(OpenWindows):
+    """Sends full lists at once and the rest of a group when the watermark passes its window's end."""
+
+    def __init__(self, size: int, window_millis: int, key_type: pa.DataType):
+        self.size = size
+        fields = [("group_key", key_type), ("window_millis", pa.int64()), ("made", pa.int64()), ("items", pa.list_(pa.int64()))]
+        super().__init__(window_millis, pa.schema(fields))
+
+    def add(self, open_: pd.DataFrame, rows: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+        open_, lists = cut_lists(open_, rows, self.size)
+        return open_, _sent(lists)
+
+    def over(self, ended: pd.DataFrame) -> pd.DataFrame:
+        return _sent(ended[ended["items"].map(len) > 0].rename(columns={"made": "list_no"}))
+
+
+def _sent(lists: pd.DataFrame) -> pd.DataFrame:
+    return lists.assign(size=lists["items"].map(len).astype("int64"))[[*_GROUP, "list_no", "size", "items"]]
 
 
 ship_by_value(__name__)
 
 
+def bucket(rows: DataFrame, per_partition: int, *by: Column) -> Column:
+    """The bucket of a row; the number of buckets follows that of the state partitions, which a checkpoint fixes as well."""
+    buckets = per_partition * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return F.pmod(F.xxhash64(*by), F.lit(buckets)).alias("bucket")
+
+
+def key_type(rows: DataFrame, key: str) -> pa.DataType:
+    return pa.int64() if isinstance(rows.schema[key].dataType, T.IntegralType) else pa.string()
+
+
 def collect_lists(
     rows: DataFrame,
     key: str,
@@ -114,7 +142,6 @@ def collect_lists(
     buckets_per_partition: int = BUCKETS_PER_PARTITION,
 ) -> DataFrame:
     """Lists of ``item`` (an integer) per key and tumbling window of a watermarked stream: group_key, window_start, list_no, size, items; append mode."""
-    buckets = buckets_per_partition * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     output = T.StructType(
         [
             T.StructField("group_key", rows.schema[key].dataType),
@@ -124,17 +151,16 @@ def collect_lists(
             T.StructField("items", T.ArrayType(T.LongType())),
         ]
     )
-    key_type = pa.int64() if isinstance(rows.schema[key].dataType, T.IntegralType) else pa.string()
     # Windows are whole milliseconds here, as times without zone would depend on that of the Python worker.
     flat = rows.select(
         F.col(key).alias("group_key"),
         F.unix_millis(F.window(F.col(ts), width)["start"]).alias("window_millis"),
         F.col(item).cast("bigint").alias("item"),
-        F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).alias("bucket"),
+        bucket(rows, buckets_per_partition, F.col(key)),
         ts,
     )
     lists = flat.groupBy("bucket").transformWithStateInPandas(
-        ListCollector(size, window_millis, key_type), output, "Append", "EventTime"
+        ListCollector(size, window_millis, key_type(rows, key)), output, "Append", "EventTime"
     )
     return lists.select("group_key", F.timestamp_millis("window_millis").alias("window_start"), "list_no", "size", "items")
 
