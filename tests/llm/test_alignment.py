@@ -1,4 +1,5 @@
 import hashlib
+import json
 from collections import Counter
 from itertools import accumulate, pairwise
 
@@ -137,6 +138,16 @@ def test_units_give_the_tokens_of_the_whole_text(text):
         assert row["sha256"][0] == hashlib.sha256(expected.encode()).hexdigest()
 
 
+def test_merger_gives_the_ids_of_the_tokenizer(spark):
+    texts = [r.text for r in table(spark, "/root/testdata/sf0.01", "documents").select("text").collect()] + ODD_TEXTS
+    assert ENCODER.merger is not None
+    for text in texts:
+        assert ENCODER.merger.encode_ordinary(text) == TOKENIZER.encode(text, add_special_tokens=False).ids
+    changed = json.loads(open(A).read())
+    changed["model"]["merges"][0], changed["model"]["merges"][1] = changed["model"]["merges"][1], changed["model"]["merges"][0]
+    assert alignment.merger(json.dumps(changed)) is None
+
+
 ENCODER = alignment.PairEncoder(open(A).read(), open(B, "rb").read())
 
 

@@ -6,7 +6,7 @@ a leaf, a group. Tokens of a group whose byte ranges overlap are linked.
 
 Neither vocabulary joins across a border between other characters and white space that begins with a blank, tab or line feed, so such
 borders are cuts known beforehand: texts are encoded and aligned by the units between them, each distinct unit of a block once, many units in a row. Units
-of up to ``CACHED_CHARACTERS`` that occur again are kept by every task, the less used ones let go. If the pieces of a vocabulary do cross such borders (``crossing``),
+of up to ``CACHED_CHARACTERS`` that occur again are kept by every worker, the less used ones let go. If the pieces of a vocabulary do cross such borders (``crossing``),
 whole texts are the units.
 
 Documents form blocks of about ``BLOCK_CHARACTERS``, one row each: what is said per document, the block's distinct id pairs with the number of documents
@@ -21,6 +21,7 @@ own, and count as such; a very long text is a block of its own; an empty table g
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -30,6 +31,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +46,9 @@ BLOCK_CHARACTERS = 4_000_000
 BATCH_UNITS = 4096
 CACHED_UNITS = 150_000
 CACHED_CHARACTERS = 48
+LONG_UNIT = 1000
+# Fixed value: the pattern by which byte-level vocabularies cut texts.
+BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SIGNS = b",|;\n"
 COMMA, BAR, SEMICOLON, END = range(4)
 
@@ -102,6 +107,20 @@ def byte_characters() -> dict[str, int]:
     return {chr(byte): byte for byte in plain} | {chr(256 + i): byte for i, byte in enumerate(others)}
 
 
+def merger(byte_vocabulary: str) -> tiktoken.Encoding | None:
+    """The vocabulary for the quicker library, where merging by rank is merging by id and the text is cut by the byte-level pattern."""
+    parsed = json.loads(byte_vocabulary)
+    entries, cutter = parsed["model"]["vocab"], parsed["pre_tokenizer"] or {}
+    merges = [pair if isinstance(pair, str) else " ".join(pair) for pair in parsed["model"]["merges"]]
+    by_id = [entries.get(pair.replace(" ", "")) for pair in merges] == list(range(256, 256 + len(merges)))
+    plain = parsed["normalizer"] is None and cutter.get("type") == "ByteLevel" and cutter.get("use_regex") and not cutter.get("add_prefix_space")
+    if not (by_id and plain):
+        return None
+    known = byte_characters()
+    ranks = {bytes(known[c] for c in entry): i for entry, i in entries.items() if all(c in known for c in entry)}
+    return tiktoken.Encoding("pairs", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 def byte_tokens(tokenizer: Tokenizer) -> dict[int, bytes]:
     known = byte_characters()
     return {i: bytes(known[c] for c in entry) for entry, i in tokenizer.get_vocab(with_added_tokens=False).items()}
@@ -130,6 +149,7 @@ class PairEncoder:
         self.b = sentencepiece.SentencePieceProcessor(model_proto=piece_model)
         self.a_bytes, self.b_bytes = byte_tokens(self.a), piece_tokens(self.b)
         self.blank = self.b.piece_to_id("▁")
+        self.merger = merger(byte_vocabulary)
         self.crossing = any(re.search(rb"[^ ] |[\n\t]", one) for i, one in enumerate(self.b_bytes) if not self.b.is_byte(i))
         self.a_sizes = np.array([len(self.a_bytes.get(i, b"")) for i in range(max(self.a_bytes) + 1)])
         self.b_sizes = np.array([len(one) for one in self.b_bytes])
@@ -140,6 +160,12 @@ class PairEncoder:
     def units(self, text: str) -> list[str]:
         return [" " + text] if self.crossing else UNITS.findall(" " + text)
 
+    def _a_ids(self, text: str, units: int) -> list[int]:
+        """The merger's work on one word grows with the square of its length, so long units alone go to the tokenizer."""
+        if self.merger and (units > 1 or len(text) <= LONG_UNIT):
+            return self.merger.encode_ordinary(text)
+        return self.a.encode(text, add_special_tokens=False).ids
+
     def _b_ids(self, text: str) -> list[int] | None:
         """The vocabulary puts a blank before what it encodes: the text's own first blank, or else one that is taken off again."""
         if text == " ":
@@ -153,7 +179,7 @@ class PairEncoder:
         """Units in a row, each ending in no white space or alone; those that don't give their bytes back are found by halving."""
         text = "".join(units)
         raw = text.encode()
-        a, b = self.a.encode(text, add_special_tokens=False).ids, self._b_ids(text)
+        a, b = self._a_ids(text, len(units)), self._b_ids(text)
         if b is not None and b"".join(map(self.a_bytes.__getitem__, a)) == raw == b"".join(map(self.b_bytes.__getitem__, b)):
             ends = np.cumsum([len(unit.encode()) for unit in units])
             return self._aligned(np.array(a, np.int64), np.array(b, np.int64), ends)
@@ -194,8 +220,9 @@ class PairEncoder:
         missing = [i for i, one in enumerate(found) if one is None]
         keep = times > 1
         keep[[i for i, one in enumerate(found) if one is not None]] = True
-        alone = [i for i in missing if units[i][-1].isspace()]
-        joined = [i for i in missing if not units[i][-1].isspace()]
+        alone = [i for i in missing if units[i][-1].isspace() or len(units[i]) > LONG_UNIT]
+        single = set(alone)
+        joined = [i for i in missing if i not in single]
         batches = [[i] for i in alone] + [joined[first : first + BATCH_UNITS] for first in range(0, len(joined), BATCH_UNITS)]
         for batch in batches:
             for i, unit in zip(batch, self.encode([units[i] for i in batch]), strict=True):
@@ -208,6 +235,12 @@ class PairEncoder:
         return found
 
 
+@lru_cache(1)
+def worker_encoder(byte_vocabulary: str, piece_model: bytes) -> PairEncoder:
+    """One for all tasks that a worker runs, so that they share what is kept."""
+    return PairEncoder(byte_vocabulary, piece_model)
+
+
 def block_row(encoder: PairEncoder, number: int, ids: list, texts: list[str | None]) -> dict:
     """The row of a block of documents."""
     numbers: dict[str, int] = {}
@@ -261,7 +294,7 @@ def block_row(encoder: PairEncoder, number: int, ids: list, texts: list[str | No
 
 def _block_reader(byte_vocabulary: str, piece_model: bytes, schema: pa.Schema) -> Callable:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PairEncoder(byte_vocabulary, piece_model)
+        encoder = worker_encoder(byte_vocabulary, piece_model)
         number = TaskContext.get().partitionId() << 32
         ids, texts, size = [], [], 0
 
