@@ -111,3 +111,17 @@ def test_sequences_hold_the_ids(spark):
     sizes = {r.sequence_id: r.n for r in placed.groupBy("sequence_id").agg({"length": "sum"}).toDF("sequence_id", "n").collect()}
     found = packing.sequences(placed, with_ids).collect()
     assert {r.sequence_id: len(r.ids) for r in found} == sizes
+
+
+def test_evicted_words_are_encoded_again(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 40)
+    random.seed(8)
+    encoder = tokens.WordEncoder(open(PATH).read(), 1)
+    for _ in range(30):
+        texts = [" ".join(random.choices(["the", "of", "and"] + [f"word{random.randint(0, 99)}" for _ in range(9)], k=12)) for _ in range(2)]
+        data = "".join(texts).encode()
+        offsets = np.array([0, len(texts[0].encode()), len(data)])
+        ids, ends = encoder.encode(np.frombuffer(data, np.uint8), offsets)
+        for text, start, end in zip(texts, ends, ends[1:]):
+            assert ids[start:end].tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids + [1]
+        assert len(encoder.places) == encoder.words - 1 <= 60

@@ -17,7 +17,7 @@ from tidemark.llm import spans
 
 ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")  # fixed value of the vocabulary, for printable ASCII
 PLAIN = re.compile(r"[!-~]+")
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 CACHE_PARTS = 300_000
 
 
@@ -28,14 +28,25 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.end_id = end_id
         self.parts: dict[str, bytes] = {}
-        self._clear()
-
-    def _clear(self) -> None:
+        # Word 0 is the end of a document; ``blocks`` counts the blocks that had a word.
         self.places: dict[int, int] = {}
-        self.starts, self.lengths = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.keys, self.blocks, self.starts, self.lengths = (np.zeros(1 << 16, kind) for kind in (np.uint64, np.int64, np.int64, np.int64))
         self.ids = np.zeros(1 << 18, np.uint32)
         self.ids[0], self.lengths[0], self.used, self.words = self.end_id, 1, 1, 1
 
+    def _evict(self) -> None:
+        """Keep the half of the words that most blocks had, and count anew."""
+        kept = 1 + np.sort(np.argsort(-self.blocks[1 : self.words], kind="stable")[: CACHE_WORDS // 2])
+        kept = np.concatenate([[0], kept])
+        lengths = self.lengths[kept]
+        stops = np.cumsum(lengths)
+        ids = self.ids[np.repeat(self.starts[kept] - (stops - lengths), lengths) + np.arange(stops[-1])]
+        count, self.used = len(kept), len(ids)
+        self.words = count
+        self.ids[: self.used] = ids
+        self.starts[:count], self.lengths[:count], self.keys[:count], self.blocks[:count] = stops - lengths, lengths, self.keys[kept], 0
+        self.places = dict(zip(self.keys[1:count].tolist(), range(1, count), strict=True))
+
     def _part(self, part: str) -> bytes:
         found = self.parts.get(part)
         if found is None:
@@ -62,12 +73,15 @@ class WordEncoder:
     def _add(self, keys: list[int], found: list[bytes]) -> None:
         lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
         while self.words + len(found) > len(self.starts):
-            self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
+            arrays = (self.keys, self.blocks, self.starts, self.lengths)
+            self.keys, self.blocks, self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in arrays)
         while self.used + lengths.sum() > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         ends = self.used + np.cumsum(lengths)
         self.starts[self.words : self.words + len(found)] = ends - lengths
         self.lengths[self.words : self.words + len(found)] = lengths
+        self.keys[self.words : self.words + len(found)] = np.array(keys, np.uint64)
+        self.blocks[self.words : self.words + len(found)] = 0
         self.ids[self.used : ends[-1]] = np.frombuffer(b"".join(found), np.uint32)
         self.places.update(zip(keys, range(self.words, self.words + len(found)), strict=True))
         self.used, self.words = int(ends[-1]), self.words + len(found)
@@ -78,13 +92,14 @@ class WordEncoder:
         hashes = spans.span_hashes(spans.prefix_sums(spans.byte_values()[data]), starts, ends)
         keys, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         if self.words + len(keys) > CACHE_WORDS:
-            self._clear()
+            self._evict()
         keys = keys.tolist()
         missing = [i for i, key in enumerate(keys) if key not in self.places]
         if missing:
             text = [data[starts[first[i]] : ends[first[i]]].tobytes().decode("utf-8", "replace") for i in missing]
             self._add([keys[i] for i in missing], self._encode(text))
         places = np.fromiter((self.places[key] for key in keys), np.int64, len(keys))
+        self.blocks[places] += 1
         ends_of_docs = np.searchsorted(starts, offsets[1:])
         words = np.insert(places[inverse.ravel()] if len(keys) else places, ends_of_docs, 0)
         lengths = self.lengths[words]
