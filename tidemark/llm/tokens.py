@@ -17,8 +17,8 @@ from tidemark.llm import spans
 
 ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")  # fixed value of the vocabulary, for printable ASCII
 PLAIN = re.compile(r"[!-~]+")
-CACHE_WORDS = 600_000
-CACHE_PARTS = 300_000
+CACHE_WORDS = 500_000
+CACHE_PARTS = 200_000
 
 
 class WordEncoder:
