@@ -114,7 +114,9 @@ def test_ticks(messages, parts):
             waiting = [s for s in came if came[s] <= number and done.get(s, number) >= number]
             released = [s for s in done if done[s] == number]
             assert row["pending_size"] == len(waiting)
+            assert row["pending_first"] == min(waiting)
             assert row["pending_last"] == max(s for s in came if came[s] <= number)
+            assert row["remaining_first"] == min((s for s in waiting if s not in released), default=None)
             assert row["calculated"] == len(released)
             assert row["remaining"] == len(waiting) - len(released)
             assert row["calc_from"] == (min(released) if released else None)
@@ -125,9 +127,9 @@ def test_idle_ticks_fill_the_time_between_reports(messages):
     """With the reports they cover every tick from the first report to the last, while anything waits."""
     reports, idle = {}, {}
     for row in sequencing.ticks(messages, 1).collect():
-        reports.setdefault(row["channel"], {})[row["tick"]] = row["remaining"]
+        reports.setdefault(row["channel"], {})[row["tick"]] = row["remaining"], row["remaining_first"]
     for row in sequencing.idle_ticks(messages, 1).collect():
-        assert row["pending_size"] == reports[row["channel"]][row["tick_from"] - 1]
+        assert (row["pending_size"], row["pending_first"]) == reports[row["channel"]][row["tick_from"] - 1]
         last = max(reports[row["channel"]])
         for tick in range(row["tick_from"], (row["tick_to"] or last) + 1):
             idle.setdefault(row["channel"], set()).add(tick)
@@ -136,7 +138,7 @@ def test_idle_ticks_fill_the_time_between_reports(messages):
         left = 0
         for tick in range(min(known), max(known) + 1):
             if tick in known:
-                left = known[tick]
+                left = known[tick][0]
             else:
                 assert (tick in idle.get(channel, set())) == (left > 0)
 

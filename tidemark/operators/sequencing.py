@@ -26,9 +26,10 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators import ranges
+from tidemark.operators import ranges, search
 from tidemark.operators.ranges import RANGE
 from tidemark.operators.routing import ERROR
+from tidemark.session import scratch_path
 
 PRICE_TYPE = "decimal(38,2)"
 PRICE_STEP = Decimal("0.01")
@@ -73,7 +74,7 @@ def first_arrivals(messages: DataFrame) -> DataFrame:
 def _in_ranges(messages: DataFrame, parts: int | None) -> DataFrame:
     """The distinct messages by range, with what is known of them inside it.
 
-    ``first`` is the earliest (arrival, sequence) of the channel in the range, ``next`` the following sequence, ``latest`` the latest
+    ``first`` is the earliest (arrival, sequence) of the channel in the range, ``next`` the following sequence, ``number`` counts from 0, ``latest`` the latest
     arrival so far, and ``latest_after`` that of the rows above ``first``.
     """
     distinct = known_messages(messages).groupBy("channel", "sequence").agg(F.min("arrival").alias("arrival"))
@@ -86,6 +87,7 @@ def _in_ranges(messages: DataFrame, parts: int | None) -> DataFrame:
     return placed.withColumns(
         {
             "next": F.lead("sequence").over(in_order),
+            "number": (F.row_number().over(in_order) - 1).cast("bigint"),
             "latest": F.max("arrival").over(so_far),
             "latest_after": F.max(above).over(so_far),
         }
@@ -98,7 +100,7 @@ def _gap_after() -> Column:
 
 
 def _runs(rows: DataFrame) -> DataFrame:
-    """One row per channel and range: ``base``, ``run_end``, ``next_low`` and ``earlier_latest``, combined along the channel.
+    """One row per channel and range: ``base``, ``run_end``, ``next_low``, ``earlier_latest`` and ``earlier_rows``, combined along the channel.
 
     A range says two things of itself: where its first gap is and how late its arrivals are, from its lowest sequence on, which counts if the
     base lies in an earlier range, and from its own first arrival on, which counts if that is the base. A range without a gap hands the
@@ -113,6 +115,7 @@ def _runs(rows: DataFrame) -> DataFrame:
         F.min(F.when(after, _gap_after())).alias("gap_after"),
         F.max("arrival").alias("latest"),
         F.max("latest_after").alias("latest_after"),
+        F.count(F.lit(1)).alias("rows"),
     )
     channel = Window.partitionBy("channel")
     along = channel.orderBy(RANGE)
@@ -131,14 +134,15 @@ def _runs(rows: DataFrame) -> DataFrame:
             {
                 "run_end": F.min("stop").over(channel),
                 "earlier_latest": F.max("run_latest").over(along.rowsBetween(Window.unboundedPreceding, -1)),
+                "earlier_rows": F.sum("rows").over(along.rowsBetween(Window.unboundedPreceding, -1)),
             }
         )
-        .select("channel", RANGE, "base", "run_end", "next_low", "earlier_latest", "high", "ranges")
+        .select("channel", RANGE, "base", "run_end", "next_low", "earlier_latest", "earlier_rows", "high", "ranges")
     )
 
 
 def _with_runs(rows: DataFrame) -> DataFrame:
-    """The rows with ``base``, ``base_arrival``, ``run_end``, ``next``, also that of another range, and ``earlier_latest``.
+    """The rows with ``base``, ``base_arrival``, ``run_end``, ``next``, also that of another range, ``number`` in the channel and ``run_latest``.
 
     A channel that lies in one range has all of it there. Only the first and the last channel of a range can lie in others too, so
     that at most two rows per range are sent to the tasks.
@@ -148,7 +152,7 @@ def _with_runs(rows: DataFrame) -> DataFrame:
         (F.col("sequence") >= F.col("first.sequence")) & (F.col("next").isNull() | _gap_after().isNotNull()), F.col("sequence")
     )
     spread = _runs(rows).filter("ranges > 1").select(
-        *[F.col(name).alias(f"_across_{name}") for name in ("channel", RANGE, "base", "run_end", "next_low", "earlier_latest")]
+        *[F.col(name).alias(f"_across_{name}") for name in ("channel", RANGE, "base", "run_end", "next_low", "earlier_latest", "earlier_rows")]
     )
     own = rows.withColumn("own_end", F.min(stop).over(here))
     joined = own.join(F.broadcast(spread), ranges.same(["channel", RANGE], "_across_"), "left")
@@ -161,6 +165,7 @@ def _with_runs(rows: DataFrame) -> DataFrame:
         base["arrival"].alias("base_arrival"),
         F.coalesce("_across_run_end", "own_end").alias("run_end"),
         F.coalesce("next", "_across_next_low").alias("next"),
+        (F.col("number") + F.coalesce("_across_earlier_rows", F.lit(0))).alias("number"),
         F.greatest(
             "_across_earlier_latest", F.when(F.col("first").eqNullSafe(base), F.col("latest_after")).otherwise(F.col("latest"))
         ).alias("run_latest"),
@@ -168,11 +173,11 @@ def _with_runs(rows: DataFrame) -> DataFrame:
 
 
 def ordered_messages(messages: DataFrame, parts: int | None = None) -> DataFrame:
-    """Distinct messages with ``base``, ``base_arrival``, ``run_end``, ``next`` and ``release``.
+    """Distinct messages with ``base``, ``base_arrival``, ``run_end``, ``next``, ``release`` and ``number``.
 
     ``run_end`` is the last sequence of the contiguous run after the base. ``release`` is, for rows of
     that run, the arrival that completes the run up to the row, i.e. the latest arrival among the
-    run's rows so far; NULL for all other rows. ``parts`` is the number of ranges, by default that of the shuffle partitions.
+    run's rows so far; NULL for all other rows. ``number`` counts the channel's distinct sequences from 0. ``parts`` is the number of ranges, by default that of the shuffle partitions.
     """
     in_run = (F.col("sequence") > F.col("base")) & (F.col("sequence") <= F.col("run_end"))
     return _with_runs(_in_ranges(messages, parts)).select(
@@ -184,6 +189,7 @@ def ordered_messages(messages: DataFrame, parts: int | None = None) -> DataFrame
         "run_end",
         "next",
         F.when(in_run, F.col("run_latest")).alias("release"),
+        "number",
     )
 
 
@@ -294,29 +300,68 @@ def _tick(at: str, start: str, seconds: int) -> Column:
     return (F.floor(elapsed / F.lit(seconds * 1_000_000)) + 1).cast("bigint")
 
 
+def _first_left(numbered: DataFrame) -> DataFrame:
+    """For every tick that releases trades: the smallest sequence that still waits after it (channel, tick, first_left).
+
+    That is the first sequence above the book that had arrived by then, a search of its own for each book.
+    """
+    books = (
+        numbered.filter("done is not null")
+        .groupBy("channel", F.col("done").alias("tick"))
+        .agg(F.max("number").alias("at"))
+        .withColumn("bound", F.col("tick"))
+    )
+    # The base and what lies below it never waits.
+    came = F.when(F.col("sequence") > F.col("base"), F.col("came"))
+    arrived = numbered.select("channel", "number", F.col("sequence").alias("place"), came.alias("value"))
+    return search.first_within(arrived, books, ["channel"]).select("channel", "tick", F.col("place").alias("first_left"))
+
+
 def ticks(messages: DataFrame, seconds: int, parts: int | None = None) -> DataFrame:
     """The report of every tick in which a new trade arrived.
 
-    Ticks count from the channel's first arrival. ``pending_size`` and ``pending_last`` are taken
-    before the tick drains, ``remaining`` after it.
+    Ticks count from the channel's first arrival. ``pending_size``, ``pending_first`` and ``pending_last`` are taken
+    before the tick drains, ``remaining`` and ``remaining_first`` after it.
     """
-    rows = ordered_messages(messages, parts).filter(F.col("sequence") > F.col("base"))
+    ordered = ordered_messages(messages, parts).select(
+        "channel",
+        "sequence",
+        "number",
+        "base",
+        _tick("arrival.at", "base_arrival.at", seconds).alias("came"),
+        _tick("release.at", "base_arrival.at", seconds).alias("done"),
+    )
+    # Written, as arrivals, releases and the search all read it.
+    path = scratch_path(messages.sparkSession, "ticks")
+    ordered.write.parquet(path)
+    numbered = messages.sparkSession.read.schema(ordered.schema).parquet(path)
+    trades = numbered.filter(F.col("sequence") > F.col("base"))
     # Arrivals and releases are summed apart, so that no row is doubled; only ticks meet.
     arrived = (
-        rows.groupBy("channel", _tick("arrival.at", "base_arrival.at", seconds).alias("tick"))
-        .agg(F.count(F.lit(1)).alias("arrived"), F.max("sequence").alias("seen"), F.min("base").alias("book"))
+        trades.groupBy("channel", F.col("came").alias("tick"))
+        .agg(
+            F.count(F.lit(1)).alias("arrived"),
+            F.min("sequence").alias("low"),
+            F.max("sequence").alias("seen"),
+            F.min("base").alias("book"),
+        )
         .withColumn("calculated", F.lit(0).cast("bigint"))
     )
+    nothing = F.lit(None).cast("bigint")
     released = (
-        rows.filter(F.col("release").isNotNull())
-        .groupBy("channel", _tick("release.at", "base_arrival.at", seconds).alias("tick"))
+        trades.filter(F.col("done").isNotNull())
+        .groupBy("channel", F.col("done").alias("tick"))
         .agg(F.count(F.lit(1)).alias("calculated"), F.max("sequence").alias("book"))
-        .withColumns({"arrived": F.lit(0).cast("bigint"), "seen": F.lit(None).cast("bigint")})
+        .withColumns({"arrived": F.lit(0).cast("bigint"), "low": nothing, "seen": nothing})
     )
     per_tick = (
         arrived.unionByName(released)
         .groupBy("channel", "tick")
-        .agg(*[F.sum(name).alias(name) for name in ("arrived", "calculated")], *[F.max(name).alias(name) for name in ("seen", "book")])
+        .agg(
+            *[F.sum(name).alias(name) for name in ("arrived", "calculated")],
+            *[F.max(name).alias(name) for name in ("low", "seen", "book")],
+        )
+        .join(_first_left(numbered), ["channel", "tick"], "left")
     )
     reports = ranges.running(
         per_tick,
@@ -327,7 +372,10 @@ def ticks(messages: DataFrame, seconds: int, parts: int | None = None) -> DataFr
     )
     waiting = F.col("came") - F.col("left")
     released = F.col("calculated") > 0
-    return reports.select(
+    # While the book stays, the first waiting sequence is the least of what was left and what has come since.
+    added = F.when(released, F.col("first_left")).otherwise(F.col("low"))
+    firsts = ranges.running(reports, ["channel", "book_sequence"], ["tick"], maxima={"_least": -added})
+    return firsts.select(
         "channel",
         "tick",
         "book_sequence",
@@ -335,15 +383,19 @@ def ticks(messages: DataFrame, seconds: int, parts: int | None = None) -> DataFr
         "calculated",
         F.when(released, F.col("book") - F.col("calculated") + 1).alias("calc_from"),
         F.when(released, F.col("book")).alias("calc_to"),
+        F.when(released, F.col("book") - F.col("calculated") + 1).otherwise(-F.col("_least")).alias("pending_first"),
         "pending_last",
         (waiting + F.col("calculated")).alias("pending_size"),
         waiting.alias("remaining"),
+        (-F.col("_least")).alias("remaining_first"),
     )
 
 
 def idle_ticks(messages: DataFrame, seconds: int, parts: int | None = None) -> DataFrame:
     """The ticks in which nothing arrives while trades wait, as ranges; one without end lasts until now."""
-    reports = ticks(messages, seconds, parts).select("channel", "tick", "remaining", "pending_last", (-F.col("tick")).alias("_back"))
+    reports = ticks(messages, seconds, parts).select(
+        "channel", "tick", "remaining", "remaining_first", "pending_last", (-F.col("tick")).alias("_back")
+    )
     nearest = ranges.running(reports, ["channel"], ["_back"], maxima={"_later": F.col("_back")}, own=False)
     following = -F.col("_later")
     return nearest.filter((F.col("remaining") > 0) & (following.isNull() | (following > F.col("tick") + 1))).select(
@@ -351,6 +403,7 @@ def idle_ticks(messages: DataFrame, seconds: int, parts: int | None = None) -> D
         (F.col("tick") + 1).alias("tick_from"),
         (following - 1).alias("tick_to"),
         F.col("remaining").alias("pending_size"),
+        F.col("remaining_first").alias("pending_first"),
         "pending_last",
     )
 

@@ -136,9 +136,11 @@ SELECT x.channel, x.tick,
        count(*) FILTER (WHERE t.done = x.tick) AS calculated,
        min(t.sequence) FILTER (WHERE t.done = x.tick) AS calc_from,
        max(t.sequence) FILTER (WHERE t.done = x.tick) AS calc_to,
+       min(t.sequence) FILTER (WHERE t.came <= x.tick AND coalesce(t.done, x.tick) >= x.tick) AS pending_first,
        max(t.sequence) FILTER (WHERE t.came <= x.tick) AS pending_last,
        count(*) FILTER (WHERE t.came <= x.tick AND coalesce(t.done, x.tick) >= x.tick) AS pending_size,
-       count(*) FILTER (WHERE t.came <= x.tick AND coalesce(t.done, x.tick + 1) > x.tick) AS remaining
+       count(*) FILTER (WHERE t.came <= x.tick AND coalesce(t.done, x.tick + 1) > x.tick) AS remaining,
+       min(t.sequence) FILTER (WHERE t.came <= x.tick AND coalesce(t.done, x.tick + 1) > x.tick) AS remaining_first
 FROM x JOIN t ON t.channel = x.channel GROUP BY x.channel, x.base, x.tick"""
 
 LOAD_APPEND = f"""
@@ -289,7 +291,8 @@ FROM e JOIN b ON b.channel = e.channel""",
     "seq_emissions": SEQ_EMISSIONS,
     "seq_ticks": SEQ_TICKS,
     "seq_idle_ticks": f"""
-SELECT channel, tick + 1 AS tick_from, following - 1 AS tick_to, remaining AS pending_size, pending_last
+SELECT channel, tick + 1 AS tick_from, following - 1 AS tick_to, remaining AS pending_size,
+       remaining_first AS pending_first, pending_last
 FROM (SELECT *, lead(tick) OVER (PARTITION BY channel ORDER BY tick) AS following FROM ({SEQ_TICKS}))
 WHERE remaining > 0 AND (following IS NULL OR following > tick + 1)""",
     "seq_gaps": f"""
