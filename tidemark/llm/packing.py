@@ -30,6 +30,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 
 from tidemark.llm import spans
 from tidemark.llm.tables import written
+from tidemark.llm.workers import releasing
 
 GROUP_ROWS = 8192
 NEARLY_FULL = 0.98
@@ -83,7 +84,7 @@ def pieces(
                     columns.append(pa.array([part.astype(np.int32) for part in parts], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return narrow.mapInArrow(run, schema)
+    return narrow.mapInArrow(releasing(run), schema)
 
 
 def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
