@@ -121,3 +121,25 @@ def test_columns_that_clash_with_those_of_the_sample(made):
     one = toxicity.score(docs, toxicity.train(docs, labels)).collect()
     other = toxicity.score(clashing, toxicity.train(clashing, labels)).collect()
     assert sorted(one) == sorted(other)
+
+
+def test_learns_from_every_labelled_row(spark, monkeypatch):
+    """A few toxic rows have a word of their own; every shard holds few of them, and a bound on rows would leave most out."""
+    monkeypatch.setattr(toxicity, "MAX_LABELLED", 200)
+    random.seed(6)
+    words = [f"rare{i}x" for i in range(80)]
+    rows, labels = [], []
+    for i in range(2400):
+        toxic = i % 3 == 0
+        text = random.choices(["an", "to", "re", "shi", "lo", "mu"], k=20)
+        if toxic:
+            text.insert(3, words[i // 3 % 80])
+        rows.append((i, " ".join(text), "en"))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    data = np.frombuffer(" ".join(words).encode(), np.uint8)
+    numbers, _ = toxicity.block_numbers(data, np.array([0, len(data)]))
+    assert np.isin(numbers[:, 0], model.known).all()
+    scores = {r.doc_id: r.score >= r.threshold for r in toxicity.score(docs, model).collect()}
+    assert np.mean([scores[i] == bool(kind) for i, kind in labels]) > 0.97
