@@ -27,7 +27,10 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group linked by five-word shingles with Jaccard similarity 0.8 or more."""
+    """The document with the smallest id of every group linked by five-word shingles with Jaccard similarity 0.8 or more.
+
+    Links come from SimHash fingerprints, confirmed on the shingles; those whose fingerprints are farther apart from the shingles themselves.
+    """
     return near_copies.survivors(docs)
 
 

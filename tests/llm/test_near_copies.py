@@ -95,3 +95,14 @@ def test_bitmaps_lose_no_pair():
     kept = near_copies._may_reach(columns, a, b, 80)
     assert similar.any() and not (similar & ~kept).any()
     assert kept.sum() < 1.3 * similar.sum() + 5
+
+
+def test_fingerprints_link_by_themselves(spark, monkeypatch):
+    """Near copies whose fingerprints are close are found by SimHash alone, and confirmed on their sets."""
+    random.seed(4)
+    base = [f"w{random.randint(0, 3000)}" for _ in range(900)]
+    other = [f"v{random.randint(0, 3000)}" for _ in range(300)]
+    rows = [(3, " ".join(base)), (1, " ".join([*base, "end"])), (2, " ".join(other)), (5, " ".join(base[:700]))]
+    monkeypatch.setattr(near_copies, "_prefixes", lambda docs, *_: docs.sparkSession.createDataFrame([], near_copies.SCHEMA))
+    found = near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert dict(map(tuple, found)) == {1: 1, 2: 2, 3: 1, 5: 5}

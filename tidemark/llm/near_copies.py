@@ -1,6 +1,7 @@
-"""Near copies by exact similarity: texts link where the Jaccard similarity of their sets of word shingles reaches a limit.
+"""Near copies by SimHash and exact similarity: texts link where the Jaccard similarity of their sets of word shingles reaches a limit.
 
-Sets that similar share a shingle among the first ``size - ceil(limit * size) + 1`` of either, in whatever order all sets
+Candidates are first of all the pairs whose SimHash fingerprints differ in at most ``LINK_RADIUS`` bits, from ``simhash``'s exact join of fingerprints. At the
+limit fingerprints differ in more bits than such a join can cut by, so the rest comes from the sets themselves. Sets that similar share a shingle among the first ``size - ceil(limit * size) + 1`` of either, in whatever order all sets
 are put; so texts meet by those shingles and no pair is missed. The order is by hash, with shingles that are frequent in a
 bounded sample last, the most frequent ones at the end: it sets how many texts meet, and changes no result.
 
@@ -29,6 +30,7 @@ from tidemark.llm.workers import releasing
 
 SAMPLE = 20_000
 FREQUENT = 20
+LINK_RADIUS = 3
 RADIUS = 48
 PAIR_BLOCK = 1 << 22
 BITMAP = 1024
@@ -92,20 +94,32 @@ def frequent(docs: DataFrame, words: int, text: str) -> tuple[np.ndarray, np.nda
 
 
 def _classes(docs: DataFrame, words: int, ident: str, text: str) -> DataFrame:
-    """``doc_id``, ``key`` of its set and ``text`` of every row."""
+    """``doc_id``, ``key`` of its set, its SimHash fingerprint ``fp`` and ``text`` of every row."""
     narrow = docs.select(docs[ident].alias("doc_id"), docs[text].cast("binary").alias("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [np.zeros(0, np.int64)]
+            keys, prints = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for _, data, offsets in spans.blocks(batch.column(1)):
                 hashes, _, first = block_sets(data, offsets, words)
                 keys.append(set_keys(hashes, first))
-            columns = [batch.column(0), pa.array(np.concatenate(keys)), batch.column(1)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "text"])
+                prints.append(majorities(hashes, first).view(np.int64))
+            columns = [batch.column(0), pa.array(np.concatenate(keys)), pa.array(np.concatenate(prints)), batch.column(1)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "fp", "text"])
 
-    return narrow.mapInArrow(releasing(run), f"doc_id {kind}, key long, text binary")
+    return narrow.mapInArrow(releasing(run), f"doc_id {kind}, key long, fp long, text binary")
+
+
+def fingerprint_pairs(rows: DataFrame, radius: int = LINK_RADIUS) -> DataFrame:
+    """``PAIRS`` that connect all sets ``key`` whose fingerprints ``fp`` link within ``radius`` bits; equal fingerprints by their smallest key."""
+    sets = rows.select("key", "fp").distinct()
+    classes = written(sets.groupBy("fp").agg(F.min("key").alias("least")), "prints")
+    one, other = (classes.select(F.col("fp").alias(name), F.col("least").alias(f"key_{name}")) for name in "ab")
+    near = simhash.links(classes, radius).join(one, "a").join(other, "b").select("key_a", "key_b")
+    equal = sets.join(classes, "fp").filter(F.col("key") != F.col("least")).select("key", "least")
+    ends = near.union(equal).toDF("one", "other")
+    return ends.select(F.least("one", "other").alias("a"), F.greatest("one", "other").alias("b")).distinct()
 
 
 def _prefixes(docs: DataFrame, words: int, percent: int, text: str) -> DataFrame:
@@ -288,8 +302,10 @@ def near_copies(
 ) -> DataFrame:
     """Every row's ``doc_id`` and ``component_id``, the smallest id linked to it; ``percent`` is the least similarity."""
     keyed = _classes(docs, words, ident, text)
+    rows = written(keyed.select("doc_id", "key", "fp"), "keys")
+    printed = fingerprint_pairs(rows)
     met = written(_runs(_prefixes(docs, words, percent, text), _met, SCHEMA), "met")
-    tried = written(_runs(met, _forest(percent), PAIRS).distinct(), "pairs")
+    tried = written(printed.union(_runs(met, _forest(percent), PAIRS)).distinct(), "pairs")
     nodes = written(tried.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "nodes")
     texts = keyed.select("key", "text").join(nodes, "key", "left_semi")
     sets = written(_sets(texts.groupBy("key").agg(F.first("text").alias("text")), words), "sets")
@@ -299,8 +315,7 @@ def near_copies(
     others = _runs(open_.select(*FIELDS, "root", "bits"), _apart(percent), PAIRS).distinct().join(tried, ["a", "b"], "left_anti")
     more = written(confirmed(written(others, "pairs"), sets, percent), "links")
     roots = components(links.union(more)).withColumnRenamed("node", "key")
-    rows = written(keyed.select("doc_id", "key"), "keys")
-    rooted = rows.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    rooted = rows.select("doc_id", "key").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     smallest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return rooted.join(smallest, "root").select("doc_id", "component_id")
 
