@@ -1,3 +1,4 @@
+import datetime
 import random
 from decimal import Decimal
 
@@ -211,3 +212,12 @@ def test_overflow_by_age_and_highest_waiting(spark):
         for r in emitted.orderBy("at").collect()
     ]
     assert found == [("overflow", 5, 1, 1, 4, None, 0), ("book", 7, 2, None, None, None, 0)]
+
+
+def test_classes_of_single_arrivals_need_no_join_of_all_messages(spark, tmp_path):
+    """Where a sequence comes once its class is that of the ordered row: all that is joined is broadcast."""
+    rows = [(c, s, (datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=s % 7 * 10 + c), s)) for c in range(300) for s in range(c % 5, 12)]
+    made = spark.createDataFrame(rows, "channel long, sequence long, arrival struct<at: timestamp, trade_date: bigint>")
+    found = sequencing.classify(made)
+    assert found.count() == len(rows)
+    assert "SortMergeJoin" not in found._jdf.queryExecution().toString()

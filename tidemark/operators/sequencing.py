@@ -71,17 +71,25 @@ def first_arrivals(messages: DataFrame) -> DataFrame:
     )
 
 
+def _placed(messages: DataFrame, parts: int | None) -> DataFrame:
+    """The distinct messages with ``copies`` by range, written."""
+    return ranges.dealt(first_arrivals(messages), ["channel"], ["sequence"], parts)
+
+
 def _in_ranges(messages: DataFrame, parts: int | None) -> DataFrame:
-    """The distinct messages by range, with what is known of them inside it.
+    """The distinct messages by range, with what is known of them inside it."""
+    return _inside(_placed(messages, parts).drop("copies"))
+
+
+def _inside(placed: DataFrame) -> DataFrame:
+    """Placed messages with what is known of them inside their range.
 
     ``first`` is the earliest (arrival, sequence) of the channel in the range, ``next`` the following sequence, ``number`` counts from 0, ``latest`` the latest
     arrival so far, and ``latest_after`` that of the rows above ``first``.
     """
-    distinct = known_messages(messages).groupBy("channel", "sequence").agg(F.min("arrival").alias("arrival"))
     here = Window.partitionBy("channel", RANGE)
     in_order = here.orderBy("sequence")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = ranges.dealt(distinct, ["channel"], ["sequence"], parts)
     placed = placed.withColumn("first", F.min(F.struct("arrival", "sequence")).over(here))
     above = F.when(F.col("sequence") > F.col("first.sequence"), F.col("arrival"))
     return placed.withColumns(
@@ -179,8 +187,12 @@ def ordered_messages(messages: DataFrame, parts: int | None = None) -> DataFrame
     that run, the arrival that completes the run up to the row, i.e. the latest arrival among the
     run's rows so far; NULL for all other rows. ``number`` counts the channel's distinct sequences from 0. ``parts`` is the number of ranges, by default that of the shuffle partitions.
     """
+    return _released(_in_ranges(messages, parts))
+
+
+def _released(rows: DataFrame) -> DataFrame:
     in_run = (F.col("sequence") > F.col("base")) & (F.col("sequence") <= F.col("run_end"))
-    return _with_runs(_in_ranges(messages, parts)).select(
+    return _with_runs(rows).select(
         "channel",
         "sequence",
         "arrival",
@@ -248,27 +260,35 @@ def emissions(messages: DataFrame, step: Decimal = PRICE_STEP, parts: int | None
 def classify(messages: DataFrame, parts: int | None = None) -> DataFrame:
     """Every arrival with its class: base, in_order, pending, duplicate or late.
 
-    A (channel, sequence) with very many copies is one that the adaptive join may split.
+    First arrivals are classed where they were put in order; only the messages of sequences that came more than once are looked up, so
+    that all others move no further. A (channel, sequence) with very many copies is one that the adaptive join may split.
     """
-    lookup = ordered_messages(messages, parts).select(
-        "channel", "sequence", F.col("arrival").alias("first_arrival"), "base", "base_arrival", "release"
-    )
-    key = ["channel", "sequence"]
-    copy = F.row_number().over(Window.partitionBy(*key, "arrival").orderBy(F.lit(0)))
-    joined = known_messages(messages).withColumn("copy", copy).join(lookup, key)
-    is_first = (F.col("arrival") == F.col("first_arrival")) & (F.col("copy") == 1)
-    is_base = (F.col("arrival") == F.col("base_arrival")) & (F.col("sequence") == F.col("base"))
-    arrived_late = (F.col("sequence") <= F.col("base")) | (F.col("release") < F.col("arrival"))
-    return joined.select(
-        "channel",
-        "sequence",
+    spark, key = messages.sparkSession, ["channel", "sequence"]
+    placed = _placed(messages, parts)
+    # Written, as Spark then knows how few they are.
+    path = scratch_path(spark, "repeated")
+    placed.filter("copies > 1").select(*key).write.parquet(path)
+    repeated = spark.read.schema(placed.select(*key).schema).parquet(path)
+    firsts = _released(_inside(placed.drop("copies"))).select(
+        *key,
         "arrival",
-        F.when(is_base & is_first, "base")
-        .when(arrived_late, "late")
-        .when(~is_first, "duplicate")
+        F.when(F.col("sequence") == F.col("base"), "base")
+        .when(F.col("sequence") < F.col("base"), "late")
         .when(F.col("release").isNotNull(), "in_order")
         .otherwise("pending")
         .alias("class"),
+        "release",
+    )
+    path = scratch_path(spark, "firsts")
+    firsts.write.parquet(path)
+    firsts = spark.read.schema(firsts.schema).parquet(path)
+    copy = F.row_number().over(Window.partitionBy(*key, "arrival").orderBy(F.lit(0)))
+    again = known_messages(messages).select(*key, "arrival").join(repeated, key, "left_semi").withColumn("copy", copy)
+    lookup = firsts.join(repeated, key, "left_semi").withColumnsRenamed({"arrival": "first_arrival", "class": "first_class"})
+    others = again.join(lookup, key).filter((F.col("arrival") != F.col("first_arrival")) | (F.col("copy") > 1))
+    is_late = F.col("first_class").isin("base", "late") | (F.col("release") < F.col("arrival"))
+    return firsts.select(*key, "arrival", "class").union(
+        others.select(*key, "arrival", F.when(is_late, "late").otherwise("duplicate").alias("class"))
     )
 
 
