@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.model import ORDERS, replay
-from tidemark.operators import sequencing
+from tidemark.operators import ranges, sequencing
 from tidemark.operators.ranges import RANGE
 from tidemark.sources.messages import sequenced
 from tidemark.streaming.replay import run_to_table
@@ -221,3 +221,13 @@ def test_classes_of_single_arrivals_need_no_join_of_all_messages(spark, tmp_path
     found = sequencing.classify(made)
     assert found.count() == len(rows)
     assert "SortMergeJoin" not in found._jdf.queryExecution().toString()
+
+
+def test_running_on_kept_ranges_equals_dealing_anew(spark):
+    rows = [(k, t, (7 * t + k) % 11) for k in range(3) for t in range(40)]
+    made = spark.createDataFrame(rows, "k long, t long, v long")
+    kept = ranges.running(made, ["k"], ["t"], maxima={"most": F.col("v")}, keep=True)
+    after = ranges.running(kept, ["k"], ["t"], maxima={"later": F.col("v")}, own=False, backward=True)
+    assert RANGE not in after.columns
+    expected = {(k, t): max((v for j, u, v in rows if j == k and u > t), default=None) for k, t, _ in rows}
+    assert {(r.k, r.t): r.later for r in after.collect()} == expected

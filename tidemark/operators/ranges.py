@@ -37,6 +37,13 @@ def dealt(df: DataFrame, keys: Sequence[str], order: Sequence[str], parts: int |
     return spark.read.parquet(path)
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """The rows written as they are."""
+    path = scratch_path(df.sparkSession, "ranges")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -44,18 +51,22 @@ def running(
     sums: Mapping[str, Column] | None = None,
     maxima: Mapping[str, Column] | None = None,
     own: bool = True,
+    backward: bool = False,
+    keep: bool = False,
 ) -> DataFrame:
-    """Add sums and maxima over the rows of the same key before the row, and with ``own`` over the row itself.
+    """Add sums and maxima over the rows of the same key before the row, or after it if ``backward``, and with ``own`` over the row itself.
 
+    With ``keep`` the rows keep their range. Rows that have one are not dealt again: the ranges they were given must be in order of these keys and places, too.
     ``order`` should tell all rows of a key apart; rows that it doesn't are taken in any order. Null keys are a key like
     any other, and null places come first.
     """
     sums, maxima = dict(sums or {}), dict(maxima or {})
-    placed = dealt(df, keys, order)
+    placed = _stored(df) if RANGE in df.columns else dealt(df, keys, order)
+    turned = F.desc if backward else F.asc
     measures = [F.sum(column).alias(name) for name, column in sums.items()]
     measures += [F.max(column).alias(name) for name, column in maxima.items()]
     summary = placed.groupBy(*keys, RANGE).agg(*measures)
-    before = Window.partitionBy(*keys).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy(turned(RANGE)).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         summary.withColumns(
             {name: F.sum(name).over(before) for name in sums} | {name: F.max(name).over(before) for name in maxima}
@@ -65,14 +76,14 @@ def running(
         .drop("_earlier")
     )
     carried = carried.select(*[F.col(name).alias(f"_before_{name}") for name in carried.columns])
-    inside = Window.partitionBy(*keys, RANGE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if own else -1)
+    inside = Window.partitionBy(*keys, RANGE).orderBy(*[turned(name) for name in order]).rowsBetween(Window.unboundedPreceding, 0 if own else -1)
     local = {name: F.sum(column).over(inside) for name, column in sums.items()}
     local |= {name: F.max(column).over(inside) for name, column in maxima.items()}
     # At most one row per range, hence the broadcast.
     joined = placed.withColumns(local).join(F.broadcast(carried), same([*keys, RANGE], "_before_"), "left")
     complete = {name: F.coalesce(F.col(name), F.lit(0)) + F.coalesce(F.col(f"_before_{name}"), F.lit(0)) for name in sums}
     complete |= {name: F.greatest(name, f"_before_{name}") for name in maxima}
-    return joined.withColumns(complete).drop(RANGE, *carried.columns)
+    return joined.withColumns(complete).drop(*([] if keep else [RANGE]), *carried.columns)
 
 
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:

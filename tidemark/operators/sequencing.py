@@ -343,6 +343,11 @@ def ticks(messages: DataFrame, seconds: int, parts: int | None = None) -> DataFr
     Ticks count from the channel's first arrival. ``pending_size``, ``pending_first`` and ``pending_last`` are taken
     before the tick drains, ``remaining`` and ``remaining_first`` after it.
     """
+    return _reports(messages, seconds, parts).drop(RANGE)
+
+
+def _reports(messages: DataFrame, seconds: int, parts: int | None) -> DataFrame:
+    """The reports with their range, in order of channel and tick."""
     ordered = ordered_messages(messages, parts).select(
         "channel",
         "sequence",
@@ -389,13 +394,16 @@ def ticks(messages: DataFrame, seconds: int, parts: int | None = None) -> DataFr
         ["tick"],
         {"came": F.col("arrived"), "left": F.col("calculated")},
         {"book_sequence": F.col("book"), "pending_last": F.col("seen")},
+        keep=True,
     )
     waiting = F.col("came") - F.col("left")
     released = F.col("calculated") > 0
     # While the book stays, the first waiting sequence is the least of what was left and what has come since.
     added = F.when(released, F.col("first_left")).otherwise(F.col("low"))
-    firsts = ranges.running(reports, ["channel", "book_sequence"], ["tick"], maxima={"_least": -added})
+    # A book never falls from tick to tick, so the same ranges are in order of it.
+    firsts = ranges.running(reports, ["channel", "book_sequence"], ["tick"], maxima={"_least": -added}, keep=True)
     return firsts.select(
+        RANGE,
         "channel",
         "tick",
         "book_sequence",
@@ -413,10 +421,8 @@ def ticks(messages: DataFrame, seconds: int, parts: int | None = None) -> DataFr
 
 def idle_ticks(messages: DataFrame, seconds: int, parts: int | None = None) -> DataFrame:
     """The ticks in which nothing arrives while trades wait, as ranges; one without end lasts until now."""
-    reports = ticks(messages, seconds, parts).select(
-        "channel", "tick", "remaining", "remaining_first", "pending_last", (-F.col("tick")).alias("_back")
-    )
-    nearest = ranges.running(reports, ["channel"], ["_back"], maxima={"_later": F.col("_back")}, own=False)
+    reports = _reports(messages, seconds, parts).select(RANGE, "channel", "tick", "remaining", "remaining_first", "pending_last")
+    nearest = ranges.running(reports, ["channel"], ["tick"], maxima={"_later": -F.col("tick")}, own=False, backward=True)
     following = -F.col("_later")
     return nearest.filter((F.col("remaining") > 0) & (following.isNull() | (following > F.col("tick") + 1))).select(
         "channel",
