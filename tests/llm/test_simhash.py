@@ -63,6 +63,22 @@ def test_shards_lose_no_link(spark, clustered, monkeypatch):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
 
 
+def test_tree_sends_few_copies_and_loses_no_pair(clustered):
+    """Small shards of fingerprints far apart, of which a cut through all sides would send some hundred copies."""
+    points = np.unique(np.concatenate([clustered, np.random.default_rng(2).integers(0, 1 << 63, 6000, dtype=np.uint64)]))
+    nodes = simhash.vantage_tree(points, 1 / 200, 3)
+    shards, sent = simhash.shards_of(points, nodes, 3)
+    assert len(set(shards.tolist())) > 50
+    assert len(sent) <= (simhash.MAX_COPIES + 1) * len(points)
+    together = set()
+    for shard in set(shards.tolist()):
+        members = np.sort(sent[shards == shard])
+        a, b = np.nonzero(np.triu(np.bitwise_count(members[:, None] ^ members[None, :]) <= 3, 1))
+        together |= set(zip(members[a].tolist(), members[b].tolist(), strict=True))
+    a, b = np.nonzero(np.triu(np.bitwise_count(points[:, None] ^ points[None, :]) <= 3, 1))
+    assert len(a) and together == set(zip(points[a].tolist(), points[b].tolist(), strict=True))
+
+
 def test_components_of_chains_and_stars(spark):
     pairs = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7), (300, 200), (None, 5)]
     found = {r.node: r.root for r in components.components(spark.createDataFrame(pairs, "a long, b long")).collect()}

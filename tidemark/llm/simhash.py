@@ -6,12 +6,12 @@ fingerprints differ in at most ``radius`` bits.
 All links are found among the distinct fingerprints. Each vantage point splits them into a near and a far side at a
 distance; a fingerprint on the near side within ``radius`` of the border is also sent to the far side. By the triangle
 bound, two linked fingerprints on different sides differ by at most ``radius`` in their distances, so the near one lies
-in that strip and both meet on the far side. The tree is levelled: a vantage point serves all shards of its level, and a shard
-is the string of sides. Inside a shard the same splitting goes on, with vantage points of its own, down
+in that strip and both meet on the far side. Every side has a vantage point of its own, and is cut only where that
+leaves less to compare than all its pairs; the sides not cut are the shards. The fullest side is cut first, until all are small or
+fingerprints are sent ``MAX_COPIES`` times on average. Inside a shard the same splitting goes on, down
 to leaves compared all with all in blocks. A shard reports a forest of its links, never all pairs of a group.
 
-Vantage points come from a bounded sample of fingerprints (``SAMPLE``), picked to split the fullest shard; they set
-where the work is done and change no result.
+Vantage points come from a bounded sample of fingerprints (``SAMPLE``); they set where the work is done and change no result.
 
 Defined cases: a null text is empty; texts without words have fingerprint zero; shorter ones are one shingle; a null id
 is never the smallest unless all are null; rows with one id count as one document in ``survivors``; an empty table
@@ -21,6 +21,7 @@ gives an empty result; other columns are ignored or, in ``survivors``, kept.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -35,10 +36,11 @@ from tidemark.llm.tables import least_hashed, written
 
 SAMPLE = 20_000
 SHARD_ROWS = 16_384
-MAX_SHARDS = 4096
-MAX_LEVELS = 48
+LEAST_SHARE = 1 / 256
+MAX_COPIES = 16
 CANDIDATES = 12
 WORK_POWER = 1.5
+WORTH = 0.95
 LEAF_ROWS = 512
 
 
@@ -95,46 +97,66 @@ def distances(one: np.uint64, many: np.ndarray) -> np.ndarray:
     return np.bitwise_count(many ^ one)
 
 
-def best_cut(members: np.ndarray, radius: int) -> tuple[np.uint64, int, int] | None:
-    """Vantage point, largest near distance and the larger side's size; None if no cut shrinks the members.
+def best_cut(members: np.ndarray, radius: int) -> tuple[np.uint64, int] | None:
+    """Vantage point and largest near distance; None if the two sides' pairs are not clearly fewer than the members' own.
 
     A cut is as good as the work it leaves, which grows with a side's size to a power above one; where
     distances leave a gap, few fingerprints go to both sides.
     """
     best = None
     for point in members[np.linspace(0, len(members) - 1, CANDIDATES).astype(int)]:
-        sizes = np.cumsum(np.bincount(distances(point, members), minlength=65))
-        strip = np.concatenate([np.zeros(radius, int), sizes[:-radius]]) if radius else sizes
+        near = np.cumsum(np.bincount(distances(point, members), minlength=65)).astype(float)
+        strip = np.concatenate([np.zeros(radius), near[:-radius]]) if radius else near
         far = len(members) - strip
-        larger = np.maximum(sizes, far)
-        work = np.where(larger < 0.95 * len(members), sizes**WORK_POWER + far**WORK_POWER, np.inf)
+        work = np.where(near**2 + far**2 < WORTH * len(members) ** 2, near**WORK_POWER + far**WORK_POWER, np.inf)
         at = int(np.argmin(work))
-        if work[at] < np.inf and (best is None or work[at] < best[3]):
-            best = point, at, int(larger[at]), work[at]
-    return best[:3] if best else None
-
-
-def vantage_points(sample: np.ndarray, share: float, radius: int) -> list[tuple[np.uint64, int]]:
-    """Levels of vantage points, each to split the shard fullest by then, until all hold under ``share`` of the sample."""
-    levels: list[tuple[np.uint64, int]] = []
-    member, code = np.arange(len(sample)), np.zeros(len(sample), np.int64)
-    stuck: set[int] = set()
-    while len(levels) < MAX_LEVELS:
-        codes, sizes = np.unique(code, return_counts=True)
-        fullest = next((c for c in codes[np.argsort(-sizes, kind="stable")].tolist() if c not in stuck), None)
-        if fullest is None or (code == fullest).sum() <= max(1, share * len(sample)):
+        if work[at] < np.inf and (best is None or work[at] < best[2]):
+            best = point, at, work[at]
+    return best[:2] if best else None
+
+
+def sides(points: np.ndarray, vantage: np.uint64, border: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whether points belong to the near and to the far side."""
+    away = distances(vantage, points)
+    return away <= border, away > border - radius
+
+
+def vantage_tree(sample: np.ndarray, share: float, radius: int) -> list[tuple[np.uint64, int, int, int] | None]:
+    """Nodes, the root first: vantage point, largest near distance and the nodes of the near and the far side; None for a shard.
+
+    The fullest shard is cut until all hold under ``share`` of the sample, or the shards together ``MAX_COPIES`` times the sample.
+    """
+    nodes: list[tuple[np.uint64, int, int, int] | None] = [None]
+    open_, held = [(-len(sample), 0, sample)], len(sample)
+    while open_ and held < MAX_COPIES * len(sample):
+        _, node, members = heappop(open_)
+        if len(members) <= max(1, share * len(sample)):
             break
-        cut = best_cut(sample[member[code == fullest]], radius)
-        if cut is None:
-            stuck.add(fullest)
+        cut = best_cut(members, radius)
+        if cut:
+            parts = [members[side] for side in sides(members, *cut, radius)]
+            nodes[node] = (*cut, len(nodes), len(nodes) + 1)
+            for part in parts:
+                heappush(open_, (-len(part), len(nodes), part))
+                nodes.append(None)
+            held += sum(map(len, parts)) - len(members)
+    return nodes
+
+
+def shards_of(points: np.ndarray, nodes: list[tuple[np.uint64, int, int, int] | None], radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shards and the points sent to each."""
+    shards, sent, open_ = [np.zeros(0, np.int64)], [points[:0]], [(0, points)]
+    while open_:
+        node, members = open_.pop()
+        if not len(members):
+            continue
+        if nodes[node] is None:
+            shards.append(np.full(len(members), node))
+            sent.append(members)
             continue
-        near = distances(cut[0], sample[member])
-        bit = np.int64(1) << np.int64(len(levels))
-        both = (near <= cut[1]) & (near > cut[1] - radius)
-        code, member = np.concatenate([code | np.where(near > cut[1], bit, 0), code[both] | bit]), np.concatenate([member, member[both]])
-        stuck = set()
-        levels.append(cut[:2])
-    return levels
+        vantage, border, *below = nodes[node]
+        open_ += [(side, members[own]) for side, own in zip(below, sides(members, vantage, border, radius), strict=True)]
+    return np.concatenate(shards), np.concatenate(sent)
 
 
 def linked_roots(points: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -154,8 +176,7 @@ def linked_roots(points: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarra
         members = open_.pop()
         cut = best_cut(points[members], radius) if len(members) > LEAF_ROWS else None
         if cut:
-            near = distances(cut[0], points[members])
-            open_ += [members[near <= cut[1]], members[near > cut[1] - radius]]
+            open_ += [members[side] for side in sides(points[members], *cut, radius)]
             continue
         parts = [members[i : i + LEAF_ROWS] for i in range(0, len(members), LEAF_ROWS)]
         for i, part in enumerate(parts):
@@ -167,22 +188,15 @@ def linked_roots(points: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarra
 def links(classes: DataFrame, radius: int = 2) -> DataFrame:
     """Pairs ``a``, ``b`` of distinct fingerprints ``fp`` that connect all within ``radius`` bits of each other."""
     count = classes.count()
-    share = max(SHARD_ROWS, count // MAX_SHARDS) / max(1, count)
+    share = max(SHARD_ROWS / max(1, count), LEAST_SHARE)
     sampled = least_hashed(classes.select("fp", F.xxhash64("fp").alias("h")), "h", SAMPLE)
     sample = np.array([row.fp for row in sampled.collect()], np.int64).view(np.uint64)
-    levels = vantage_points(sample, share, radius)
+    nodes = vantage_tree(sample, share, radius)
 
     def route(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            points = frame["fp"].to_numpy(np.int64).view(np.uint64)
-            code = np.zeros(len(points), np.int64)
-            for level, (vantage, border) in enumerate(levels):
-                near = distances(vantage, points)
-                bit = np.int64(1) << np.int64(level)
-                both = (near <= border) & (near > border - radius)
-                code = np.concatenate([code | np.where(near > border, bit, 0), code[both] | bit])
-                points = np.concatenate([points, points[both]])
-            yield pd.DataFrame({"shard": code, "fp": points.view(np.int64)})
+            shards, points = shards_of(frame["fp"].to_numpy(np.int64).view(np.uint64), nodes, radius)
+            yield pd.DataFrame({"shard": shards, "fp": points.view(np.int64)})
 
     def within(shard: pd.DataFrame) -> pd.DataFrame:
         points = np.sort(shard["fp"].to_numpy(np.int64))
