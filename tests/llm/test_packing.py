@@ -38,6 +38,23 @@ def test_ids_equal_the_library():
             assert ids[borders[i] : borders[i + 1]].tolist() == expected
 
 
+def test_letters_beyond_ascii_need_no_whole_chain(monkeypatch):
+    """Words of ASCII and letters up to U+00FF skip the library's chain, all others don't; ids are the library's in any case."""
+    random.seed(2)
+    letters = [chr(c) for c in [*range(33, 127), *range(0xA1, 0x180), 0x301, 0x3A3, 0x4E2D, 0x1F600]]
+    texts = [" ".join("".join(random.choices(letters, k=random.randint(1, 5))) for _ in range(400)) for _ in range(5)]
+    texts += ["ÀÉÎÕÜßÿ'S Œ × a×b 2÷3 µ ª x² Ångström's SS-ß e\u0301", "für ÜBER, l'été: ñandú!! ça", "n\u00adn ÿ\u0301 Ã© <|x é<|endoftext|>"]
+    encoder = tokens.WordEncoder(open(PATH).read(), 1)
+    whole, chained = encoder._others, []
+    monkeypatch.setattr(encoder, "_others", lambda words: (chained.extend(words), whole(words))[1])
+    for row, data, offsets in spans.blocks(pa.array(texts), 3000):
+        ids, borders = encoder.encode(data, offsets)
+        for i in range(len(offsets) - 1):
+            assert ids[borders[i] : borders[i + 1]].tolist() == TOKENIZER.encode(texts[row + i], add_special_tokens=False).ids + [1]
+    assert "a×b" in chained and "e\u0301" in chained and "é<|endoftext|>" in chained
+    assert not {"für", "ÜBER,", "l'été:", "ñandú!!", "ça", "ÀÉÎÕÜßÿ'S"} & set(chained)
+
+
 def test_small_caches_change_nothing(monkeypatch):
     monkeypatch.setattr(tokens, "CACHE_WORDS", 3)
     monkeypatch.setattr(tokens, "CACHE_PARTS", 2)

@@ -1,26 +1,49 @@
 """Token ids of whole texts from a vocabulary file, each distinct word encoded once per worker.
 
 The vocabulary's pre-tokenizer never joins what white space parts, so a text's ids are the ids of its words in
-a row. Words of printable ASCII go through the file's split pattern (narrowed to ASCII) straight to its
-merge model; all others go through the library's whole chain.
+a row. Words of printable ASCII and the letters from U+00C0 to U+00FF, all new ones of a block together, go through the file's
+split pattern (narrowed to these) straight to its merge model; all others go through the library's whole chain.
 """
 
 from __future__ import annotations
 
 import re
 from array import array
+from itertools import repeat
 
 import numpy as np
 from tokenizers import Tokenizer
 
 from tidemark.llm import spans
 
-ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")  # fixed value of the vocabulary, for printable ASCII
-PLAIN = re.compile(r"[!-~]+")
+#: The vocabulary's split pattern for lower-case printable ASCII and letters up to U+00FF; "\n" ends a word.
+PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|\n|[^a-z0-9ß-öø-ÿ\n]+")
+LETTERS = 0xC3  # first UTF-8 byte of U+00C0 to U+00FF
+SIGNS = (0x97, 0xB7)  # second byte of the two that are no letters
 CACHE_WORDS = 600_000
 CACHE_PARTS = 300_000
 
 
+def _byte_characters() -> dict[int, str]:
+    """The byte-level character of every byte that is not its own."""
+    others = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+    return {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+BYTE_CHARACTERS = _byte_characters()
+
+
+def plain_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which words hold nothing but printable ASCII and letters from U+00C0 to U+00FF, and no start of a special token."""
+    follows = np.append(False, data[:-1] == LETTERS)
+    low = (data >= 0x80) & (data < 0xC0)
+    strange = (data < 33) | (data == 127) | ((data >= 0x80) & (data != LETTERS) & ~(low & follows)) | (follows & ~low)
+    strange |= follows & np.isin(data, SIGNS)
+    strange[:-1] |= (data[:-1] == ord("<")) & (data[1:] == ord("|"))
+    counts = np.concatenate([[0], np.cumsum(strange)])
+    return (counts[starts] == counts[ends]) & (data[ends - 1] != LETTERS)
+
+
 class WordEncoder:
     """Ids of blocks of documents; ``end_id`` closes every document."""
 
@@ -47,44 +70,51 @@ class WordEncoder:
         self.starts[:count], self.lengths[:count], self.keys[:count], self.blocks[:count] = stops - lengths, lengths, self.keys[kept], 0
         self.places = dict(zip(self.keys[1:count].tolist(), range(1, count), strict=True))
 
-    def _part(self, part: str) -> bytes:
-        found = self.parts.get(part)
-        if found is None:
-            if len(self.parts) >= CACHE_PARTS:
-                self.parts.clear()
-            ids = array("I", [token.id for token in self.tokenizer.model.tokenize(part)])
-            found = self.parts[part] = ids.tobytes()
-        return found
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        """The ids of every word as 32-bit numbers."""
-        result = [b""] * len(words)
-        others = []
-        part = self._part
-        for i, word in enumerate(words):
-            if PLAIN.fullmatch(word) and "<|" not in word:
-                result[i] = b"".join([part(one) for one in ASCII_PARTS.findall(word.lower())])
-            else:
-                others.append(i)
-        for i, encoding in zip(others, self.tokenizer.encode_batch_fast([words[i] for i in others], add_special_tokens=False), strict=True):
-            result[i] = array("I", encoding.ids).tobytes()
-        return result
-
-    def _add(self, keys: list[int], found: list[bytes]) -> None:
-        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        while self.words + len(found) > len(self.starts):
+    def _plain(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of plain words in a row, and how many each has."""
+        sizes = ends - starts + 1
+        stops = np.cumsum(sizes)
+        joined = data[np.minimum(np.repeat(starts - (stops - sizes), sizes) + np.arange(stops[-1]), len(data) - 1)]
+        joined[stops - 1] = ord("\n")
+        parts = PARTS.findall(joined.tobytes().decode().lower())
+        new = set(parts).difference(self.parts)
+        if len(self.parts) + len(new) > CACHE_PARTS:
+            self.parts.clear()
+            new = set(parts)
+        new.discard("\n")
+        tokenize = self.tokenizer.model.tokenize
+        for part in new:
+            text = part if part.isascii() else part.encode().decode("latin-1").translate(BYTE_CHARACTERS)
+            self.parts[part] = array("I", [token.id for token in tokenize(text)]).tobytes()
+        # No part is without ids, so those of length 0 are the ends of words.
+        self.parts["\n"] = b""
+        found = list(map(self.parts.__getitem__, parts))
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        closing = np.cumsum(lengths)[lengths == 0] // 4
+        return np.frombuffer(b"".join(found), np.uint32), np.diff(closing, prepend=0)
+
+    def _others(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of any words."""
+        found = [encoding.ids for encoding in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter((id_ for ids in found for id_ in ids), np.uint32, int(lengths.sum())), lengths
+
+    def _add(self, keys: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The places of words that are new."""
+        while self.words + len(keys) > len(self.starts):
             arrays = (self.keys, self.blocks, self.starts, self.lengths)
             self.keys, self.blocks, self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in arrays)
-        while self.used + lengths.sum() > len(self.ids):
+        while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        ends = self.used + np.cumsum(lengths)
-        self.starts[self.words : self.words + len(found)] = ends - lengths
-        self.lengths[self.words : self.words + len(found)] = lengths
-        self.keys[self.words : self.words + len(found)] = np.array(keys, np.uint64)
-        self.blocks[self.words : self.words + len(found)] = 0
-        self.ids[self.used : ends[-1]] = np.frombuffer(b"".join(found), np.uint32)
-        self.places.update(zip(keys, range(self.words, self.words + len(found)), strict=True))
-        self.used, self.words = int(ends[-1]), self.words + len(found)
+        first, last = self.words, self.words + len(keys)
+        self.starts[first:last] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[first:last] = lengths
+        self.keys[first:last] = keys
+        self.blocks[first:last] = 0
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.places.update(zip(keys.tolist(), range(first, last), strict=True))
+        self.used, self.words = self.used + len(ids), last
+        return np.arange(first, last)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a block and where each document's begin, with the end of the last."""
@@ -93,12 +123,18 @@ class WordEncoder:
         keys, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         if self.words + len(keys) > CACHE_WORDS:
             self._evict()
-        keys = keys.tolist()
-        missing = [i for i, key in enumerate(keys) if key not in self.places]
-        if missing:
-            text = [data[starts[first[i]] : ends[first[i]]].tobytes().decode("utf-8", "replace") for i in missing]
-            self._add([keys[i] for i in missing], self._encode(text))
-        places = np.fromiter((self.places[key] for key in keys), np.int64, len(keys))
+        places = np.fromiter(map(self.places.get, keys.tolist(), repeat(-1)), np.int64, len(keys))
+        missing = np.flatnonzero(places < 0)
+        if len(missing):
+            begin, end = starts[first[missing]], ends[first[missing]]
+            plain = plain_words(data, begin, end)
+            if plain.any():
+                chosen = missing[plain]
+                places[chosen] = self._add(keys[chosen], *self._plain(data, begin[plain], end[plain]))
+            if not plain.all():
+                chosen = missing[~plain]
+                words = [data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(begin[~plain], end[~plain], strict=True)]
+                places[chosen] = self._add(keys[chosen], *self._others(words))
         self.blocks[places] += 1
         ends_of_docs = np.searchsorted(starts, offsets[1:])
         words = np.insert(places[inverse.ravel()] if len(keys) else places, ends_of_docs, 0)
