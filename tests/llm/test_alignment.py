@@ -1,14 +1,20 @@
 import hashlib
 import json
+import random
+import tracemalloc
 from collections import Counter
 from itertools import accumulate, pairwise
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 from tokenizers import Tokenizer
 
 from tests.llm import plain
@@ -163,3 +169,63 @@ def test_groups_end_at_all_shared_cuts(texts):
         shared += [61 * i + x for x in sorted(one & other)]
     passed = alignment.align(np.array(a), np.array(b), np.array(a_stops), np.array(b_stops))
     assert [(a[i - 1], b[j - 1]) for i, j in zip(*passed, strict=True)] == [(cut, cut) for cut in shared]
+
+
+def _long_texts():
+    rng = random.Random(11)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(3, 6))) for _ in range(4000)]
+    return [" ".join(rng.choices(words, k=400)) for _ in range(500)]
+
+
+def test_a_block_takes_little_memory():
+    texts, encoder = _long_texts(), alignment.PairEncoder(open(A).read(), open(B, "rb").read())
+    tracemalloc.start()
+    try:
+        row = alignment.block_row(encoder, 0, list(range(len(texts))), texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(row["n_a"]) == sum(len(TOKENIZER.encode(" " + text, add_special_tokens=False).ids) for text in texts)
+    assert peak < 28_000_000
+
+
+def test_documents_of_a_block_are_paired_some_at_a_time(monkeypatch):
+    texts = [text * (1 + i % 3) for i, text in enumerate(ODD_TEXTS * 3)]
+    at_once = alignment.block_row(ENCODER, 1, list(range(len(texts))), texts)
+    for units in (1, 7, 40):
+        monkeypatch.setattr(alignment, "PAIRED_UNITS", units)
+        some = alignment.block_row(ENCODER, 1, list(range(len(texts))), texts)
+        assert all(np.array_equal(at_once[name], some[name]) for name in at_once)
+
+
+def test_workers_keep_no_units_after_a_task_and_no_vocabularies_where_counts_are_told(monkeypatch):
+    monkeypatch.setattr(alignment, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    monkeypatch.setattr(alignment, "BLOCK_CHARACTERS", 20)
+    schemas = [to_arrow_schema(StructType.fromDDL(columns)) for columns in (alignment._BLOCK, alignment._DOCUMENTS)]
+    vocabularies = open(A).read(), open(B, "rb").read()
+    texts = ["one two one two one two", None, "", "three three three"]
+    batch = pa.record_batch({"doc_id": pa.array([4, 5, 6, None]), "text": pa.array(texts)})
+    rows = pa.Table.from_batches(alignment._block_reader(*vocabularies, *schemas)(iter([batch])))
+    encoder = alignment.worker_encoder(*vocabularies)
+    assert (rows["block"].to_pylist(), encoder.recent, encoder.former) == ([0, 1], {}, {})
+    pairs = rows["pair"][1].values
+    counts = pa.table({"pair": pairs, "documents": pa.array([7] * len(pairs)), "best": pa.array([True] * len(pairs))})
+    told = alignment._told(rows.slice(1, 1).drop_columns(["holders"]), counts)
+    assert alignment.worker_encoder.cache_info().currsize == 0
+    expected = {row[0]: row for row in brute([(5, None), (6, ""), (None, texts[3])])}
+    assert {r["doc_id"]: (*r.values(),) for r in told.to_pylist()} == {
+        i: (*row[:5], row[4], 7 * row[4], row[7]) for i, row in expected.items()
+    }
+
+
+def test_texts_come_in_small_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["size"])
+
+    docs = spark.range(0, 4000, 1, 1).selectExpr("id", "repeat('ab cd ', 1000) AS text")
+    before = spark.conf.get(alignment.MAX_BATCH_BYTES)
+    with alignment.small_batches(spark):
+        found = [r["size"] for r in docs.mapInArrow(sizes, "size long").collect()]
+    assert sum(found) >= 24_000_000 and max(found) < alignment.BATCH_BYTES + 100_000
+    assert spark.conf.get(alignment.MAX_BATCH_BYTES) == before
